@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows of one key that a single task sorts comfortably.
@@ -15,8 +15,8 @@ REPORTED_KEYS = 1_000
 SKETCH_GROUPS = 1_024
 
 
-def heavy_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS, limit: int = 10_000) -> list[Row]:
-    """Keys with more than ``heavy_rows`` rows, as rows of one column.
+def heavy_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS, limit: int = 10_000) -> list:
+    """Keys with more than ``heavy_rows`` rows, heaviest first; one of them may be None.
 
     Reads the key column only. Frequent-item sketches are built map side and merged in
     ``SKETCH_GROUPS`` groups, never all in one task; a key that is frequent overall is
@@ -35,13 +35,13 @@ def heavy_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS, limit: int
     reported = groups.select("nulls", F.explode_outer("top").alias("t")).select("nulls", "t.item", "t.count")
     named = reported.where(F.col("item").isNotNull()).select("item", "count")
     unnamed = groups.select(F.lit(None).cast(df.schema[key].dataType).alias("item"), F.col("nulls").alias("count"))
-    return (
+    heavy = (
         named.unionByName(unnamed)
         .groupBy("item")
         .agg(F.sum("count").alias("rows"))
         .where(F.col("rows") > heavy_rows)
         .orderBy(F.desc("rows"))
         .limit(limit)
-        .select(F.col("item").alias(key))
         .collect()
     )
+    return [row.item for row in heavy]

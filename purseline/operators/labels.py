@@ -6,8 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from purseline.operators.prefix import with_ordered_state
+from purseline.sources.local import local_table
 from purseline.staging import stage
 
 # So many labels, the most frequent ones, come to the driver and are broadcast.
@@ -50,8 +52,11 @@ def fit_label_index(df: DataFrame, column: str, local_labels: int = LOCAL_LABELS
     counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("label")).agg(F.count(F.lit(1)).alias("n"))
     ranked = counts.orderBy(F.desc("n"), F.asc("label"))
     top = [row.label for row in ranked.limit(local_labels + 1).collect()]
-    schema = f"label {df.schema[column].dataType.simpleString()}, label_index double"
-    common = spark.createDataFrame([(label, float(i)) for i, label in enumerate(top[:local_labels])], schema)
+    common = local_table(
+        spark,
+        {"label": top[:local_labels], "label_index": [float(i) for i in range(min(len(top), local_labels))]},
+        {"label": df.schema[column].dataType, "label_index": T.DoubleType()},
+    )
     if len(top) <= local_labels:
         return LabelIndex(common, None, len(top))
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from purseline.operators.heavy import HEAVY_ROWS, heavy_keys
+from purseline.sources.local import local_table
 from purseline.staging import stage
 
 STATE = ("_prev", "_rank", "_running")
@@ -92,7 +93,7 @@ def with_ordered_state(
     heavy = heavy_keys(df, key, heavy_rows)
     if not heavy:
         return df.withColumns(_window_state((key,), order, value))
-    chosen = F.broadcast(spark.createDataFrame(heavy, df.select(F.col(key).alias("_heavy")).schema))
+    chosen = F.broadcast(local_table(spark, {"_heavy": heavy}, {"_heavy": df.schema[key].dataType}))
     same = F.col(key).eqNullSafe(F.col("_heavy"))
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     light = df.join(chosen, same, "left_anti").withColumns(_window_state((key,), order, value))
