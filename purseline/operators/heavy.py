@@ -8,40 +8,16 @@ from pyspark.sql import functions as F
 # Rows of one key that a single task sorts comfortably.
 HEAVY_ROWS = 20_000_000
 
-# The sketch of each group of input partitions tracks this many keys. A key with more than
-# about 1/20,000 of a group's rows is certain to be reported by it.
-TRACKED_KEYS = 100_000
-REPORTED_KEYS = 1_000
-SKETCH_GROUPS = 1_024
+# So many keys at most are treated as heavy. Any further key has less than 1/MOST_KEYS of
+# all rows, so what comes to the driver, and is broadcast from there, is bounded.
+MOST_KEYS = 10_000
 
 
-def heavy_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS, limit: int = 10_000) -> list:
+def heavy_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> list:
     """Keys with more than ``heavy_rows`` rows, heaviest first; one of them may be None.
 
-    Reads the key column only. Frequent-item sketches are built map side and merged in
-    ``SKETCH_GROUPS`` groups, never all in one task; a key that is frequent overall is
-    frequent in at least one group. What comes to the driver is at most ``limit`` keys.
-
-    Missing a key costs time, not rows: unreported keys take the ordinary way.
+    Reads the key column only and counts map side: a heavy key is one row per map task.
     """
-    groups = (
-        df.select(F.col(key).alias("item"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part"))
-        .groupBy("part")
-        .agg(
-            F.call_function("approx_top_k", F.col("item"), F.lit(REPORTED_KEYS), F.lit(TRACKED_KEYS)).alias("top"),
-            F.count_if(F.col("item").isNull()).alias("nulls"),
-        )
-    )
-    reported = groups.select("nulls", F.explode_outer("top").alias("t")).select("nulls", "t.item", "t.count")
-    named = reported.where(F.col("item").isNotNull()).select("item", "count")
-    unnamed = groups.select(F.lit(None).cast(df.schema[key].dataType).alias("item"), F.col("nulls").alias("count"))
-    heavy = (
-        named.unionByName(unnamed)
-        .groupBy("item")
-        .agg(F.sum("count").alias("rows"))
-        .where(F.col("rows") > heavy_rows)
-        .orderBy(F.desc("rows"))
-        .limit(limit)
-        .collect()
-    )
-    return [row.item for row in heavy]
+    counts = df.groupBy(F.col(key).alias("item")).agg(F.count(F.lit(1)).alias("rows"))
+    heavy = counts.where(F.col("rows") > heavy_rows).orderBy(F.desc("rows"), "item").limit(MOST_KEYS)
+    return [row.item for row in heavy.collect()]

@@ -34,33 +34,34 @@ def _sliced_state(df: DataFrame, key: str, order: Sequence[str], value: str, sli
 
     The rows are staged first, so that the row ids, which make the order total even among
     copies, are read back the same in every attempt. Range partitioning by key and order
-    then gives slices of about equal size; a second staging fixes who is in which slice.
+    then gives slices of about equal size. A second staging fixes the slices, and with
+    ``_at`` the place of each row: ids rise with the slice and within it.
     """
-    total_order = (*order, "_row")
     rows = stage(df, "heavy-rows").withColumn("_row", F.monotonically_increasing_id())
+    total_order = (key, *order, "_row")
+    in_order = rows.repartitionByRange(slices, *total_order).sortWithinPartitions(*total_order).drop("_row")
     sliced = stage(
-        rows.repartitionByRange(slices, key, *total_order).withColumn("_slice", F.spark_partition_id()),
+        in_order.withColumns({"_slice": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}),
         "heavy-slices",
     )
 
     # One row per key and slice: at most slices + heavy keys of them, so this may be broadcast.
-    position = F.struct(*total_order)
     ends = sliced.groupBy(key, "_slice").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(value).alias("s"), F.max_by(value, position).alias("last")
+        F.count(F.lit(1)).alias("n"), F.sum(value).alias("s"), F.max_by(value, "_at").alias("last")
     )
     earlier = Window.partitionBy(key).orderBy("_slice")
     before = earlier.rowsBetween(Window.unboundedPreceding, -1)
     starts = ends.select(
         F.col(key).alias("_key"),
-        F.col("_slice").alias("_at"),
+        F.col("_slice").alias("_of"),
         F.sum("n").over(before).alias("_n0"),
         F.sum("s").over(before).alias("_s0"),
         F.lag("last").over(earlier).alias("_last0"),
     )
 
-    local = sliced.withColumns(_window_state((key, "_slice"), total_order, value))
+    local = sliced.withColumns(_window_state((key, "_slice"), ("_at",), value))
     joined = local.join(
-        F.broadcast(starts), F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_at")), "left"
+        F.broadcast(starts), F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_of")), "left"
     )
     running = (
         F.when(F.col("_s0").isNull(), F.col("_running"))

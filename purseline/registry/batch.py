@@ -100,7 +100,7 @@ def sequence_features_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ordered features where clicks and views, two fifths of the table, belong to one user."""
     shared = F.col("event_type").isin("click", "view")
     rows = events(spark, sf_dir).withColumn("user_id", F.when(shared, F.lit(-1)).otherwise(F.col("user_id")))
-    return with_sequence_features(rows, EVENTS, heavy_rows=1_000).select(
+    return with_sequence_features(rows, EVENTS, heavy_rows=rows.count() // 4).select(
         "event_id", "prev_amount", "amount_delta", "txn_rank", "running_total"
     )
 
