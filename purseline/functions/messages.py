@@ -32,10 +32,13 @@ def decode_events(messages: DataFrame, schema: T.StructType = EVENT_SCHEMA, time
 
     Works on static and streaming frames. Fields that are missing, mistyped or unreadable
     become NULL; nothing raises and nothing is dropped here (see ``split_rejects``).
+
+    The parsed struct is expanded by ``inline``: a later filter on its fields then stays
+    above it, where a projection would be copied into the filter and parse the text again.
     """
     text = messages.select(F.col("value").cast("string").alias("value"))
-    parsed = text.select("value", F.from_json("value", schema).alias("data"))
-    return parsed.select("data.*", "value").withColumn(time, F.try_to_timestamp(F.col(time)))
+    parsed = text.select(F.inline(F.array(F.from_json("value", schema))), "value")
+    return parsed.withColumn(time, F.try_to_timestamp(F.col(time)))
 
 
 def is_usable(events: Events = Events()) -> Column:
