@@ -7,6 +7,8 @@ from pyspark.sql import types as T
 
 from purseline.schema import Transactions
 
+TIMESTAMP_TYPE = "spark.sql.parquet.outputTimestampType"
+
 
 def read_transactions(
     spark: SparkSession, path: str, cols: Transactions = Transactions(), schema: T.StructType | None = None
@@ -20,11 +22,18 @@ def read_transactions(
 
 
 def write_table(df: DataFrame, path: str, rows_per_file: int | None = None, mode: str = "overwrite") -> None:
-    """Write Parquet with microsecond timestamps, by default in place of what was there.
+    """Write Parquet, by default in place of what was there.
 
-    ``rows_per_file`` splits large tasks' output; it moves no rows.
+    ``rows_per_file`` splits large tasks' output; it moves no rows. Timestamps get
+    microseconds, which Spark sets per session, so the setting is put back after the write.
     """
-    writer = df.write.mode(mode).option("outputTimestampType", "TIMESTAMP_MICROS")
+    conf = df.sparkSession.conf
+    writer = df.write.mode(mode)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
-    writer.parquet(path)
+    before = conf.get(TIMESTAMP_TYPE)
+    conf.set(TIMESTAMP_TYPE, "TIMESTAMP_MICROS")
+    try:
+        writer.parquet(path)
+    finally:
+        conf.set(TIMESTAMP_TYPE, before)

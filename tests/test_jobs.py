@@ -44,6 +44,18 @@ def test_rows_per_file_and_microseconds(spark, sf_dir, tmp_path):
     assert {str(f.schema_arrow.field("ts").type) for f in files} == {"timestamp[us]"}
 
 
+def test_zoned_timestamps_are_written_with_microseconds(spark, sf_dir, tmp_path):
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "INT96")
+    try:
+        write_table(table(spark, sf_dir, "events").selectExpr("cast(ts as timestamp) ts"), str(tmp_path / "t"))
+        assert spark.conf.get("spark.sql.parquet.outputTimestampType") == "INT96"
+    finally:
+        spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+    file = next(p for p in (tmp_path / "t").iterdir() if p.suffix == ".parquet")
+    column = pq.ParquetFile(file).schema.column(0)
+    assert column.physical_type == "INT64" and "microseconds" in str(column.logical_type)
+
+
 def test_read_with_declared_schema(spark, sf_dir):
     path = f"{sf_dir}/events.parquet"
     inferred = read_transactions(spark, path, EVENTS)

@@ -147,6 +147,24 @@ def test_job_writes_totals_and_rejects(feed, spark):
     assert sorted(r.value for r in rejects) == ["not json", '{"event_id":5}']
 
 
+def test_console(feed):
+    feed.deliver([(1, 1), (1, 1), (2, 3)])
+    (query,) = job.start(feed.messages(), feed.output, feed.checkpoint, every=None, console=True)
+    query.awaitTermination()
+    assert query.exception() is None and batch_counts(query)[0]["raw_rows"] == 3
+
+
+def test_trigger_interval(feed):
+    feed.deliver([(1, 1), (2, 100)])
+    query = start_table(windowed_totals(feed.events()), feed.output, feed.checkpoint, every="1 second")
+    try:
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    assert [r.event_count for r in feed.read(TOTALS).collect()] == [1]
+
+
 def test_batch_dedup_keeps_the_earliest_copy_whatever_the_partitioning(spark):
     rows = [(1, 1, 5.0, START + dt.timedelta(seconds=2)), (1, 1, 7.0, START), (1, 1, 6.0, START), (2, None, 1.0, None)]
     df = spark.createDataFrame(rows, EVENT)
