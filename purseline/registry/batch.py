@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ from purseline.operators.sequence import with_sequence_features
 from purseline.operators.totals import tumbling_totals
 from purseline.plans.user_features import user_features
 from purseline.registry.bindings import EVENT_LABELS, EVENTS, ORDERS, Query, events, orders, rounded, stream_events, table
-from purseline.schema import Events
+from purseline.schema import CATEGORIES, Events
 from purseline.sources.tables import write_table
 from purseline.staging import staging_path
 
@@ -169,25 +171,58 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(features, dict.fromkeys(("stddev_transaction", "avg_log_amount", *Z_NAMES), 6))
 
 
-FLAGSHIP_SQL = f"""
-    with valid as (select * from events where value > 0),
-    labels as ({_index_sql("event_type", "valid")}),
+# Orders in the shape of the default transaction table: text user ids, the four default
+# categories, orders without a stated priority in none of them.
+PRIORITY_CATEGORIES = {
+    "1-URGENT": "Electronics",
+    "2-HIGH": "Groceries",
+    "3-MEDIUM": "Clothing",
+    "5-LOW": "Entertainment",
+}
+
+
+def transaction_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table as a user of the defaults gets it: double sums, ties broken by amount."""
+    category = F.lit(None).cast("string")
+    for priority, name in PRIORITY_CATEGORIES.items():
+        category = F.when(F.col("o_orderpriority") == priority, name).otherwise(category)
+    transactions = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("user_id"),
+        F.col("o_totalprice").alias("amount"),
+        F.col("o_orderdate").alias("timestamp"),
+        category.alias("category"),
+    )
+    digits = dict.fromkeys(("avg_transaction", "avg_log_amount", "avg_amount_delta", *Z_NAMES), 6)
+    digits |= {"stddev_transaction": 4, "total_spent": 2, "final_running_total": 2}
+    return rounded(user_features(transactions), digits)
+
+
+def features_sql(source: str, tie: str, labels: Sequence[str], stddev_digits: int = 6, mean_digits: int | None = None) -> str:
+    """All 22 features of ``source``, which has the default column names."""
+    means = "avg_transaction", "avg_amount_delta"
+    rounded_means = "" if mean_digits is None else ", ".join(f"round({name}, {mean_digits}) as {name}" for name in means)
+    counts = ", ".join(f"sum((category = '{x}')::int)::bigint as {x.lower()}_count" for x in labels)
+    return f"""
+    with valid as (select * from ({source}) where amount > 0),
+    labels as ({_index_sql("category", "valid")}),
     t as (
-        select e.*, value::{MONEY} as amount, coalesce(category_index, (select count(*) from labels)) as category_index,
-               value::{MONEY} - coalesce(lag(value::{MONEY}) over w, 0) as amount_delta,
+        select v.* exclude (amount), v.amount::double as paid, v.amount::{MONEY} as amount,
+               coalesce(category_index, (select count(*) from labels)) as category_index,
+               v.amount::{MONEY} - coalesce(lag(v.amount::{MONEY}) over w, 0) as amount_delta,
                row_number() over w as txn_rank,
-               sum(value::{MONEY}) over (w rows between unbounded preceding and current row) as running_total
-        from valid e left join labels on event_type = label
-        window w as (partition by user_id order by ts, event_id)),
+               sum(v.amount::{MONEY}) over (w rows between unbounded preceding and current row) as running_total
+        from valid v left join labels on category = label
+        window w as (partition by user_id order by "timestamp", v.{tie})),
     u as (
         select user_id, sum(amount)::double as total_spent,
                sum(amount)::double / count(amount) as avg_transaction, count(amount) as transaction_count,
-               max(value) as max_transaction, min(value) as min_transaction,
-               round(stddev_samp(value), 6) as stddev_transaction, round(avg(ln(1 + value)), 6) as avg_log_amount,
-               sum(hour(ts))::double / count(ts) as avg_hour,
-               sum(dayofweek(ts) + 1)::double / count(ts) as avg_day_of_week,
-               sum((dayofweek(ts) in (0, 6))::int)::double / count(ts) as weekend_ratio,
-               count(distinct month(ts)) as active_months, {LABEL_COUNTS},
+               max(paid) as max_transaction, min(paid) as min_transaction,
+               round(stddev_samp(paid), {stddev_digits}) as stddev_transaction,
+               round(avg(ln(1 + paid)), 6) as avg_log_amount,
+               sum(hour("timestamp"))::double / count("timestamp") as avg_hour,
+               sum(dayofweek("timestamp") + 1)::double / count("timestamp") as avg_day_of_week,
+               sum((dayofweek("timestamp") in (0, 6))::int)::double / count("timestamp") as weekend_ratio,
+               count(distinct month("timestamp")) as active_months, {counts},
                sum(category_index) / count(*) as avg_category_index,
                sum(amount_delta)::double / count(*) as avg_amount_delta,
                max(txn_rank) as total_transactions_ranked,
@@ -197,7 +232,8 @@ FLAGSHIP_SQL = f"""
         select avg(total_spent) as m1, stddev_samp(total_spent) as s1, avg(avg_transaction) as m2,
                stddev_samp(avg_transaction) as s2, avg(transaction_count) as m3, stddev_samp(transaction_count) as s3
         from u)
-    select u.*, round((total_spent - m1) / s1, 6) as total_spent_zscore,
+    select u.* {f"replace ({rounded_means})" if rounded_means else ""},
+           round((total_spent - m1) / s1, 6) as total_spent_zscore,
            round((avg_transaction - m2) / s2, 6) as avg_transaction_zscore,
            round((transaction_count - m3) / s3, 6) as txn_count_zscore
     from u, p order by user_id"""
@@ -385,7 +421,26 @@ BATCH: dict[str, Query] = {
                    round((transaction_count - m3) / s3, 6) as txn_count_zscore
             from u, p""",
     ),
-    "user_features": Query(flagship, FLAGSHIP_SQL),
+    "user_features": Query(
+        flagship,
+        features_sql(
+            'select user_id, value as amount, ts as "timestamp", event_type as category, event_id from events',
+            "event_id",
+            EVENT_LABELS,
+        ),
+    ),
+    "transaction_features": Query(
+        transaction_features,
+        features_sql(
+            f"""select o_custkey::varchar as user_id, o_totalprice as amount, o_orderdate as "timestamp",
+                       case o_orderpriority {" ".join(f"when '{k}' then '{v}'" for k, v in PRIORITY_CATEGORIES.items())}
+                       end as category from orders""",
+            "amount",
+            CATEGORIES,
+            stddev_digits=4,
+            mean_digits=6,
+        ),
+    ),
     "parquet_roundtrip": Query(parquet_roundtrip, "select * from events"),
     "encode_events": Query(
         messages,
