@@ -62,7 +62,7 @@ def fit_label_index(df: DataFrame, column: str, local_labels: int = LOCAL_LABELS
 
     counts = stage(counts, "label-counts").select("label", (-F.col("n")).alias("minus_n"), F.lit(0).alias("all"))
     numbered = stage(
-        with_ordered_state(counts, "all", ("minus_n", "label"), "minus_n", **ordering).select(
+        with_ordered_state(counts, "all", ("minus_n", "label"), "minus_n", unique=True, **ordering).select(
             "label", (F.col("_rank") - 1).cast("double").alias("label_index")
         ),
         "label-index",

@@ -38,7 +38,7 @@ def latency_summary(
     """
     known = df.where(F.col(latency).isNotNull())
     counts = stage(known.groupBy(level, latency).agg(F.count(F.lit(1)).alias("events")), "latency-counts")
-    cumulative = with_ordered_state(counts, level, (latency,), "events", heavy_rows)
+    cumulative = with_ordered_state(counts, level, (latency,), "events", heavy_rows, unique=True)
     sizes = counts.groupBy(F.col(level).alias("_level")).agg(F.sum("events").alias("_n"))
     if len(sizes.select("_level").take(FEW_LEVELS + 1)) <= FEW_LEVELS:
         sizes = F.broadcast(sizes)

@@ -29,17 +29,22 @@ def _window_state(partition: Sequence[str], order: Sequence[str], value: str) ->
     }
 
 
-def _sliced_state(df: DataFrame, key: str, order: Sequence[str], value: str, slices: int) -> DataFrame:
+def _sliced_state(
+    df: DataFrame, key: str, order: Sequence[str], value: str, slices: int, unique: bool
+) -> DataFrame:
     """The same state for heavy keys only.
 
-    The rows are staged first, so that the row ids, which make the order total even among
-    copies, are read back the same in every attempt. Range partitioning by key and order
-    then gives slices of about equal size. A second staging fixes the slices, and with
-    ``_at`` the place of each row: ids rise with the slice and within it.
+    Range partitioning by key and order gives slices of about equal size. They are staged,
+    which fixes them, and with ``_at`` the place of each row: ids rise with the slice and
+    within it. Where rows of a key may tie, a row id completes the order, or a hot group of
+    copies would end up in one slice; the rows are then staged before as well, so that the
+    ids are read back the same in every attempt.
     """
-    rows = stage(df, "heavy-rows").withColumn("_row", F.monotonically_increasing_id())
-    total_order = (key, *order, "_row")
-    in_order = rows.repartitionByRange(slices, *total_order).sortWithinPartitions(*total_order).drop("_row")
+    total_order = (key, *order)
+    if not unique:
+        df = stage(df, "heavy-rows").withColumn("_row", F.monotonically_increasing_id())
+        total_order = (*total_order, "_row")
+    in_order = df.repartitionByRange(slices, *total_order).sortWithinPartitions(*total_order).drop("_row")
     sliced = stage(
         in_order.withColumns({"_slice": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}),
         "heavy-slices",
@@ -74,7 +79,7 @@ def _sliced_state(df: DataFrame, key: str, order: Sequence[str], value: str, sli
             "_rank": F.col("_rank") + F.coalesce("_n0", F.lit(0)),
             "_running": running,
         }
-    ).select(*df.columns, *STATE)
+    ).select(*in_order.columns, *STATE)
 
 
 def with_ordered_state(
@@ -84,9 +89,13 @@ def with_ordered_state(
     value: str,
     heavy_rows: int = HEAVY_ROWS,
     slices: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Add ``_prev``, ``_rank`` and ``_running`` of ``value`` over each key's rows in ``order``.
 
+    ``unique`` says that no two rows of a key are equal in ``order``, which saves a staging
+    of heavy keys' rows.
+
     Runs one small job at once, to learn which keys are heavy. Without any (the usual case)
     the plan is a single window: one hash exchange, one sort.
     """
@@ -98,4 +107,4 @@ def with_ordered_state(
     same = F.col(key).eqNullSafe(F.col("_heavy"))
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     light = df.join(chosen, same, "left_anti").withColumns(_window_state((key,), order, value))
-    return light.unionByName(_sliced_state(df.join(chosen, same, "left_semi"), key, order, value, slices))
+    return light.unionByName(_sliced_state(df.join(chosen, same, "left_semi"), key, order, value, slices, unique))

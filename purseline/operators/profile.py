@@ -111,17 +111,18 @@ def category_measures(
 def _position(df: DataFrame, cols: Transactions) -> Column:
     """A value that orders a user's rows as ``cols.order`` does.
 
-    A time and one integer tie-break are packed into a DECIMAL(38): unlike a struct that is
-    of fixed width, so the aggregate stays a hash aggregate instead of one that sorts.
+    A time and one integer (a tie-break, or money in units) are packed into a DECIMAL(38):
+    unlike a struct that is of fixed width, so the aggregate stays a hash aggregate instead
+    of one that sorts.
     """
-    types = [df.schema[name].dataType for name in cols.order]
-    if (
-        len(types) == 2
-        and isinstance(types[0], (T.TimestampType, T.TimestampNTZType))
-        and isinstance(types[1], T.IntegralType)
-    ):
-        micros = F.unix_micros(F.col(cols.order[0]).cast("timestamp")).cast("decimal(18,0)")
-        tie = F.col(cols.order[1]).cast("decimal(20,0)")
+    last = F.col(cols.order[-1])
+    integer = isinstance(df.schema[cols.order[-1]].dataType, T.IntegralType)
+    if not cols.tiebreak and cols.scale is not None:
+        last, integer = to_units(last, cols.scale), True
+    timed = isinstance(df.schema[cols.time].dataType, (T.TimestampType, T.TimestampNTZType))
+    if len(cols.order) == 2 and timed and integer:
+        micros = F.unix_micros(F.col(cols.time).cast("timestamp")).cast("decimal(18,0)")
+        tie = last.cast("decimal(20,0)")
         nulls_first = F.coalesce(micros, F.lit(Decimal(-(10**18) + 1)).cast("decimal(18,0)"))
         return nulls_first * F.lit(Decimal(2**64)) + F.coalesce(tie, F.lit(Decimal(-(2**63))).cast("decimal(20,0)"))
     return F.struct(*cols.order)

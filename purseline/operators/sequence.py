@@ -25,7 +25,7 @@ def with_sequence_features(
     """
     amount = to_units(F.col(cols.amount), cols.scale)
     ready = with_event_time(df, cols.time).withColumn("_amount", amount)
-    state = with_ordered_state(ready, cols.user, cols.order, "_amount", heavy_rows, slices)
+    state = with_ordered_state(ready, cols.user, cols.order, "_amount", heavy_rows, slices, bool(cols.tiebreak))
     delta = F.col("_amount") - F.coalesce("_prev", F.lit(0))
     return state.withColumns(
         {

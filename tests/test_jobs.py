@@ -6,6 +6,7 @@ import io
 import pyarrow.parquet as pq
 import pytest
 
+from purseline.functions.messages import decode_events, split_rejects
 from purseline.operators.filters import amount_above
 from purseline.operators.normalise import with_zscores
 from purseline.operators.profile import user_amount_stats
@@ -79,6 +80,16 @@ def test_statistics_plan_without_tiebreak_has_one_exchange(spark, sf_dir):
     assert text.count("hashpartitioning") == 1 and "Window" not in text
 
 
+def test_money_without_tiebreak_needs_no_sort(spark, sf_dir):
+    money = Transactions("user_id", "value", "ts", "event_type", scale=2)
+    assert "SortAggregate" not in plan(user_statistics(events(spark, sf_dir), money, EVENT_LABELS))
+
+
+def test_message_text_is_parsed_once(spark):
+    messages = spark.createDataFrame([("{}",)], "value string")
+    assert plan(split_rejects(decode_events(messages))[0], "simple").count("from_json") == 1
+
+
 def test_sequence_plan_has_one_exchange_and_one_sort(spark, sf_dir):
     text = plan(with_sequence_features(orders(spark, sf_dir), ORDERS), "simple")
     assert text.count("Exchange") == 1 and text.count("Sort ") == 1
