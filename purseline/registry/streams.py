@@ -21,7 +21,7 @@ from purseline.schema import Events
 from purseline.sources.topics import read_message_files, write_message_files
 from purseline.staging import staging_path
 from purseline.streaming.dedup import dedup_stream
-from purseline.streaming.sinks import batch_totals_writer, start_batches, start_table
+from purseline.streaming.sinks import batch_totals_writer, start_batches, start_table, state_partitions
 from purseline.streaming.totals import deduplicated_totals, windowed_totals
 
 SLICES = 3
@@ -70,8 +70,8 @@ def _replay(
     for delivery in deliveries:
         write_message_files(encode_events(delivery, MESSAGE_COLUMNS), feed)
         usable, _ = split_rejects(decode_events(read_message_files(spark, feed)))
-        query = start(usable, checkpoint)
-        query.awaitTermination()
+        with state_partitions(spark):
+            start(usable, checkpoint).awaitTermination()
 
 
 def _replay_to_table(

@@ -16,7 +16,7 @@ from purseline.schema import Events
 from purseline.session import ROCKSDB, build_session
 from purseline.sources.topics import read_topic, topic_options
 from purseline.streaming.dedup import DELAY
-from purseline.streaming.sinks import start_console, start_table
+from purseline.streaming.sinks import start_console, start_table, state_partitions
 from purseline.streaming.totals import deduplicated_totals
 
 
@@ -52,6 +52,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--window", default="10 seconds")
     parser.add_argument("--delay", default=DELAY)
     parser.add_argument("--every", default="10 seconds", help="trigger interval")
+    parser.add_argument("--state-partitions", type=int, help="fixed by the first start; the cores by default")
     parser.add_argument("--console", action="store_true", help="print totals instead of writing them")
     args = parser.parse_args(argv)
 
@@ -59,7 +60,8 @@ def main(argv: list[str] | None = None) -> None:
         "window-totals", args.master, extra={"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
     )
     source = read_topic(spark, topic_options(args.servers, args.topic, args.starting, args.max_per_trigger))
-    start(source, args.output, args.checkpoint, args.window, args.delay, args.every, args.console)
+    with state_partitions(spark, args.state_partitions):
+        start(source, args.output, args.checkpoint, args.window, args.delay, args.every, args.console)
     spark.streams.awaitAnyTermination()
 
 

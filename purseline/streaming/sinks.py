@@ -2,15 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from purseline.operators.totals import tumbling_totals
 from purseline.schema import Events
 
+WIDTH = "spark.sql.shuffle.partitions"
+
+
+@contextmanager
+def state_partitions(spark: SparkSession, most: int | None = None) -> Iterator[None]:
+    """Queries started inside keep their state in one wave of tasks.
+
+    A micro-batch is far smaller than a table, and each state partition costs files in every
+    batch, so the shuffle width of table queries is too much. A query keeps the width of its
+    first start for as long as its checkpoint lives. ``most`` defaults to the cores there are.
+    """
+    width = spark.conf.get(WIDTH)
+    spark.conf.set(WIDTH, min(int(width), most or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(WIDTH, width)
+
 
 def _with_trigger(writer: DataStreamWriter, checkpoint: str, every: str | None) -> DataStreamWriter:
     writer = writer.option("checkpointLocation", checkpoint)

@@ -12,7 +12,7 @@ from purseline.operators.dedup import dedup_events
 from purseline.sources.topics import read_message_files, write_message_files
 from purseline.streaming import job
 from purseline.streaming.dedup import collapse_copies, dedup_stream
-from purseline.streaming.sinks import batch_counts, batch_totals_writer, start_batches, start_table
+from purseline.streaming.sinks import batch_counts, batch_totals_writer, start_batches, start_table, state_partitions
 from purseline.streaming.totals import deduplicated_totals, windowed_totals
 
 START = dt.datetime(2026, 1, 1)
@@ -154,6 +154,17 @@ def test_console(feed):
     assert query.exception() is None and batch_counts(query)[0]["raw_rows"] == 3
 
 
+def test_state_width_is_fixed_by_the_first_start(feed, spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    feed.deliver([(1, 1)])
+    with state_partitions(spark, 2):
+        feed.run(windowed_totals(feed.events()))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    feed.deliver([(2, 100)])
+    query = feed.run(windowed_totals(feed.events()))
+    assert {o["numShufflePartitions"] for p in query.recentProgress for o in p["stateOperators"]} == {2}
+
+
 def test_trigger_interval(feed):
     feed.deliver([(1, 1), (2, 100)])
     query = start_table(windowed_totals(feed.events()), feed.output, feed.checkpoint, every="1 second")
