@@ -26,6 +26,9 @@ from purseline.functions.numeric import from_units, non_finite, ratio, to_units
 from purseline.functions.temporal import time_parts, with_event_time
 from purseline.schema import CATEGORIES, Transactions
 
+# Names of zones whose clocks never change.
+UNCHANGING_ZONES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
 
 @dataclass(frozen=True)
 class Measures:
@@ -113,13 +116,18 @@ def _position(df: DataFrame, cols: Transactions) -> Column:
 
     A time and one integer (a tie-break, or money in units) are packed into a DECIMAL(38):
     unlike a struct that is of fixed width, so the aggregate stays a hash aggregate instead
-    of one that sorts.
+    of one that sorts. Zone-less times are packed only where the session zone has no clock
+    changes, which would reorder them.
     """
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    time_type = df.schema[cols.time].dataType
+    timed = isinstance(time_type, T.TimestampType) or (
+        isinstance(time_type, T.TimestampNTZType) and zone in UNCHANGING_ZONES
+    )
     last = F.col(cols.order[-1])
     integer = isinstance(df.schema[cols.order[-1]].dataType, T.IntegralType)
     if not cols.tiebreak and cols.scale is not None:
         last, integer = to_units(last, cols.scale), True
-    timed = isinstance(df.schema[cols.time].dataType, (T.TimestampType, T.TimestampNTZType))
     if len(cols.order) == 2 and timed and integer:
         micros = F.unix_micros(F.col(cols.time).cast("timestamp")).cast("decimal(18,0)")
         tie = last.cast("decimal(20,0)")

@@ -75,6 +75,18 @@ def test_tied_times_take_the_tiebreak(spark):
         assert user_sequence_stats(spread, Transactions()).first().avg_amount_delta == 3.0
 
 
+def test_order_of_wall_clock_times_in_a_zone_with_clock_changes(spark):
+    """02:30 does not exist on that night and would be read as 03:30, after 03:10."""
+    rows = [("u", 1.0, "2026-03-08 02:30:00", "x", 1), ("u", 2.0, "2026-03-08 03:10:00", "x", 2)]
+    df = spark.createDataFrame(rows, SCHEMA.replace("timestamp_ntz", "string") + ", id bigint")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        wall = df.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+        assert user_sequence_stats(wall, Transactions(tiebreak=("id",))).first().avg_amount_delta == 1.0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_unknown_time_orders_first(spark):
     df = spark.createDataFrame(
         [("u", 1.0, None, "x", 9), ("u", 2.0, dt.datetime(1900, 1, 1), "x", 1), ("v", 5.0, None, "x", 1), ("v", 6.0, None, "x", None)],
