@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from purseline.operators.heavy import HEAVY_ROWS
 from purseline.operators.prefix import with_ordered_state
 from purseline.sources.local import local_table
 from purseline.staging import stage
@@ -18,7 +19,7 @@ LOCAL_LABELS = 1_000
 
 @dataclass(frozen=True)
 class LabelIndex:
-    """A fitted index: ``label``, ``label_index`` for every label, split by frequency.
+    """A fitted index: ``_label`` and ``_index`` for every label, split by frequency.
 
     ``common`` has at most ``LOCAL_LABELS`` rows and is safe to broadcast. ``rare`` is None
     unless there are more labels; each of those is on less than 1/LOCAL_LABELS of the rows,
@@ -31,41 +32,47 @@ class LabelIndex:
 
     def apply(self, df: DataFrame, column: str, output: str = "category_index") -> DataFrame:
         """Add the index as double; NULL and unseen labels get the number of labels."""
-        found = df.join(F.broadcast(self.common), F.col(column) == F.col("label"), "left").drop("label")
+        found = df.join(F.broadcast(self.common), F.col(column) == F.col("_label"), "left").drop("_label")
         unseen = F.lit(float(self.size))
         if self.rare is None:
-            return found.withColumn(output, F.coalesce("label_index", unseen)).drop("label_index")
-        settled = F.col("label_index").isNotNull() | F.col(column).isNull()
-        done = found.where(settled).withColumn(output, F.coalesce("label_index", unseen)).drop("label_index")
-        open_rows = found.where(~settled).drop("label_index")
-        late = open_rows.join(self.rare, F.col(column) == F.col("label"), "left").drop("label")
-        return done.unionByName(late.withColumn(output, F.coalesce("label_index", unseen)).drop("label_index"))
+            return found.withColumn(output, F.coalesce("_index", unseen)).drop("_index")
+        settled = F.col("_index").isNotNull() | F.col(column).isNull()
+        done = found.where(settled).withColumn(output, F.coalesce("_index", unseen)).drop("_index")
+        open_rows = found.where(~settled).drop("_index")
+        late = open_rows.join(self.rare, F.col(column) == F.col("_label"), "left").drop("_label")
+        return done.unionByName(late.withColumn(output, F.coalesce("_index", unseen)).drop("_index"))
 
 
-def fit_label_index(df: DataFrame, column: str, local_labels: int = LOCAL_LABELS, **ordering) -> LabelIndex:
+def fit_label_index(
+    df: DataFrame,
+    column: str,
+    local_labels: int = LOCAL_LABELS,
+    heavy_rows: int = HEAVY_ROWS,
+    slices: int | None = None,
+) -> LabelIndex:
     """Count labels (combined map side) and number them.
 
     At most ``local_labels + 1`` rows come to the driver. With more labels than that the
     counts are staged and numbered in parallel.
     """
     spark = df.sparkSession
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    ranked = counts.orderBy(F.desc("n"), F.asc("label"))
-    top = [row.label for row in ranked.limit(local_labels + 1).collect()]
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_label")).agg(F.count(F.lit(1)).alias("n"))
+    ranked = counts.orderBy(F.desc("n"), F.asc("_label"))
+    top = [row["_label"] for row in ranked.limit(local_labels + 1).collect()]
     common = local_table(
         spark,
-        {"label": top[:local_labels], "label_index": [float(i) for i in range(min(len(top), local_labels))]},
-        {"label": df.schema[column].dataType, "label_index": T.DoubleType()},
+        {"_label": top[:local_labels], "_index": [float(i) for i in range(min(len(top), local_labels))]},
+        {"_label": df.schema[column].dataType, "_index": T.DoubleType()},
     )
     if len(top) <= local_labels:
         return LabelIndex(common, None, len(top))
 
-    counts = stage(counts, "label-counts").select("label", (-F.col("n")).alias("minus_n"), F.lit(0).alias("all"))
+    counts = stage(counts, "label-counts").select("_label", (-F.col("n")).alias("minus_n"), F.lit(0).alias("all"))
     numbered = stage(
-        with_ordered_state(counts, "all", ("minus_n", "label"), "minus_n", unique=True, **ordering).select(
-            "label", (F.col("_rank") - 1).cast("double").alias("label_index")
+        with_ordered_state(counts, "all", ("minus_n", "_label"), "minus_n", heavy_rows, slices, unique=True).select(
+            "_label", (F.col("_rank") - 1).cast("double").alias("_index")
         ),
         "label-index",
     )
-    rare = numbered.where(F.col("label_index") >= local_labels)
+    rare = numbered.where(F.col("_index") >= local_labels)
     return LabelIndex(common, rare, numbered.count())

@@ -175,7 +175,10 @@ def user_temporal_stats(df: DataFrame, cols: Transactions = Transactions()) -> D
 
 
 def user_category_stats(
-    df: DataFrame, cols: Transactions = Transactions(), labels: Sequence[str] = CATEGORIES, index: str = "category_index"
+    df: DataFrame,
+    cols: Transactions = Transactions(),
+    labels: Sequence[str] = CATEGORIES,
+    index: str | None = "category_index",
 ) -> DataFrame:
     return user_profile(df, cols, category_measures(cols, labels, index))
 

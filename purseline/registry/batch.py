@@ -25,7 +25,17 @@ from purseline.operators.quality import table_diff, table_fingerprint
 from purseline.operators.sequence import with_sequence_features
 from purseline.operators.totals import tumbling_totals
 from purseline.plans.user_features import user_features
-from purseline.registry.bindings import EVENT_LABELS, EVENTS, ORDERS, Query, events, orders, rounded, stream_events, table
+from purseline.registry.bindings import (
+    EVENT_LABELS,
+    EVENTS,
+    ORDERS,
+    Query,
+    events,
+    orders,
+    rounded,
+    stream_events,
+    table,
+)
 from purseline.schema import CATEGORIES, Events
 from purseline.sources.tables import write_table
 from purseline.staging import staging_path
@@ -197,10 +207,12 @@ def transaction_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(user_features(transactions), digits)
 
 
-def features_sql(source: str, tie: str, labels: Sequence[str], stddev_digits: int = 6, mean_digits: int | None = None) -> str:
+def features_sql(
+    source: str, tie: str, labels: Sequence[str], stddev_digits: int = 6, mean_digits: int | None = None
+) -> str:
     """All 22 features of ``source``, which has the default column names."""
     means = "avg_transaction", "avg_amount_delta"
-    rounded_means = "" if mean_digits is None else ", ".join(f"round({name}, {mean_digits}) as {name}" for name in means)
+    rounded_means = ", ".join(f"round({name}, {mean_digits}) as {name}" for name in means if mean_digits is not None)
     counts = ", ".join(f"sum((category = '{x}')::int)::bigint as {x.lower()}_count" for x in labels)
     return f"""
     with valid as (select * from ({source}) where amount > 0),

@@ -20,6 +20,11 @@ EVENT = "event_id bigint, user_id bigint, transaction_amount double, timestamp t
 TOTALS = "window_start timestamp, window_end timestamp, total_volume double, event_count bigint"
 
 
+def message(event_id, time):
+    fields = {"event_id": event_id, "user_id": 1, "transaction_amount": 1.5, "timestamp": time.isoformat()}
+    return json.dumps(fields)
+
+
 class Feed:
     """A folder of messages, and the usable events read from it as a stream."""
 
@@ -29,10 +34,7 @@ class Feed:
 
     def deliver(self, events):
         values = [
-            json.dumps({"event_id": i, "user_id": 1, "transaction_amount": 1.5, "timestamp": (START + dt.timedelta(seconds=s)).isoformat()})
-            if not isinstance(i, str)
-            else i
-            for i, s in events
+            i if isinstance(i, str) else message(i, START + dt.timedelta(seconds=s)) for i, s in events
         ]
         write_message_files(self.spark.createDataFrame([(v,) for v in values], "value string").coalesce(1), self.path)
 
