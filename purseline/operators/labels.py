@@ -32,14 +32,15 @@ class LabelIndex:
 
     def apply(self, df: DataFrame, column: str, output: str = "category_index") -> DataFrame:
         """Add the index as double; NULL and unseen labels get the number of labels."""
-        found = df.join(F.broadcast(self.common), F.col(column) == F.col("_label"), "left").drop("_label")
+        text = F.col(column).cast("string")
+        found = df.join(F.broadcast(self.common), text == F.col("_label"), "left").drop("_label")
         unseen = F.lit(float(self.size))
         if self.rare is None:
             return found.withColumn(output, F.coalesce("_index", unseen)).drop("_index")
         settled = F.col("_index").isNotNull() | F.col(column).isNull()
         done = found.where(settled).withColumn(output, F.coalesce("_index", unseen)).drop("_index")
         open_rows = found.where(~settled).drop("_index")
-        late = open_rows.join(self.rare, F.col(column) == F.col("_label"), "left").drop("_label")
+        late = open_rows.join(self.rare, text == F.col("_label"), "left").drop("_label")
         return done.unionByName(late.withColumn(output, F.coalesce("_index", unseen)).drop("_index"))
 
 
@@ -50,19 +51,20 @@ def fit_label_index(
     heavy_rows: int = HEAVY_ROWS,
     slices: int | None = None,
 ) -> LabelIndex:
-    """Count labels (combined map side) and number them.
+    """Count labels (combined map side) and number them; labels that are not text count as their text.
 
     At most ``local_labels + 1`` rows come to the driver. With more labels than that the
     counts are staged and numbered in parallel.
     """
     spark = df.sparkSession
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_label")).agg(F.count(F.lit(1)).alias("n"))
+    text = F.col(column).cast("string").alias("_label")
+    counts = df.where(F.col(column).isNotNull()).groupBy(text).agg(F.count(F.lit(1)).alias("n"))
     ranked = counts.orderBy(F.desc("n"), F.asc("_label"))
     top = [row["_label"] for row in ranked.limit(local_labels + 1).collect()]
     common = local_table(
         spark,
         {"_label": top[:local_labels], "_index": [float(i) for i in range(min(len(top), local_labels))]},
-        {"_label": df.schema[column].dataType, "_index": T.DoubleType()},
+        {"_label": T.StringType(), "_index": T.DoubleType()},
     )
     if len(top) <= local_labels:
         return LabelIndex(common, None, len(top))

@@ -35,6 +35,15 @@ def test_same_as_string_indexer(spark, sf_dir):
     assert both.count() == rows.count()
 
 
+@pytest.mark.parametrize("type_name", ["int", "double", "string"])
+def test_numbers_tie_like_string_indexer(spark, type_name):
+    rows = spark.createDataFrame([(x,) for x in (10, 9, 9, 2, 10, 100, None)], "c int")
+    rows = rows.withColumn("c", F.col("c").cast(type_name))
+    model = StringIndexer(inputCol="c", outputCol="expected", handleInvalid="keep").fit(rows)
+    both = fit_label_index(rows, "c").apply(model.transform(rows), "c")
+    assert both.where("expected <> category_index").count() == 0 and both.count() == 7
+
+
 @pytest.mark.parametrize("heavy_rows", [1_000_000, 50])
 def test_more_labels_than_are_kept_on_the_driver(spark, heavy_rows):
     """The parallel numbering, in one window and in slices."""
