@@ -24,6 +24,7 @@ from purseline.operators.profile import (
 from purseline.operators.quality import table_diff, table_fingerprint
 from purseline.operators.sequence import with_sequence_features
 from purseline.operators.totals import tumbling_totals
+from purseline.plans.row_features import row_features
 from purseline.plans.user_features import user_features
 from purseline.registry.bindings import (
     EVENT_LABELS,
@@ -109,9 +110,7 @@ ORDER_WINDOW = "over (partition by o_custkey order by o_orderdate, o_orderkey)"
 
 
 def sequence_features_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All ordered features where clicks and views, two fifths of the table, belong to one user."""
-    shared = F.col("event_type").isin("click", "view")
-    rows = events(spark, sf_dir).withColumn("user_id", F.when(shared, F.lit(-1)).otherwise(F.col("user_id")))
+    rows = _with_whale(events(spark, sf_dir))
     return with_sequence_features(rows, EVENTS, heavy_rows=rows.count() // 4).select(
         "event_id", "prev_amount", "amount_delta", "txn_rank", "running_total"
     )
@@ -181,6 +180,23 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(features, dict.fromkeys(("stddev_transaction", "avg_log_amount", *Z_NAMES), 6))
 
 
+def _with_whale(df: DataFrame) -> DataFrame:
+    """Events in which clicks and views, two fifths of the table, belong to one user."""
+    shared = F.col("event_type").isin("click", "view")
+    return df.withColumn("user_id", F.when(shared, F.lit(-1)).otherwise(F.col("user_id")))
+
+
+def user_features_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = user_features(_with_whale(events(spark, sf_dir)), EVENTS, EVENT_LABELS)
+    return rounded(features, dict.fromkeys(("stddev_transaction", "avg_log_amount", *Z_NAMES), 6))
+
+
+def all_row_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = row_features(events(spark, sf_dir), EVENTS, EVENT_LABELS)
+    whole = ("hour_of_day", "day_of_week", "month", "is_weekend", *[f"is_{label}" for label in EVENT_LABELS])
+    return rows.withColumns({name: F.col(name).cast("bigint") for name in whole})
+
+
 # Orders in the shape of the default transaction table: text user ids, the four default
 # categories, orders without a stated priority in none of them.
 PRIORITY_CATEGORIES = {
@@ -207,6 +223,9 @@ def transaction_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(user_features(transactions), digits)
 
 
+WHALE = "case when event_type in ('click', 'view') then -1 else user_id end"
+
+
 def features_sql(
     source: str, tie: str, labels: Sequence[str], stddev_digits: int = 6, mean_digits: int | None = None
 ) -> str:
@@ -375,7 +394,7 @@ BATCH: dict[str, Query] = {
     ),
     "sequence_features_skewed": Query(
         sequence_features_skewed,
-        f"""with t as (select *, case when event_type in ('click', 'view') then -1 else user_id end as owner from events)
+        f"""with t as (select *, {WHALE} as owner from events)
             select event_id, lag(value) over w as prev_amount,
                    (value::{MONEY} - coalesce(lag(value::{MONEY}) over w, 0))::double as amount_delta,
                    row_number() over w as txn_rank,
@@ -441,6 +460,30 @@ BATCH: dict[str, Query] = {
             EVENT_LABELS,
         ),
     ),
+    "user_features_skewed": Query(
+        user_features_skewed,
+        features_sql(
+            f"""select {WHALE} as user_id, value as amount, ts as "timestamp", event_type as category, event_id
+                from events""",
+            "event_id",
+            EVENT_LABELS,
+        ),
+    ),
+    "row_features": Query(
+        all_row_features,
+        f"""with valid as (select user_id, value, ts, event_type, event_id from events where value > 0),
+            labels as ({_index_sql("event_type", "valid")})
+            select v.*, category_index, hour(ts)::bigint as hour_of_day, (dayofweek(ts) + 1)::bigint as day_of_week,
+                   month(ts)::bigint as month, (dayofweek(ts) in (0, 6))::bigint as is_weekend,
+                   {", ".join(f"(event_type = '{x}')::bigint as is_{x}" for x in EVENT_LABELS)},
+                   lag(value) over w as prev_amount,
+                   (value::{MONEY} - coalesce(lag(value::{MONEY}) over w, 0))::double as amount_delta,
+                   row_number() over w as txn_rank,
+                   (sum(value::{MONEY}) over (w rows between unbounded preceding and current row))::double
+                       as running_total
+            from valid v join labels on label = event_type
+            window w as (partition by user_id order by ts, event_id)""",
+    ),
     "transaction_features": Query(
         transaction_features,
         features_sql(

@@ -12,6 +12,7 @@ from purseline.operators.normalise import with_zscores
 from purseline.operators.profile import user_amount_stats
 from purseline.operators.sequence import with_sequence_features
 from purseline.plans import feature_job
+from purseline.plans.row_features import row_features
 from purseline.plans.user_features import user_statistics
 from purseline.registry.bindings import EVENT_LABELS, EVENTS, ORDERS, events, orders, table
 from purseline.schema import Transactions
@@ -95,6 +96,13 @@ def test_sequence_plan_has_one_exchange_and_one_sort(spark, sf_dir):
     assert text.count("Exchange") == 1 and text.count("Sort ") == 1
 
 
+def test_row_features_move_rows_once(spark, sf_dir):
+    text = plan(row_features(events(spark, sf_dir), EVENTS, EVENT_LABELS), "simple")
+    assert text.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in text
+    exchange = text[: text.index("Exchange hashpartitioning")]
+    assert "dayofweek" in exchange and "hour(" in exchange
+
+
 def test_zscores_join_nothing(spark, sf_dir):
     stats = user_amount_stats(amount_above(orders(spark, sf_dir), "o_totalprice"), ORDERS)
     text = plan(with_zscores(stats), "simple")
