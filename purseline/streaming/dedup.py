@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 # Fixed value: the default delay, for late events and for repeats.
 DELAY = "10 seconds"
@@ -22,8 +23,11 @@ def collapse_copies(events: DataFrame) -> DataFrame:
 
     Streaming dedup sends every row of a key to one task. An event delivered over and over
     is cut down here, where it is read; Spark has no stateless distinct for streams. Rows
-    that differ anywhere are kept, so the result after dedup is the same.
+    that differ anywhere are kept, so the result after dedup is the same. Nested columns
+    cannot be compared in Arrow; with any, all rows go on.
     """
+    if any(isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)) for field in events.schema):
+        return events
     return events.mapInArrow(_distinct_rows, events.schema)
 
 

@@ -102,6 +102,11 @@ def test_collapse_drops_equal_rows_only(spark):
     assert out.exceptAll(df.distinct()).count() == 0 and out.count() == 4
 
 
+def test_collapse_leaves_nested_columns_alone(spark):
+    df = spark.createDataFrame([(1, [1, 2]), (1, [1, 2])], "event_id bigint, tags array<int>").coalesce(1)
+    assert collapse_copies(df).count() == 2
+
+
 def test_replayed_batch_leaves_the_output_unchanged(feed, spark):
     write = batch_totals_writer(feed.output, width="10 seconds")
 
