@@ -54,11 +54,11 @@ def fit_label_index(
     """Count labels (combined map side) and number them; labels that are not text count as their text.
 
     At most ``local_labels + 1`` rows come to the driver. With more labels than that the
-    counts are staged and numbered in parallel.
+    counts, kept until then so that the table is read once, are staged and numbered in parallel.
     """
     spark = df.sparkSession
     text = F.col(column).cast("string").alias("_label")
-    counts = df.where(F.col(column).isNotNull()).groupBy(text).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.where(F.col(column).isNotNull()).groupBy(text).agg(F.count(F.lit(1)).alias("n")).persist()
     ranked = counts.orderBy(F.desc("n"), F.asc("_label"))
     top = [row["_label"] for row in ranked.limit(local_labels + 1).collect()]
     common = local_table(
@@ -67,11 +67,13 @@ def fit_label_index(
         {"_label": T.StringType(), "_index": T.DoubleType()},
     )
     if len(top) <= local_labels:
+        counts.unpersist()
         return LabelIndex(common, None, len(top))
 
-    counts = stage(counts, "label-counts").select("_label", (-F.col("n")).alias("minus_n"), F.lit(0).alias("all"))
+    staged = stage(counts, "label-counts").select("_label", (-F.col("n")).alias("minus_n"), F.lit(0).alias("all"))
+    counts.unpersist()
     numbered = stage(
-        with_ordered_state(counts, "all", ("minus_n", "_label"), "minus_n", heavy_rows, slices, unique=True).select(
+        with_ordered_state(staged, "all", ("minus_n", "_label"), "minus_n", heavy_rows, slices, unique=True).select(
             "_label", (F.col("_rank") - 1).cast("double").alias("_index")
         ),
         "label-index",
