@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +45,23 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def by_size(batches: Iterator[pd.DataFrame], column: str, most: int = 12_000_000) -> Iterator[pd.DataFrame]:
+    """The rows in pieces whose texts have at most ``most`` code points, or are one text.
+
+    Bounds what a task holds at a time where it lists the words of many texts.
+    """
+    for batch in batches:
+        sizes = batch[column].str.len().fillna(0).to_numpy(np.int64)
+        a, held = 0, 0
+        for b, size in enumerate(sizes.tolist()):
+            if held and held + size > most:
+                yield batch.iloc[a:b]
+                a, held = b, 0
+            held += size
+        if a < len(batch):
+            yield batch.iloc[a:]
+
+
 class WordHashes(dict):
     """64-bit hash by word; forgets all when it has grown to ``most`` words."""
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from purseline.llm import decontaminate, quality
+from purseline.llm import decontaminate, jaccard, quality, substrings
 from purseline.llm.common import table
 
 
@@ -18,11 +18,23 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeats_report(table(spark, sf_dir, "documents"))
+
+
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op3_quality": op3_quality,
+    "op7_substrings": op7_substrings,
+    "op8_jaccard": op8_jaccard,
 }
 
 SQL: dict[str, str] = {
     "op1_decontaminate": decontaminate.SQL,
+    "op7_substrings": substrings.SQL,
+    "op8_jaccard": jaccard.SQL,
 }
