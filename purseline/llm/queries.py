@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from purseline.llm import decontaminate, jaccard, quality, substrings
+from purseline.llm import decontaminate, jaccard, quality, secrets, substrings, warc
 from purseline.llm.common import table
 
 
@@ -26,15 +26,26 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_report(table(spark, sf_dir, "documents"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets_report(table(spark, sf_dir, "documents"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_report(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_secrets": op2_secrets,
     "op3_quality": op3_quality,
     "op7_substrings": op7_substrings,
     "op8_jaccard": op8_jaccard,
+    "op9_warc": op9_warc,
 }
 
 SQL: dict[str, str] = {
     "op1_decontaminate": decontaminate.SQL,
     "op7_substrings": substrings.SQL,
     "op8_jaccard": jaccard.SQL,
+    "op9_warc": warc.SQL,
 }
