@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from purseline.llm import decontaminate, jaccard, quality, secrets, substrings, warc
+from purseline.llm import decontaminate, jaccard, mixing, quality, secrets, sharding, substrings, warc
 from purseline.llm.common import table
 
 
@@ -34,13 +34,23 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_report(table(spark, sf_dir, "pages"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_report(table(spark, sf_dir, "documents"))
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharding_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_secrets": op2_secrets,
     "op3_quality": op3_quality,
+    "op6_mixing": op6_mixing,
     "op7_substrings": op7_substrings,
     "op8_jaccard": op8_jaccard,
     "op9_warc": op9_warc,
+    "op10_sharding": op10_sharding,
 }
 
 SQL: dict[str, str] = {
