@@ -2,13 +2,49 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
+from purseline.llm.common import table
+from purseline.llm.decontaminate import keep_clean
+from purseline.llm.jaccard import keep_one_each
+from purseline.llm.mixing import take_mix
+from purseline.llm.quality import keep_good
+from purseline.llm.sharding import assign_shards
 from purseline.staging import stage
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rules or a cutoff backed by the labels go."""
+    return keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one with the least id."""
+    return keep_one_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold too much of the benchmark go."""
+    return keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it; what it does not take goes."""
+    return take_mix(docs)
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Shard and slot of each row."""
+    return assign_shards(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram jaccard join", jaccard_join),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources", mixing),
+    ("sharding", sharding),
+]
 
 # The quality rules take binomial bounds and the mix draws a sample: neither is SQL.
 ORACLE_SQL = None
@@ -16,7 +52,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each is written and read again before the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from purseline.llm.common import TERM, ascii_lower, terms
+from purseline.llm.common import TERM, ascii_lower, fresh, terms
 from purseline.staging import stage
 
 # Fixed values of the contamination rule: words in a window, share of words hit in percent.
@@ -147,6 +147,13 @@ def find_contamination(
 
 
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with their columns."""
+    found = fresh(docs, "contamination")
+    marked = find_contamination(docs, benchmark, text, into=found)
+    return marked.where(~F.col(found)["contaminated"]).select(*docs.columns)
+
+
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The columns of the contract."""
     found = find_contamination(docs.select("doc_id", "text"), benchmark)

@@ -236,7 +236,7 @@ def _sets(docs: DataFrame, size: int, percent: int, kind: str) -> DataFrame:
                 elif kind == "columns":
                     signs.append(signatures(grams, percent, classes))
             if kind == "documents":
-                yield pd.DataFrame({"id": batch["id"], "digest": digests, "n_shingles": counts})
+                yield pd.DataFrame({"id": batch["id"], "code": batch["code"], "digest": digests, "n_shingles": counts})
             elif kind == "texts":
                 yield pd.DataFrame({"digest": digests, "packed": packed})
             else:
@@ -249,7 +249,7 @@ def _sets(docs: DataFrame, size: int, percent: int, kind: str) -> DataFrame:
                 )
 
     schema = {
-        "documents": f"id {dict(docs.dtypes).get('id')}, digest binary, n_shingles long",
+        "documents": "id string, code long, digest binary, n_shingles long",
         "texts": "digest binary, packed binary",
         "columns": "sign long, member long",
     }[kind]
@@ -320,6 +320,31 @@ def jaccard_links(
     return found, components(found)
 
 
+def _headed(docs: DataFrame, id: str, text: str, size: int, percent: int, block: int) -> DataFrame:
+    """Per input row ``id``, ``code``, ``n_shingles`` and ``head`` of its component.
+
+    ``code`` names a document by id and text. The head has the least id, NULL being the
+    largest, and of equal ids the least code; rows without shingles have no head.
+    """
+    # The id travels as text: a NULL among numbers would make them doubles.
+    code = F.xxhash64(F.col(id), F.col(text))
+    slim = docs.select(F.col(id).cast("string").alias("id"), code.alias("code"), F.col(text).alias("body"))
+    described = _sets(slim, size, percent, "documents")
+    rows = stage(described.withColumn("id", F.col("id").cast(docs.schema[id].dataType)), "jaccard-documents")
+    _, labels = jaccard_links(docs, text, size, percent, block)
+    place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "code")
+    sets = rows.where("n_shingles > 0").groupBy("digest").agg(F.min(place).alias("first"))
+    labelled = sets.join(labels, F.col("digest") == F.col("node"), "left").select(
+        "digest", "first", F.coalesce("label", "digest").alias("label")
+    )
+    labelled = stage(labelled, "jaccard-sets")
+    least = labelled.groupBy(F.col("label").alias("of")).agg(F.min("first").alias("head"))
+    named = labelled.join(least, F.col("label") == F.col("of")).select(F.col("digest").alias("set"), "head")
+    return rows.join(named, (F.col("digest") == F.col("set")) & (F.col("n_shingles") > 0), "left").select(
+        "id", "code", "n_shingles", "head"
+    )
+
+
 def jaccard_components(
     docs: DataFrame,
     id: str = "doc_id",
@@ -334,32 +359,28 @@ def jaccard_components(
     and are linked with nothing, so they are components of their own. Repeated rows are linked
     like any equal texts. NULL ids never name a component that has another id.
     """
-    slim = docs.select(F.col(id).alias("id"), F.col(text).alias("body"))
-    rows = stage(_sets(slim, size, percent, "documents"), "jaccard-documents")
-    _, labels = jaccard_links(docs, text, size, percent, block)
-    sets = rows.where("n_shingles > 0").groupBy("digest").agg(F.min("id").alias("first"))
-    labelled = sets.join(labels, F.col("digest") == F.col("node"), "left").select(
-        "digest", "first", F.coalesce("label", "digest").alias("label")
-    )
-    labelled = stage(labelled, "jaccard-sets")
-    least = labelled.groupBy(F.col("label").alias("of")).agg(F.min("first").alias("component"))
-    named = labelled.join(least, F.col("label") == F.col("of")).select(F.col("digest").alias("set"), "component")
-    out = rows.join(named, (F.col("digest") == F.col("set")) & (F.col("n_shingles") > 0), "left")
-    return out.select(
-        F.col("id").alias(id),
-        "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("id")).alias("component"),
-    )
+    out = _headed(docs, id, text, size, percent, block)
+    component = F.when(F.col("n_shingles") > 0, F.col("head.id")).otherwise(F.col("id"))
+    return out.select(F.col("id").alias(id), "n_shingles", component.alias("component"))
 
 
-def keep_one_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component, the one with the least id; documents without words stay."""
-    chosen, n = fresh(docs, "component"), fresh(docs, "copy")
-    parts = jaccard_components(docs, id, text).where("n_shingles > 0")
-    heads = parts.where(F.col(id) == F.col("component")).select(F.col(id).alias(chosen)).distinct()
-    first = docs.join(heads, F.col(id) == F.col(chosen), "left").withColumn(n, F.col(chosen).isNotNull())
+def keep_one_each(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    size: int = SHINGLE,
+    percent: int = PERCENT,
+    block: int = BLOCK,
+) -> DataFrame:
+    """The head of each component, once, with its columns; documents without words stay."""
+    rows = stage(_headed(docs, id, text, size, percent, block), "jaccard-heads")
+    code, head, n = (fresh(docs, name) for name in ("code", "head", "n"))
+    heads = rows.where("code = head.code").groupBy(F.col("code").alias(head)).agg(F.count("*").alias(n))
+    kept = docs.withColumn(code, F.xxhash64(F.col(id), F.col(text))).join(heads, F.col(code) == F.col(head))
+    if not heads.where(F.col(n) > 1).isEmpty():
+        kept = kept.where(F.col(n) == 1).union(kept.where(F.col(n) > 1).dropDuplicates([code]))
     wordless = F.col(text).isNull() | ~F.col(text).rlike(r"[^\x20\x09-\x0D]")
-    return first.where(F.col(n) | wordless).select(*docs.columns)
+    return kept.select(*docs.columns).union(docs.where(wordless))
 
 
 def jaccard_report(docs: DataFrame) -> DataFrame:

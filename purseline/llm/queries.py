@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from purseline.llm import decontaminate, jaccard, mixing, quality, secrets, sharding, substrings, warc
+from purseline.llm import decontaminate, jaccard, licenses, lm, mixing, quality, secrets, sharding, substrings, warc
 from purseline.llm.common import table
 
 
@@ -42,10 +42,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharding_report(table(spark, sf_dir, "documents"))
 
 
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_secrets": op2_secrets,
     "op3_quality": op3_quality,
+    "op4_lm": op4_lm,
+    "op5_licenses": op5_licenses,
     "op6_mixing": op6_mixing,
     "op7_substrings": op7_substrings,
     "op8_jaccard": op8_jaccard,

@@ -271,7 +271,8 @@ def remove_repeats(
     NULL and empty texts have no words and an empty ``kept``; a text of fewer than ``size``
     words stays whole. Rows that repeat with id and text repeat each other's windows.
     """
-    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("body"))
+    # The id travels as text: a NULL among numbers would make them doubles.
+    rows = docs.select(F.col(id).cast("string").alias("id"), F.col(text).alias("body"))
     marks = stage(repeated_stretches(rows, size, bucket_bytes=bucket_bytes), "repeated-stretches")
 
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -287,8 +288,7 @@ def remove_repeats(
                 }
             )
 
-    kind = dict(rows.dtypes)["id"]
-    sent = rows.mapInPandas(keyed, f"id {kind}, of binary, n_words long, packed binary")
+    sent = rows.mapInPandas(keyed, "id string, of binary, n_words long, packed binary")
     joined = sent.join(marks, F.col("of") == F.col("key"), "left")
 
     @F.pandas_udf("n_removed long, kept string")
@@ -312,7 +312,7 @@ def remove_repeats(
             yield pd.DataFrame(out, columns=["n_removed", "kept"])
 
     done = joined.withColumn("x", cut.asNondeterministic()("packed", "stretches"))
-    return done.select(F.col("id").alias(id), "n_words", F.col("x.n_removed"), F.col("x.kept"))
+    return done.select(F.col("id").cast(docs.schema[id].dataType).alias(id), "n_words", F.col("x.n_removed"), F.col("x.kept"))
 
 
 def repeats_report(docs: DataFrame) -> DataFrame:
