@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 # The two word patterns of the contracts.
@@ -16,6 +15,8 @@ SPACES = " \t\n\x0b\x0c\r"
 
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 _SHIFT = np.uint64(33)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_MASKS = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,9 +33,13 @@ def terms(text: str | None) -> list[str]:
     return TERM.findall(ascii_lower(text)) if text else []
 
 
+def raw(text: str | None) -> bytes:
+    return text.encode("utf-8", "surrogatepass") if text else b""
+
+
 def words(text: str | None) -> list[bytes]:
     """Runs between ASCII white space (``bytes.split`` knows exactly 0x20 and 0x09-0x0D)."""
-    return text.encode("utf-8", "surrogatepass").split() if text else []
+    return raw(text).split()
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -45,7 +50,7 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def by_size(batches: Iterator[pd.DataFrame], column: str, most: int = 12_000_000) -> Iterator[pd.DataFrame]:
+def by_size(batches: Iterator[pd.DataFrame], column: str, most: int = 6_000_000) -> Iterator[pd.DataFrame]:
     """The rows in pieces whose texts have at most ``most`` code points, or are one text.
 
     Bounds what a task holds at a time where it lists the words of many texts.
@@ -62,23 +67,6 @@ def by_size(batches: Iterator[pd.DataFrame], column: str, most: int = 12_000_000
             yield batch.iloc[a:]
 
 
-class WordHashes(dict):
-    """64-bit hash by word; forgets all when it has grown to ``most`` words."""
-
-    def __init__(self, most: int = 500_000):
-        super().__init__()
-        self.most = most
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, found: Iterable[bytes], n: int) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, found), np.uint64, n)
-
-
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads their bits."""
     values = values ^ (values >> _SHIFT)
@@ -88,6 +76,44 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> _SHIFT)
 
 
+class Words:
+    """The words of several texts, one after another, as places in one string.
+
+    ``whole`` has them with single spaces between; ``begins`` and ``ends`` are their bytes,
+    ``sizes`` the words of each text and ``starts`` where they begin, ``hashes`` 64-bit hashes.
+    """
+
+    def __init__(self, texts: list[bytes], normal: bool = False):
+        """``normal``: the texts are words with single spaces between already."""
+        lines = texts if normal else [b" ".join(text.split()) for text in texts]
+        self.sizes = np.fromiter((x.count(b" ") + 1 if x else 0 for x in lines), np.int64, len(lines))
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.whole = b" ".join(filter(None, lines))
+        gaps = np.flatnonzero(np.frombuffer(self.whole, np.uint8) == 32)
+        some = self.starts[-1] > 0
+        self.begins = np.concatenate([[0], gaps + 1]) if some else np.empty(0, np.int64)
+        self.ends = np.concatenate([gaps, [len(self.whole)]]) if some else np.empty(0, np.int64)
+        self.hashes = self._hashes()
+
+    def _hashes(self) -> np.ndarray:
+        """Eight bytes at a time; words of up to eight bytes cannot collide with each other."""
+        eights = np.ndarray((len(self.whole) + 1,), "<u8", self.whole + bytes(8), 0, (1,))
+        left = self.ends - self.begins
+        out = left.astype(np.uint64) * _STEP
+        at, active = self.begins, None
+        while True:
+            part = mix((out if active is None else out[active]) + (eights[at] & _MASKS[np.minimum(left, 8)]))
+            if active is None:
+                out = part
+            else:
+                out[active] = part
+            longer = left > 8
+            if not longer.any():
+                return out
+            active = np.flatnonzero(longer) if active is None else active[longer]
+            at, left = at[longer] + 8, left[longer] - 8
+
+
 def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     """A hash of each run of ``length`` consecutive words, by doubling."""
     if len(hashes) < length:
@@ -96,7 +122,7 @@ def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     while True:
         if length & span:
             part = whole[place : place + len(hashes) - length + 1]
-            done = mix(part) if done is None else mix(done * np.uint64(0x9E3779B97F4A7C15) + part)
+            done = mix(part) if done is None else mix(done * _STEP + part)
             place += span
         if place == length:
             return done

@@ -8,8 +8,9 @@ only inside such lists can the product reach the bound, and lists hold little bu
 In a block of documents overlap counts are summed up column slice by column slice, and a pair
 is given up as soon as the n-grams left cannot lift it to what its two sizes ask for. Lists
 are first joined through one leader each. Lists that then still hold several components are
-multiplied out in blocks, so that every qualifying pair is either computed or known to be
-connected. Equal sets are one row from the start.
+put together where they share documents, and multiplied out in blocks, so that every
+qualifying pair is either computed or known to be connected. Equal sets are one row from the
+start.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from purseline.llm.common import WordHashes, ascii_lower, fresh, mix, run_hashes, words
+from purseline.llm.common import Words, by_size, fresh, mix, raw, run_hashes
 from purseline.staging import stage
 
 # Fixed values of the contract: words in a shingle, similarity in percent.
@@ -38,15 +39,17 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY, _BOTH_EMPTY = np.uint64(0x1D), np.uint64(0x2E)
 
 
-def shingle_set(found: list[bytes], hashes: WordHashes, size: int = SHINGLE) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles; of all words where there are fewer."""
-    if not found:
-        return np.empty(0, np.uint64)
-    return np.unique(run_hashes(hashes.of(found, len(found)), min(size, len(found))))
-
-
-def lower_words(text: str | None) -> list[bytes]:
-    return words(ascii_lower(text)) if text else []
+def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
+    """Per text the sorted 64-bit hashes of its shingles; of all words where there are fewer."""
+    rows = Words(texts)
+    runs = run_hashes(rows.hashes, size)
+    out = []
+    for a, n in zip(rows.starts.tolist(), rows.sizes.tolist(), strict=False):
+        if n >= size:
+            out.append(np.unique(runs[a : a + n - size + 1]))
+        else:
+            out.append(run_hashes(rows.hashes[a : a + n], n) if n else np.empty(0, np.uint64))
+    return out
 
 
 def most_different(smaller: int, percent: int = PERCENT) -> int:
@@ -168,8 +171,8 @@ def _multiply(size: int, percent: int):
 
     def links(block: pd.DataFrame) -> pd.DataFrame:
         block = block.drop_duplicates("digest")
-        expand, hashes = zstandard.ZstdDecompressor(), WordHashes()
-        sets = [shingle_set(expand.decompress(x).split(), hashes, size) for x in block["packed"]]
+        expand = zstandard.ZstdDecompressor()
+        sets = shingle_sets([expand.decompress(x) for x in block["packed"]], size)
         known = pd.factorize(block["label"])[0] if "label" in block else None
         digests = block["digest"].tolist()
         kept = _forest(overlaps(sets, percent, known), len(sets)) if len(sets) > 1 else []
@@ -214,46 +217,37 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def _sets(docs: DataFrame, size: int, percent: int, kind: str) -> DataFrame:
-    """One reading of the texts: ``documents``, their ``columns``, or their ``texts``, packed."""
+def describe(docs: DataFrame, id: str, text: str, size: int, percent: int) -> DataFrame:
+    """Per input row ``id``, ``code``, ``digest`` of its set, ``n_shingles``, ``signs``, ``packed``.
+
+    ``code`` names a document by id and text. The columns' hashes and the words, compressed,
+    are there once for each set in a batch: equal sets have equal ones.
+    """
     classes: dict[int, tuple[int, int]] = {}
 
-    def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, squeeze = WordHashes(), zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            digests, counts, packed, signs, seen = [], [], [], [], set()
-            for body in batch["body"]:
-                found = lower_words(body)
-                grams = shingle_set(found, hashes, size)
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for batch in by_size(batches, "body"):
+            rows, seen = [], set()
+            texts = [raw(body).lower() for body in batch["body"]]  # of bytes: A-Z only
+            for body, grams in zip(texts, shingle_sets(texts, size), strict=True):
                 digest = xxhash.xxh3_128_digest(grams.tobytes())
-                if kind != "documents" and (digest in seen or not len(grams)):
-                    continue  # equal sets have equal columns
+                if digest in seen or not len(grams):
+                    rows.append((digest, len(grams), None, None))
+                    continue
                 seen.add(digest)
-                digests.append(digest)
-                counts.append(len(grams))
-                if kind == "texts":
-                    packed.append(squeeze.compress(b" ".join(found)))
-                elif kind == "columns":
-                    signs.append(signatures(grams, percent, classes))
-            if kind == "documents":
-                yield pd.DataFrame({"id": batch["id"], "code": batch["code"], "digest": digests, "n_shingles": counts})
-            elif kind == "texts":
-                yield pd.DataFrame({"digest": digests, "packed": packed})
-            else:
-                short = np.frombuffer(b"".join(x[:8] for x in digests), ">i8").astype(np.int64)
-                yield pd.DataFrame(
-                    {
-                        "sign": np.concatenate([np.empty(0, np.uint64), *signs]).view(np.int64),
-                        "member": np.repeat(short, [len(x) for x in signs]),
-                    }
-                )
-
-    schema = {
-        "documents": "id string, code long, digest binary, n_shingles long",
-        "texts": "digest binary, packed binary",
-        "columns": "sign long, member long",
-    }[kind]
-    return docs.mapInPandas(describe, schema)
+                signs = signatures(grams, percent, classes).view(np.int64)
+                rows.append((digest, len(grams), signs, squeeze.compress(body)))
+            out = pd.DataFrame(rows, columns=["digest", "n_shingles", "signs", "packed"])
+            out.insert(0, "code", batch["code"].to_numpy())
+            out.insert(0, "id", batch["id"].to_numpy())
+            yield out
+
+    # The id travels as text: a NULL among numbers would make them doubles.
+    code = F.xxhash64(F.col(id), F.col(text)).alias("code")
+    rows = docs.select(F.col(id).cast("string").alias("id"), code, F.col(text).alias("body"))
+    schema = "id string, code long, digest binary, n_shingles long, signs array<long>, packed binary"
+    return rows.mapInPandas(read, schema).withColumn("id", F.col("id").cast(docs.schema[id].dataType))
 
 
 def _short(digest: str) -> Column:
@@ -262,26 +256,20 @@ def _short(digest: str) -> Column:
 
 
 def jaccard_links(
-    docs: DataFrame, text: str = "text", size: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK
+    sets: DataFrame, size: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK
 ) -> tuple[DataFrame, DataFrame]:
     """``(a, b)`` digests of linked sets, enough to connect all that are linked; their labels.
 
-    The digest names a set of shingles; equal sets share it.
+    ``sets`` is a written table as ``describe`` gives it.
     """
-    rows = docs.select(F.col(text).alias("body"))
-    columns = _sets(rows, size, percent, "columns")
+    some = sets.where("packed is not null").withColumn("short", _short("digest"))
+    columns = some.select(F.explode("signs").alias("sign"), F.col("short").alias("member"))
     spread = columns.groupBy("sign").agg(F.min("member").alias("leader"), F.max("member").alias("other"))
-    lists = stage(
-        columns.join(spread.where("leader <> other").drop("other"), "sign").distinct(), "jaccard-lists"
-    )
+    shared = columns.join(spread.where("leader <> other").drop("other"), "sign")
+    lists = stage(shared.distinct(), "jaccard-lists")
     members = lists.select("member").distinct()
-    texts = _sets(rows, size, percent, "texts").withColumn("short", _short("digest"))
-    texts = stage(
-        texts.join(members, F.col("short") == F.col("member"), "left_semi").groupBy("digest", "short").agg(
-            F.min("packed").alias("packed")
-        ),
-        "jaccard-texts",
-    )
+    texts = some.join(members, F.col("short") == F.col("member"), "left_semi")
+    texts = stage(texts.groupBy("digest", "short").agg(F.min("packed").alias("packed")), "jaccard-texts")
     product = _multiply(size, percent)
 
     pairs = lists.where("member <> leader").select("leader", "member").distinct()
@@ -296,24 +284,23 @@ def jaccard_links(
         "digest", "short", "packed", F.coalesce("label", "digest").alias("label")
     )
     known = stage(known, "jaccard-labelled")
-    named = lists.select("sign", "member").join(
-        known.select("short", "digest", "label"), F.col("member") == F.col("short")
+    # Lists whose members are not all connected yet; those that share members form a cluster,
+    # and the product of a cluster holds the products of its lists.
+    named = lists.join(known.select("short", "digest", "label"), F.col("member") == F.col("short"))
+    named = stage(named.select("sign", "digest", "label"), "jaccard-named")
+    mixed = named.groupBy("sign").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.min("digest").alias("a")
     )
-    # Lists with the same members are one list.
-    shape = named.groupBy("sign").agg(
-        F.min("label").alias("low"),
-        F.max("label").alias("high"),
-        F.count("*").alias("n"),
-        F.sum(F.xxhash64("digest").cast("decimal(38,0)")).alias("total"),
-    )
-    mixed = shape.where("low <> high").groupBy("n", "total", "low", "high").agg(F.min("sign").alias("sign"))
-    mixed = mixed.select("sign", F.ceil(F.col("n") / (block // 2)).alias("blocks"))
-    wide = named.join(mixed, "sign").withColumn("mine", F.pmod(F.xxhash64("digest"), "blocks"))
-    wide = wide.select("sign", "digest", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("yours"))
-    wide = wide.select("sign", "digest", F.least("mine", "yours").alias("i"), F.greatest("mine", "yours").alias("j"))
-    wide = wide.join(known.select("digest", "packed", "label"), "digest")
-    second = wide.groupBy("sign", "i", "j").applyInPandas(product, "a binary, b binary")
-    second = stage(second, "jaccard-links")
+    mixed = mixed.where("low <> high").select("sign", "a")
+    pairs = named.join(mixed, "sign").where("a <> digest").select("a", F.col("digest").alias("b")).distinct()
+    clusters = stage(components(pairs).withColumnRenamed("label", "cluster"), "jaccard-clusters")
+    half = block // 2
+    crowd = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / half).alias("blocks"))
+    wide = clusters.join(crowd, "cluster").withColumn("mine", F.pmod(F.xxhash64("node"), "blocks"))
+    wide = wide.select("cluster", "node", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("yours"))
+    wide = wide.select("cluster", "node", F.least("mine", "yours").alias("i"), F.greatest("mine", "yours").alias("j"))
+    wide = wide.join(known, F.col("node") == F.col("digest")).select("cluster", "i", "j", "digest", "packed", "label")
+    second = stage(wide.groupBy("cluster", "i", "j").applyInPandas(product, "a binary, b binary"), "jaccard-links")
     found = first.union(second)
     if second.isEmpty():
         return found, labels
@@ -323,21 +310,17 @@ def jaccard_links(
 def _headed(docs: DataFrame, id: str, text: str, size: int, percent: int, block: int) -> DataFrame:
     """Per input row ``id``, ``code``, ``n_shingles`` and ``head`` of its component.
 
-    ``code`` names a document by id and text. The head has the least id, NULL being the
-    largest, and of equal ids the least code; rows without shingles have no head.
+    The head has the least id, NULL being the largest, and of equal ids the least code; rows
+    without shingles have no head.
     """
-    # The id travels as text: a NULL among numbers would make them doubles.
-    code = F.xxhash64(F.col(id), F.col(text))
-    slim = docs.select(F.col(id).cast("string").alias("id"), code.alias("code"), F.col(text).alias("body"))
-    described = _sets(slim, size, percent, "documents")
-    rows = stage(described.withColumn("id", F.col("id").cast(docs.schema[id].dataType)), "jaccard-documents")
-    _, labels = jaccard_links(docs, text, size, percent, block)
+    rows = stage(describe(docs, id, text, size, percent), "jaccard-sets")
+    _, labels = jaccard_links(rows, size, percent, block)
     place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "code")
     sets = rows.where("n_shingles > 0").groupBy("digest").agg(F.min(place).alias("first"))
     labelled = sets.join(labels, F.col("digest") == F.col("node"), "left").select(
         "digest", "first", F.coalesce("label", "digest").alias("label")
     )
-    labelled = stage(labelled, "jaccard-sets")
+    labelled = stage(labelled, "jaccard-heads")
     least = labelled.groupBy(F.col("label").alias("of")).agg(F.min("first").alias("head"))
     named = labelled.join(least, F.col("label") == F.col("of")).select(F.col("digest").alias("set"), "head")
     return rows.join(named, (F.col("digest") == F.col("set")) & (F.col("n_shingles") > 0), "left").select(
@@ -373,7 +356,7 @@ def keep_one_each(
     block: int = BLOCK,
 ) -> DataFrame:
     """The head of each component, once, with its columns; documents without words stay."""
-    rows = stage(_headed(docs, id, text, size, percent, block), "jaccard-heads")
+    rows = stage(_headed(docs, id, text, size, percent, block), "jaccard-components")
     code, head, n = (fresh(docs, name) for name in ("code", "head", "n"))
     heads = rows.where("code = head.code").groupBy(F.col("code").alias(head)).agg(F.count("*").alias(n))
     kept = docs.withColumn(code, F.xxhash64(F.col(id), F.col(text))).join(heads, F.col(code) == F.col(head))

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from purseline.llm.common import WordHashes, by_size, group_ends, mix, run_hashes, words
+from purseline.llm.common import Words, by_size, group_ends, mix, raw, run_hashes, words
 from purseline.staging import stage
 
 # Fixed value of the contract: words in a window.
@@ -34,28 +34,16 @@ HOT_COUNT = 8
 #: Hot m-mers kept, the most frequent. Any choice gives right results, as all tasks share it.
 MOST_HOT = 65_536
 #: Text in a bucket; packed strings are about three times as long.
-BUCKET_BYTES = 2_000_000
+BUCKET_BYTES = 4_000_000
 #: Windows in a packed string.
 LONGEST = 1_024
 
 
-class _Batch:
-    """All words of a batch of documents, one after another."""
-
-    def __init__(self, texts: list[list[bytes]], hashes: WordHashes):
-        self.sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
-        self.words = [word for text in texts for word in text]
-        self.hashes = hashes.of(self.words, len(self.words))
-
-    def mers(self, m: int) -> np.ndarray:
-        return run_hashes(self.hashes, m)
-
-    def inside(self, length: int) -> np.ndarray:
-        """Places at which ``length`` words of one document start."""
-        firsts, counts = self.starts[:-1], np.maximum(self.sizes - length + 1, 0)
-        before = np.concatenate([[0], np.cumsum(counts)])
-        return np.arange(before[-1]) + np.repeat(firsts - before[:-1], counts)
+def windows_of(rows: Words, length: int) -> np.ndarray:
+    """Places at which ``length`` words of one text start."""
+    firsts, counts = rows.starts[:-1], np.maximum(rows.sizes - length + 1, 0)
+    before = np.concatenate([[0], np.cumsum(counts)])
+    return np.arange(before[-1]) + np.repeat(firsts - before[:-1], counts)
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -75,10 +63,8 @@ def hot_mers(docs: DataFrame, text: str, m: int = MER) -> np.ndarray:
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
         for batch in by_size(batches, "body"):
-            rows = _Batch([words(x) for x in batch["body"]], hashes)
-            mers = rows.mers(m)
+            mers = run_hashes(Words([raw(x) for x in batch["body"]]).hashes, m)
             values, counts = np.unique(mers, return_counts=True)
             often = counts >= max(HOT_COUNT, HOT_SHARE * len(mers))
             yield pd.DataFrame({"mer": values[often].view(np.int64), "n": counts[often]})
@@ -133,21 +119,18 @@ def _pack(docs: DataFrame, hot: np.ndarray, buckets: int, size: int, m: int) ->
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, squeeze = WordHashes(), zstandard.ZstdCompressor(level=5)
+        squeeze = zstandard.ZstdCompressor(level=3)
         for batch in by_size(batches, "body"):
-            texts = [words(x) for x in batch["body"]]
-            rows = _Batch(texts, hashes)
-            valid = rows.inside(size)
+            rows = Words([raw(x) for x in batch["body"]])
+            valid = windows_of(rows, size)
             if not len(valid):
                 continue
-            at, n, least = super_kmers(rows.mers(m), valid, size, m, shared.value)
-            lengths = np.fromiter(map(len, rows.words), np.int64, len(rows.words))
-            ends = np.cumsum(lengths + 1)
-            first, last = ends[at] - lengths[at] - 1, ends[at + n + size - 2] - 1
-            whole = b" ".join(rows.words)
+            at, n, least = super_kmers(run_hashes(rows.hashes, m), valid, size, m, shared.value)
+            first, last, whole = rows.begins[at].tolist(), rows.ends[at + n + size - 2].tolist(), rows.whole
             owner = np.searchsorted(rows.starts, at, side="right") - 1
             place = at - rows.starts[owner]
-            used = set(owner.tolist())
+            owners = owner.tolist()
+            used = set(owners)
             keys = [
                 text_key(i, x) if k in used else b"" for k, (i, x) in enumerate(zip(batch["id"], batch["body"], strict=True))
             ]
@@ -168,9 +151,9 @@ def _pack(docs: DataFrame, hot: np.ndarray, buckets: int, size: int, m: int) ->
                         int(bucket[order[a]]),
                         squeeze.compress(b"\n".join(strings + twice)),
                         len(twice),
-                        b"".join(keys[owner[r]] for r in single),
+                        b"".join(keys[owners[r]] for r in single),
                         place[single].astype(np.int32).tobytes(),
-                        b"".join(keys[owner[r]] for r in sure),
+                        b"".join(keys[owners[r]] for r in sure),
                         np.concatenate([place[sure], place[sure] + n[sure] + size - 1]).astype(np.int32).tobytes(),
                     )
                 )
@@ -184,67 +167,63 @@ def _pack(docs: DataFrame, hot: np.ndarray, buckets: int, size: int, m: int) ->
     )
 
 
-def repeated_windows(strings: list[bytes], twice: np.ndarray, size: int, hashes: WordHashes) -> list[np.ndarray]:
-    """For each of some different strings, which of its windows are found again.
+def repeated_windows(strings: list[bytes], twice: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which windows of some different strings are found again, and where each string's begin.
 
     ``twice`` marks strings that stand for two or more places.
     """
-    texts = [s.split() for s in strings]
-    rows = _Batch(texts, hashes)
-    valid = rows.inside(size)
-    found = np.zeros(len(valid), bool)
+    rows = Words(strings, normal=True)
+    valid = windows_of(rows, size)
     counts = rows.sizes - size + 1
     before = np.concatenate([[0], np.cumsum(counts)])
-    for k in np.flatnonzero(twice):
-        found[before[k] : before[k + 1]] = True
+    found = np.repeat(twice, counts)
     values = run_hashes(rows.hashes, size)[valid]
     order = np.argsort(values, kind="stable")
     begins, stops = group_ends(values[order])
-    for a, b in zip(begins[stops - begins > 1].tolist(), stops[stops - begins > 1].tolist(), strict=True):
+    several = stops - begins > 1
+    for a, b in zip(begins[several].tolist(), stops[several].tolist(), strict=True):
         same: dict[bytes, list[int]] = {}
         for w in order[a:b].tolist():
-            same.setdefault(b" ".join(rows.words[valid[w] : valid[w] + size]), []).append(w)
+            words_of = rows.whole[rows.begins[valid[w]] : rows.ends[valid[w] + size - 1]]
+            same.setdefault(words_of, []).append(w)
         for group in same.values():
             if len(group) > 1:
                 found[group] = True
-    return [found[before[k] : before[k + 1]] for k in range(len(strings))]
+    return found, before
 
 
 def _count_bucket(size: int):
     def count(packed: pd.DataFrame) -> pd.DataFrame:
         expand = zstandard.ZstdDecompressor()
-        copies: dict[bytes, int] = {}
-        where: dict[bytes, list[tuple[bytes, int]]] = {}
+        number: dict[bytes, int] = {}
+        of, sent, keys, places = [], [], [], []
         out_keys, out_first, out_last = [], [], []
         for row in packed.itertuples(index=False):
             strings = expand.decompress(row.strings).split(b"\n")
-            places = np.frombuffer(row.places, np.int32).tolist()
-            for i, s in enumerate(strings):
-                sent = i < len(places)
-                copies[s] = copies.get(s, 0) + (1 if sent else 2)
-                if sent:
-                    where.setdefault(s, []).append((row.keys[16 * i : 16 * i + 16], places[i]))
+            of += [number.setdefault(s, len(number)) for s in strings]
+            sent += [True] * (len(strings) - row.n_twice) + [False] * row.n_twice
+            keys.append(row.keys + bytes(16 * row.n_twice))
+            places.append(np.concatenate([np.frombuffer(row.places, np.int32), np.zeros(row.n_twice, np.int32)]))
             bounds = np.frombuffer(row.sure_places, np.int32)
             half = len(bounds) // 2
             out_keys += [row.sure_keys[16 * i : 16 * i + 16] for i in range(half)]
             out_first.append(bounds[:half])
             out_last.append(bounds[half:])
-        strings = list(copies)
-        twice = np.fromiter((copies[s] > 1 for s in strings), bool, len(strings))
-        for s, flags in zip(strings, repeated_windows(strings, twice, size, WordHashes()), strict=True):
-            if not flags.any() or s not in where:
-                continue
+        names, at, came = b"".join(keys), np.concatenate(places), np.array(sent)
+        copies = np.bincount(of, np.where(came, 1, 2))
+        found, before = repeated_windows(list(number), copies > 1, size)
+        some = np.logical_or.reduceat(found, before[:-1])
+        for i in np.flatnonzero(came & some[of]).tolist():
+            flags = found[before[of[i]] : before[of[i] + 1]]
             edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
-            firsts, lasts = edges[::2], edges[1::2] + size - 1
-            for key, place in where[s]:
-                out_keys += [key] * len(firsts)
-                out_first.append(firsts + place)
-                out_last.append(lasts + place)
+            out_keys += [names[16 * i : 16 * i + 16]] * (len(edges) // 2)
+            out_first.append(edges[::2] + at[i])
+            out_last.append(edges[1::2] + size - 1 + at[i])
         return pd.DataFrame(
             {
                 "key": out_keys,
-                "first": np.concatenate(out_first).astype(np.int32) if out_first else np.empty(0, np.int32),
-                "last": np.concatenate(out_last).astype(np.int32) if out_last else np.empty(0, np.int32),
+                "first": np.concatenate(out_first).astype(np.int32),
+                "last": np.concatenate(out_last).astype(np.int32),
             }
         )
 
@@ -278,13 +257,13 @@ def remove_repeats(
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         squeeze = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            texts = [words(x) for x in batch["body"]]
+            texts = [b" ".join(words(x)) for x in batch["body"]]
             yield pd.DataFrame(
                 {
                     "id": batch["id"],
                     "of": [text_key(i, x or "") for i, x in zip(batch["id"], batch["body"], strict=True)],
-                    "n_words": [len(x) for x in texts],
-                    "packed": [squeeze.compress(b" ".join(x)) for x in texts],
+                    "n_words": [x.count(b" ") + 1 if x else 0 for x in texts],
+                    "packed": [squeeze.compress(x) for x in texts],
                 }
             )
 
