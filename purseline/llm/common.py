@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # The two word patterns of the contracts.
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -50,6 +51,23 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def most_frequent(counts: DataFrame, most: int, n: str = "n") -> DataFrame:
+    """The rows with the largest counts, in whole levels of counts, at most ``most`` rows.
+
+    Levels are sixteenths of a power of two, so about a thousand numbers decide; a sort with a
+    limit would send the first rows of every task to one place.
+    """
+    level = F.floor(F.log2(n) * 16)
+    sizes = counts.groupBy(level.alias("level")).agg(F.count("*").alias("size")).collect()
+    held, least = 0, None
+    for row in sorted(sizes, key=lambda x: -x["level"]):
+        held += row["size"]
+        if held > most:
+            break
+        least = row["level"]
+    return counts.where(F.lit(False) if least is None else level >= least)
+
+
 def by_size(batches: Iterator[pd.DataFrame], column: str, most: int = 6_000_000) -> Iterator[pd.DataFrame]:
     """The rows in pieces whose texts have at most ``most`` code points, or are one text.
 

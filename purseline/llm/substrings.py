@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from purseline.llm.common import Words, by_size, group_ends, mix, raw, run_hashes, words
+from purseline.llm.common import Words, by_size, group_ends, mix, most_frequent, raw, run_hashes, words
 from purseline.staging import stage
 
 # Fixed value of the contract: words in a window.
@@ -70,8 +70,9 @@ def hot_mers(docs: DataFrame, text: str, m: int = MER) -> np.ndarray:
             yield pd.DataFrame({"mer": values[often].view(np.int64), "n": counts[often]})
 
     found = docs.select(F.col(text).alias("body")).mapInPandas(count, "mer long, n long")
-    top = found.groupBy("mer").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "mer").limit(MOST_HOT)
-    return np.sort(np.array([row["mer"] for row in top.collect()], np.int64).view(np.uint64))
+    counts = stage(found.groupBy("mer").agg(F.sum("n").alias("n")), "hot-mers")
+    top = most_frequent(counts, MOST_HOT).collect()
+    return np.sort(np.array([row["mer"] for row in top], np.int64).view(np.uint64))
 
 
 def _is_in(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
