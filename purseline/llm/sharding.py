@@ -166,7 +166,8 @@ def _numbered(placed: DataFrame) -> DataFrame:
     """``slot``: numbered within buckets of a shard, after the rows of the buckets before."""
     placed = stage(placed, "shard-placed")
     buckets = max(64, placed.count() // BUCKET_ROWS)
-    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)))
+    # Another hash than the one that chose the first shard, or a shard has few buckets.
+    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("row", F.lit("slot")), F.lit(buckets)))
     counts = placed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select(
