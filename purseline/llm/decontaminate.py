@@ -42,7 +42,8 @@ def windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", siz
                 found = terms(body)
                 for i in range(max(1, len(found) - size + 1) if found else 0):
                     rows.append((f" {' '.join(found[i : i + size])} ", name))
-            yield pd.DataFrame(rows, columns=["pattern", "item"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["pattern", "item"])
 
     rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("body"))
     return rows.where("item is not null").mapInPandas(cut, "pattern string, item string").distinct()

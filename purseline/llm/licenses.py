@@ -105,7 +105,8 @@ def token_frequency(docs: DataFrame, text: str, tokens: frozenset[str]) -> dict[
             for body in batch["body"]:
                 for line in ascii_lower(body).split("\n") if body else ():
                     found.update(tokens.intersection(TERM.findall(line)))
-            yield pd.DataFrame({"token": list(found), "n": list(found.values())})
+            if found:
+                yield pd.DataFrame({"token": list(found), "n": list(found.values())})
 
     counts = docs.select(F.col(text).alias("body")).mapInPandas(count, "token string, n long")
     rows = counts.groupBy("token").agg(F.sum("n").alias("n")).collect()  # no more rows than tokens

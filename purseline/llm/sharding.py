@@ -16,7 +16,7 @@ from purseline.staging import stage
 
 SHARDS = 16
 #: Rounds of propagation, and of evening out at most.
-ROUNDS = 4
+ROUNDS = 6
 EVENINGS = 6
 #: Bytes that a shard may hold over the mean while documents move, and in the end.
 SLACK = 0.02

@@ -83,11 +83,12 @@ def _is_in(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 
 def super_kmers(
-    mers: np.ndarray, valid: np.ndarray, size: int, m: int, hot: np.ndarray
+    mers: np.ndarray, valid: np.ndarray, begins: np.ndarray, size: int, m: int, hot: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first window, number of windows, minimiser) of each stretch that shares a minimiser.
 
-    ``valid`` are the places where windows of one document start, in order.
+    ``valid`` are the places where windows of one document start, in order, ``begins`` those
+    where documents do.
     """
     if not len(valid):
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
@@ -96,6 +97,7 @@ def super_kmers(
     new = np.empty(len(valid), bool)
     new[0] = True
     new[1:] = (least[1:] != least[:-1]) | (valid[1:] != valid[:-1] + 1)
+    new[np.searchsorted(valid, begins[begins <= valid[-1]])] = True
     firsts = np.flatnonzero(new)
     counts = np.diff(np.append(firsts, len(valid)))
     pieces = -(-counts // LONGEST)  # a stretch of one repeated word may be as long as its text
@@ -126,7 +128,9 @@ def _pack(docs: DataFrame, hot: np.ndarray, buckets: int, size: int, m: int) ->
             valid = windows_of(rows, size)
             if not len(valid):
                 continue
-            at, n, least = super_kmers(run_hashes(rows.hashes, m), valid, size, m, shared.value)
+            at, n, least = super_kmers(
+                run_hashes(rows.hashes, m), valid, rows.starts[:-1], size, m, shared.value
+            )
             first, last, whole = rows.begins[at].tolist(), rows.ends[at + n + size - 2].tolist(), rows.whole
             owner = np.searchsorted(rows.starts, at, side="right") - 1
             place = at - rows.starts[owner]

@@ -86,7 +86,7 @@ def write_archive(folder: str, records: list[bytes]) -> str:
     learned = _dictionary(records)
     squeeze = zstandard.ZstdCompressor(level=6, dict_data=learned, write_checksum=True)
     files.create_dir(root, recursive=True)
-    with files.open_output_stream(f"{root}/{name}") as out:
+    with files.open_output_stream(f"{root}/{name}", compression=None) as out:
         if learned is not None:
             data = learned.as_bytes()
             out.write(struct.pack("<II", DICTIONARY_FRAME, len(data)) + data)
@@ -186,7 +186,7 @@ def read_archives(spark: SparkSession, archives: DataFrame, folder: str) -> Data
         files, root = pyarrow.fs.FileSystem.from_uri(folder)
         for batch in batches:
             for name in batch["archive"]:
-                with files.open_input_stream(f"{root}/{name}") as stream:
+                with files.open_input_stream(f"{root}/{name}", compression=None) as stream:
                     rows = [parse(data) for data in frames(stream)]
                 yield pd.DataFrame(rows, columns=[c.split()[0] for c in READ.split(", ")])
 
