@@ -11,18 +11,20 @@ from pyspark.sql import functions as F
 def dedup_events(df: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
     """One row per key: the earliest, and among equally early ones the smallest.
 
-    Which copy survives does not depend on partitioning. Copies are combined map side, so a
+    Rows with a NULL in their key are events of their own and all stay. Which copy survives does not depend on partitioning. Copies are combined map side, so a
     key delivered a billion times reaches the exchange as one row per map task.
     """
     rest = [name for name in df.columns if name not in (*keys, time)]
     first = F.min(F.struct(time, *rest)).alias("_first")
-    kept = df.groupBy(*keys).agg(first)
-    return kept.select(*[F.col(name) if name in keys else F.col(f"_first.{name}").alias(name) for name in df.columns])
+    named = " and ".join(f"`{name}` is not null" for name in keys)
+    kept = df.where(named).groupBy(*keys).agg(first)
+    once = kept.select(*[F.col(name) if name in keys else F.col(f"_first.{name}").alias(name) for name in df.columns])
+    return once.unionByName(df.where(f"not ({named})"))
 
 
 def dedup_metrics(df: DataFrame, key: str, batch: Column) -> DataFrame:
-    """Per batch: delivered rows, different keys and the difference."""
+    """Per batch: delivered rows, different keys and the difference; each NULL key is different."""
     counted = df.groupBy(batch.alias("batch")).agg(
-        F.count(F.lit(1)).alias("raw_rows"), F.count_distinct(key).alias("distinct_rows")
+        F.count(F.lit(1)).alias("raw_rows"), (F.count_distinct(key) + F.count_if(F.col(key).isNull())).alias("distinct_rows")
     )
     return counted.withColumn("dropped_rows", F.col("raw_rows") - F.col("distinct_rows"))

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from purseline.operators.heavy import HEAVY_ROWS
 from purseline.operators.prefix import with_ordered_state
 from purseline.sources.local import local_table
 from purseline.staging import stage
@@ -48,13 +47,13 @@ def fit_label_index(
     df: DataFrame,
     column: str,
     local_labels: int = LOCAL_LABELS,
-    heavy_rows: int = HEAVY_ROWS,
     slices: int | None = None,
 ) -> LabelIndex:
     """Count labels (combined map side) and number them; labels that are not text count as their text.
 
     At most ``local_labels + 1`` rows come to the driver. With more labels than that the
-    counts, kept until then so that the table is read once, are staged and numbered in parallel.
+    counts, kept until then so that the table is read once, are staged and numbered in slices of
+    their order, however few they are.
     """
     spark = df.sparkSession
     text = F.col(column).cast("string").alias("_label")
@@ -73,7 +72,7 @@ def fit_label_index(
     staged = stage(counts, "label-counts").select("_label", (-F.col("n")).alias("minus_n"), F.lit(0).alias("all"))
     counts.unpersist()
     numbered = stage(
-        with_ordered_state(staged, "all", ("minus_n", "_label"), "minus_n", heavy_rows, slices, unique=True).select(
+        with_ordered_state(staged, "all", ("minus_n", "_label"), "minus_n", 0, slices, unique=True).select(
             "_label", (F.col("_rank") - 1).cast("double").alias("_index")
         ),
         "label-index",

@@ -103,8 +103,10 @@ def with_ordered_state(
     heavy = heavy_keys(df, key, heavy_rows)
     if not heavy:
         return df.withColumns(_window_state((key,), order, value))
-    chosen = F.broadcast(local_table(spark, {"_heavy": heavy}, {"_heavy": df.schema[key].dataType}))
+    chosen = F.broadcast(local_table(spark, {"_heavy": [item for item, _ in heavy]}, {"_heavy": df.schema[key].dataType}))
     same = F.col(key).eqNullSafe(F.col("_heavy"))
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # As many slices as keep each below the limit, and as many as tasks anyway.
+    rows = sum(n for _, n in heavy)
+    slices = slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * rows // HEAVY_ROWS))
     light = df.join(chosen, same, "left_anti").withColumns(_window_state((key,), order, value))
     return light.unionByName(_sliced_state(df.join(chosen, same, "left_semi"), key, order, value, slices, unique))

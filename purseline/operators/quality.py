@@ -9,36 +9,40 @@ from pyspark.sql import functions as F
 
 
 def _row_text(columns: Sequence[str]) -> Column:
-    """The columns as text, NULL kept apart from the empty string."""
-    return F.concat_ws(",", *[F.coalesce(F.col(name).cast("string"), F.lit("\\N")) for name in columns])
+    """The columns as text that no other values give: each with its length before it, NULL as -."""
+
+    def field(name: str) -> Column:
+        text = F.col(name).cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    return F.concat(*map(field, columns)) if columns else F.lit("")
 
 
 def table_fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: 16 hex digits that identify the rows, whatever their order, and their number.
 
-    Each row is hashed to 32 bits of MD5; the fingerprint is a SHA-256 of sum and count. The
-    sum is kept in two 64-bit halves, which hold 10^14 rows without overflow.
+    Each row is hashed by MD5, whose four 32-bit parts are added up each for itself, as
+    decimals that no table overflows; the fingerprint is a SHA-256 of the sums and the count.
     """
-    bits = F.conv(F.substring(F.md5(_row_text(columns)), 1, 8), 16, 10).cast("bigint")
-    halves = df.select(bits.alias("bits")).agg(
-        F.coalesce(F.sum(F.shiftright("bits", 16)), F.lit(0)).cast("decimal(20,0)").alias("high"),
-        F.coalesce(F.sum(F.col("bits").bitwiseAND(0xFFFF)), F.lit(0)).cast("decimal(20,0)").alias("low"),
+    row = F.md5(_row_text(columns))
+    parts = [F.conv(F.substring(row, 1 + 8 * i, 8), 16, 10).cast("decimal(10,0)").alias(f"p{i}") for i in range(4)]
+    halves = df.select(*parts).agg(
+        *[F.coalesce(F.sum(f"p{i}"), F.lit(0)).cast("string").alias(f"p{i}") for i in range(4)],
         F.count(F.lit(1)).alias("row_count"),
     )
-    total = (F.col("high") * F.lit(65536).cast("decimal(10,0)") + F.col("low")).cast("string")
-    digest = F.sha2(F.concat_ws(":", total, F.col("row_count").cast("string")), 256)
+    digest = F.sha2(F.concat_ws(":", "p0", "p1", "p2", "p3", F.col("row_count").cast("string")), 256)
     return halves.select(F.substring(digest, 1, 16).alias("fingerprint"), "row_count")
 
 
 def table_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows found only left or only right, counted with their copies; two rows of counts.
 
-    One grouping over both tables instead of two set differences. Copies are combined map
-    side, and no row leaves the cluster.
+    One grouping over both tables instead of two set differences. Rows are shuffled as their
+    MD5 and a weight, so the width of the tables does not count; copies combine map side.
     """
-    columns = left.columns
-    sides = left.withColumn("_weight", F.lit(1)).unionByName(right.withColumn("_weight", F.lit(-1)))
-    balance = sides.groupBy(*columns).agg(F.sum("_weight").alias("balance")).where(F.col("balance") != 0)
+    row = F.unhex(F.md5(_row_text(left.columns))).alias("_row")
+    sides = left.select(row, F.lit(1).alias("_weight")).unionByName(right.select(row, F.lit(-1).alias("_weight")))
+    balance = sides.groupBy("_row").agg(F.sum("_weight").alias("balance")).where(F.col("balance") != 0)
     totals = balance.agg(
         F.coalesce(F.sum(F.when(F.col("balance") > 0, F.col("balance"))), F.lit(0)).alias("left_only"),
         F.coalesce(F.sum(F.when(F.col("balance") < 0, -F.col("balance"))), F.lit(0)).alias("right_only"),

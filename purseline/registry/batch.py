@@ -320,9 +320,15 @@ def totals_sql(width: str, source: str = "events", having: str = "") -> str:
         from {source} group by 1, 2 {having}"""
 
 
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+ORDER_TEXTS = {"o_totalprice": f"o_totalprice::{MONEY}", "o_orderdate": "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')"}
+
+
 def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-    return table_fingerprint(table(spark, sf_dir, "orders"), columns)
+    """All columns; dates and amounts as texts that both engines write alike."""
+    price, day = F.col("o_totalprice").cast(MONEY), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    rows = table(spark, sf_dir, "orders").withColumns({"o_totalprice": price, "o_orderdate": day})
+    return table_fingerprint(rows, ORDER_COLUMNS)
 
 
 def differences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -516,10 +522,11 @@ BATCH: dict[str, Query] = {
     "tumbling_totals": Query(window_totals, totals_sql("10 seconds")),
     "table_fingerprint": Query(
         fingerprint,
-        """select substr(sha256(concat(
-                      sum(('0x' || substr(md5(concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_orderpriority)), 1, 8))
-                          ::bigint)::varchar, ':', count(*)::varchar)), 1, 16) as fingerprint, count(*) as row_count
-           from orders""",
+        f"""with t as (select {", ".join(f"{ORDER_TEXTS.get(c, c)}::varchar as {c}" for c in ORDER_COLUMNS)} from orders),
+            h as (select md5({" || ".join(f"coalesce(length({c}) || ':' || {c}, '-')" for c in ORDER_COLUMNS)}) as m from t),
+            s as (select {", ".join(f"sum(('0x' || substr(m, {1 + 8 * i}, 8))::bigint)::varchar as p{i}" for i in range(4))},
+                         count(*) as row_count from h)
+            select substr(sha256(concat_ws(':', p0, p1, p2, p3, row_count)), 1, 16) as fingerprint, row_count from s""",
     ),
     "table_diff": Query(
         differences,

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from purseline.functions.messages import decode_events, encode_events, split_rejects
@@ -21,7 +22,8 @@ from purseline.schema import Events
 from purseline.sources.topics import read_message_files, write_message_files
 from purseline.staging import staging_path
 from purseline.streaming.dedup import dedup_stream
-from purseline.streaming.sinks import batch_totals_writer, start_batches, start_table, state_partitions
+from purseline.sources.local import local_table
+from purseline.streaming.sinks import batch_counts, batch_totals_writer, start_batches, start_table, state_partitions
 from purseline.streaming.totals import deduplicated_totals, windowed_totals
 
 SLICES = 3
@@ -135,6 +137,22 @@ def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(totals)
 
 
+def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per slice, a micro-batch with data: rows read, and rows dropped as repeats or as late."""
+    path, counts = staging_path(spark, "stream-output"), []
+    feed, checkpoint = staging_path(spark, "feed"), staging_path(spark, "stream-checkpoint")
+    for number, delivery in enumerate(_slices(_feed_rows(spark, sf_dir), repeated=True)):
+        write_message_files(encode_events(delivery, MESSAGE_COLUMNS), feed)
+        usable, _ = split_rejects(decode_events(read_message_files(spark, feed)))
+        with state_partitions(spark):
+            query = start_table(dedup_stream(usable, ["event_id"], "timestamp", DELAY), path, checkpoint)
+            query.awaitTermination()
+        counts += [{**c, "slice": number} for c in batch_counts(query) if c["raw_rows"]]
+    schema = {name: T.LongType() for name in ("slice", "raw_rows", "repeats", "late")}
+    rows = local_table(spark, {name: [c[name] for c in counts] for name in schema}, schema)
+    return rows.select("slice", "raw_rows", (F.col("repeats") + F.col("late")).alias("dropped_rows"))
+
+
 def stream_batch_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "batch-totals")
     write = batch_totals_writer(path, Events(), HOUR, scale=2)
@@ -172,5 +190,16 @@ STREAMS: dict[str, Query] = {
     "stream_window_totals": Query(stream_window_totals, totals_sql(HOUR, having=CLOSED)),
     "stream_resume": Query(stream_resume, totals_sql(HOUR, having=CLOSED)),
     "stream_late_data": Query(stream_late_data, LATE_ROWS + totals_sql(HOUR, "delivered", CLOSED)),
+    "stream_batch_counts": Query(
+        stream_batch_counts,
+        f"""with bounds as (select min(epoch_us(ts)) as lo, max(epoch_us(ts)) as hi from events),
+            sliced as (select event_type, floor((epoch_us(ts) - lo) * {SLICES} / (hi - lo + 1)) as k from events, bounds),
+            delivered as (
+                select k, 0 as again from sliced
+                union all select k, 1 from sliced where event_type = 'purchase'
+                union all select k + 1, 1 from sliced where event_type = 'error' and k < {SLICES - 1})
+            select k::bigint as slice, count(*) as raw_rows, sum(again)::bigint as dropped_rows
+            from delivered group by 1""",
+    ),
     "stream_batch_partials": Query(stream_batch_partials, totals_sql(HOUR)),
 }

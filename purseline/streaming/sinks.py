@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from purseline.operators.totals import tumbling_totals
 from purseline.schema import Events
@@ -16,33 +18,39 @@ WIDTH = "spark.sql.shuffle.partitions"
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, most: int | None = None) -> Iterator[None]:
-    """Queries started inside keep their state in one wave of tasks.
+def state_partitions(spark: SparkSession, number: int | None = None) -> Iterator[None]:
+    """Queries started inside keep their state in exactly ``number`` partitions.
 
-    A micro-batch is far smaller than a table, and each state partition costs files in every
-    batch, so the shuffle width of table queries is too much. A query keeps the width of its
-    first start for as long as its checkpoint lives. ``most`` defaults to the cores there are.
+    Each state partition costs files in every micro-batch, so a number near the cores meant
+    for the job does best. A query keeps the width of its first start for as long as its
+    checkpoint lives; without ``number`` it is the session's setting, whatever cores there
+    happen to be at that moment.
     """
     width = spark.conf.get(WIDTH)
-    spark.conf.set(WIDTH, min(int(width), most or spark.sparkContext.defaultParallelism))
+    spark.conf.set(WIDTH, number or int(width))
     try:
         yield
     finally:
         spark.conf.set(WIDTH, width)
 
 
-def _with_trigger(writer: DataStreamWriter, checkpoint: str, every: str | None) -> DataStreamWriter:
+def _with_trigger(
+    writer: DataStreamWriter, checkpoint: str, every: str | None, name: str | None = None
+) -> DataStreamWriter:
     writer = writer.option("checkpointLocation", checkpoint)
+    writer = writer.queryName(name) if name else writer
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
-def start_table(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+def start_table(
+    df: DataFrame, path: str, checkpoint: str, every: str | None = None, name: str | None = None
+) -> StreamingQuery:
     """Append to a Parquet folder whose log admits each micro-batch once.
 
     ``every`` sets the trigger interval; without it the query takes what is there and ends.
     """
     writer = df.writeStream.format("parquet").outputMode("append").option("path", path)
-    return _with_trigger(writer, checkpoint, every).start()
+    return _with_trigger(writer, checkpoint, every, name).start()
 
 
 def start_messages(
@@ -60,10 +68,14 @@ def start_console(df: DataFrame, checkpoint: str, every: str | None = None) -> S
 
 
 def start_batches(
-    df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None
+    df: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    every: str | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Call ``write(batch, batch_id)`` for each micro-batch."""
-    return _with_trigger(df.writeStream.foreachBatch(write), checkpoint, every).start()
+    return _with_trigger(df.writeStream.foreachBatch(write), checkpoint, every, name).start()
 
 
 def batch_totals_writer(
@@ -82,20 +94,50 @@ def batch_totals_writer(
     return write
 
 
+def _counts(progress) -> dict[str, int]:
+    operators = progress["stateOperators"]
+    return {
+        "batch_id": progress["batchId"],
+        "raw_rows": progress["numInputRows"],
+        "repeats": sum(int(o["customMetrics"].get("numDroppedDuplicateRows", 0)) for o in operators),
+        "late": sum(int(o["numRowsDroppedByWatermark"]) for o in operators),
+    }
+
+
 def batch_counts(query: StreamingQuery) -> list[dict[str, int]]:
-    """Per micro-batch: rows read, repeats dropped by state, rows dropped as late.
+    """Of the latest micro-batches: rows read, repeats dropped by state, rows dropped as late.
 
-    Taken from the query's own progress reports, so counting costs no job.
+    Taken from the query's own progress reports, so counting costs no job. ``late`` counts
+    what reaches the state: events where dedup comes first, and one row per window and task
+    where rows are combined before it. Spark keeps the last reports only (see ``CountLog``).
     """
-    counts = []
-    for progress in query.recentProgress:
-        operators = progress["stateOperators"]
-        counts.append(
-            {
-                "batch_id": progress["batchId"],
-                "raw_rows": progress["numInputRows"],
-                "repeats": sum(int(o["customMetrics"].get("numDroppedDuplicateRows", 0)) for o in operators),
-                "late": sum(int(o["numRowsDroppedByWatermark"]) for o in operators),
-            }
-        )
-    return counts
+    return [_counts(progress) for progress in query.recentProgress]
+
+
+class CountLog(StreamingQueryListener):
+    """Writes the counts of every micro-batch of one query to ``path/batch_id=N``.
+
+    Add it to ``spark.streams`` before the query starts. A replayed batch overwrites its own
+    file; a trigger without data reports nothing new and is left out.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, name: str):
+        self.spark, self.path, self.name = spark, path, name
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        if progress.name != self.name or not progress.numInputRows:
+            return
+        counts = _counts(json.loads(progress.json))
+        batch = counts.pop("batch_id")
+        row = self.spark.range(1).select(*[F.lit(n).cast("long").alias(k) for k, n in counts.items()])
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from purseline.operators.totals import tumbling_totals
@@ -19,7 +21,7 @@ def windowed_totals(
     """Sum and count per window, kept in state until the watermark passes the window's end.
 
     Rows of a window combine map side before they reach its state, so a busy window is no
-    hot spot. Events of windows already closed are dropped and counted by Spark.
+    hot spot. Events of windows already closed are dropped.
     """
     return tumbling_totals(events.withWatermark(names.time, delay), names, width, scale)
 
@@ -30,6 +32,10 @@ def deduplicated_totals(
     width: str = "10 seconds",
     delay: str = DELAY,
     scale: int | None = None,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Window totals in which every event counts once, under one shared watermark."""
-    return tumbling_totals(dedup_stream(events, [names.key], names.time, delay), names, width, scale)
+    """Window totals in which every event counts once, under one shared watermark.
+
+    ``keys`` names an event, its id by default; ids that can start again need more columns.
+    """
+    return tumbling_totals(dedup_stream(events, list(keys) or [names.key], names.time, delay), names, width, scale)

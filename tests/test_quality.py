@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from purseline.operators.latency import latency_summary, throughput
+from purseline.operators.dedup import dedup_events, dedup_metrics
 from purseline.operators.quality import table_diff, table_fingerprint
 
 
@@ -54,3 +55,16 @@ def test_throughput_of_one_instant_is_null(spark):
     df = spark.createDataFrame([("a", 0), ("a", 4), ("b", 1)], "level string, s int")
     rates = throughput(df.withColumn("t", F.timestamp_seconds("s")), "level", "t").collect()
     assert {r.level: r.events_per_second for r in rates} == {"a": 0.5, "b": None}
+
+
+def test_fingerprint_keeps_fields_apart(spark):
+    rows = [("x,y", "z"), ("x", "y,z"), (None, "z"), ("\\N", "z"), ("-", "z"), ("1:x", "")]
+    prints = {fingerprint(spark.createDataFrame([row], "a string, b string")) for row in rows}
+    assert len(prints) == len(rows)
+
+
+def test_null_keys_are_events_of_their_own(spark):
+    df = spark.createDataFrame([(None, 1), (None, 1), (None, 2), (7, 1), (7, 2)], "k int, t int")
+    assert dedup_events(df, ["k"], "t").count() == 4
+    (counts,) = dedup_metrics(df, "k", F.lit(1)).collect()
+    assert (counts.raw_rows, counts.distinct_rows, counts.dropped_rows) == (5, 4, 1)
