@@ -1,6 +1,10 @@
 """Command line job: transactions in, user features out.
 
-    spark-submit purseline/plans/feature_job.py --input IN --output OUT [--master M] [--partitions N]
+    python -m purseline.plans.feature_job --input IN --output OUT
+
+or, where the package is not installed, with it in a zip (see README):
+
+    spark-submit --py-files purseline.zip purseline/plans/feature_job.py --input IN --output OUT [--master M] [--partitions N]
 """
 
 from __future__ import annotations
