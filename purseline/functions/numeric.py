@@ -16,6 +16,13 @@ def to_units(amount: Column, scale: int | None) -> Column:
     return F.rint(amount * F.lit(float(10**scale))).cast("bigint")
 
 
+def finite_units(amount: Column, scale: int | None) -> Column:
+    """``to_units`` with NULL for NaN and the infinities, which have no units."""
+    if scale is None:
+        return amount
+    return F.when(~non_finite(amount), to_units(amount, scale))
+
+
 def from_units(units: Column, scale: int | None) -> Column:
     """Back to a double: the one nearest to the exact value."""
     if scale is None:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from purseline.functions.categories import category_flags
-from purseline.functions.numeric import from_units, non_finite, ratio, to_units
+from purseline.functions.numeric import finite_units, from_units, non_finite, ratio, to_units
 from purseline.functions.temporal import time_parts, with_event_time
 from purseline.schema import CATEGORIES, Transactions
 
@@ -46,13 +46,20 @@ def _shared(cols: Transactions) -> dict[str, Column]:
     return {
         "_rows": F.count(F.lit(1)),
         "_n": F.count(amount),
-        "_sum": F.sum(to_units(amount, cols.scale)),
+        "_sum": F.sum(finite_units(amount, cols.scale)),
+        **({} if cols.scale is None else {"_special": F.sum(F.when(non_finite(amount), amount))}),
     }
 
 
+def _total(cols: Transactions) -> Column:
+    """The sum of amounts; with units, NaN and infinities are summed beside and decide."""
+    total = from_units(F.col("_sum"), cols.scale)
+    return total if cols.scale is None else F.coalesce("_special", total)
+
+
 def amount_measures(cols: Transactions = Transactions()) -> Measures:
     amount = F.col(cols.amount)
-    total = from_units(F.col("_sum"), cols.scale)
+    total = _total(cols)
     state = {
         **_shared(cols),
         "_max": F.max(amount),
@@ -127,7 +134,7 @@ def _position(df: DataFrame, cols: Transactions) -> Column:
     last = F.col(cols.order[-1])
     integer = isinstance(df.schema[cols.order[-1]].dataType, T.IntegralType)
     if not cols.tiebreak and cols.scale is not None:
-        last, integer = to_units(last, cols.scale), True
+        last, integer = F.when(non_finite(last), F.lit(2**63 - 1)).otherwise(to_units(last, cols.scale)), True
     if len(cols.order) == 2 and timed and integer:
         micros = F.unix_micros(F.col(cols.time).cast("timestamp")).cast("decimal(18,0)")
         tie = last.cast("decimal(20,0)")
@@ -138,24 +145,26 @@ def _position(df: DataFrame, cols: Transactions) -> Column:
 
 def sequence_measures(df: DataFrame, cols: Transactions = Transactions()) -> Measures:
     amount = F.col(cols.amount)
-    finite_mean = ratio(from_units(F.col("_last"), cols.scale), F.col("_n"))
-    mean_delta = finite_mean
+    # inf - inf is NaN: a mean of deltas is finite or infinite only if nothing but the last
+    # amount is out of the ordinary.
+    position = _position(df, cols)
     state = {
         **_shared(cols),
-        "_last": F.max_by(to_units(amount, cols.scale), _position(df, cols)),
+        "_last": F.max_by(finite_units(amount, cols.scale), position),
+        "_odd": F.count_if(non_finite(amount)),
     }
-    if cols.scale is None:
-        # inf - inf is NaN: a mean of deltas is finite or infinite only if nothing but the
-        # last amount is out of the ordinary.
-        state["_odd"] = F.count_if(non_finite(amount))
-        ordinary = (F.col("_odd") == 0) | ((F.col("_odd") == 1) & non_finite(F.col("_last")))
-        mean_delta = F.when(ordinary, finite_mean).otherwise(F.lit(float("nan")))
+    last = from_units(F.col("_last"), cols.scale)
+    if cols.scale is not None:
+        state["_last_special"] = F.max_by(F.when(non_finite(amount), amount), position)
+        last = F.coalesce("_last_special", last)
+    ordinary = (F.col("_odd") == 0) | ((F.col("_odd") == 1) & non_finite(last))
+    mean_delta = F.when(ordinary, ratio(last, F.col("_n"))).otherwise(F.lit(float("nan")))
     return Measures(
         state,
         {
             "avg_amount_delta": mean_delta,
             "total_transactions_ranked": F.col("_rows"),
-            "final_running_total": from_units(F.col("_sum"), cols.scale),
+            "final_running_total": _total(cols),
         },
     )
 

@@ -145,3 +145,17 @@ def test_a_saved_index_can_be_used_again(spark, sf_dir):
     index = fit_label_index(rows, "event_type")
     again = user_features(rows, EVENTS, EVENT_LABELS, index=index).select("user_id", "avg_category_index")
     assert again.exceptAll(user_features(rows, EVENTS, EVENT_LABELS).select(*again.columns)).count() == 0
+
+
+@pytest.mark.parametrize("tiebreak", [(), ("txn_id",)])
+def test_nan_and_infinity_with_and_without_scale(spark, tiebreak):
+    nan, inf = float("nan"), float("inf")
+    amounts = {"a": [1.0, 2.0], "b": [1.0, nan], "c": [inf, 2.0], "d": [inf, inf], "e": [nan], "f": [2.0, inf]}
+    rows = [(u, x, f"2026-01-0{i + 1} 00:00:00", "x", i) for u, values in amounts.items() for i, x in enumerate(values)]
+    df = spark.createDataFrame(rows, "user_id string, amount double, timestamp string, category string, txn_id long")
+    out = []
+    for scale in (None, 2):
+        cols = Transactions(tiebreak=tiebreak, scale=scale)
+        both = user_amount_stats(df, cols).join(user_sequence_stats(df, cols), "user_id").orderBy("user_id")
+        out.append([[str(value) for value in row] for row in both.collect()])
+    assert out[0] == out[1]
