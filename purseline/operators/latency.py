@@ -18,6 +18,11 @@ FEW_LEVELS = 10_000
 PERCENTILES = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
 
 
+def with_processing_time(df: DataFrame, name: str = "processed_at") -> DataFrame:
+    """Add the time of the run; of a stream, that of each row's micro-batch."""
+    return df.withColumn(name, F.current_timestamp())
+
+
 def latency_ms(df: DataFrame, event_time: str, processed_at: str) -> DataFrame:
     """Add ``latency_ms`` = processing time - event time."""
     micros = F.unix_micros(F.col(processed_at)) - F.unix_micros(F.col(event_time))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from purseline.functions.categories import category_flags
-from purseline.functions.numeric import finite_units, from_units, non_finite, ratio, to_units
+from purseline.functions.numeric import double_order, finite_units, from_units, non_finite, ratio, to_units
 from purseline.functions.temporal import time_parts, with_event_time
 from purseline.schema import CATEGORIES, Transactions
 
@@ -121,9 +121,9 @@ def category_measures(
 def _position(df: DataFrame, cols: Transactions) -> Column:
     """A value that orders a user's rows as ``cols.order`` does.
 
-    A time and one integer (a tie-break, or money in units) are packed into a DECIMAL(38):
-    unlike a struct that is of fixed width, so the aggregate stays a hash aggregate instead
-    of one that sorts. Zone-less times are packed only where the session zone has no clock
+    A time and one number (a tie-break, money in units, or a double by its bits) are packed
+    into a DECIMAL(38): unlike a struct that is of fixed width, so the aggregate stays a hash
+    aggregate instead of one that sorts. Zone-less times are packed only where the session zone has no clock
     changes, which would reorder them.
     """
     zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
@@ -132,9 +132,12 @@ def _position(df: DataFrame, cols: Transactions) -> Column:
         isinstance(time_type, T.TimestampNTZType) and zone in UNCHANGING_ZONES
     )
     last = F.col(cols.order[-1])
-    integer = isinstance(df.schema[cols.order[-1]].dataType, T.IntegralType)
+    last_type = df.schema[cols.order[-1]].dataType
+    integer = isinstance(last_type, T.IntegralType)
     if not cols.tiebreak and cols.scale is not None:
         last, integer = F.when(non_finite(last), F.lit(2**63 - 1)).otherwise(to_units(last, cols.scale)), True
+    elif isinstance(last_type, T.FractionalType) and not isinstance(last_type, T.DecimalType):
+        last, integer = double_order(last), True
     if len(cols.order) == 2 and timed and integer:
         micros = F.unix_micros(F.col(cols.time).cast("timestamp")).cast("decimal(18,0)")
         tie = last.cast("decimal(20,0)")

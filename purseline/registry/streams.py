@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from purseline.functions.messages import decode_events, encode_events, split_rejects
+from purseline.operators.latency import latency_ms, latency_summary, with_processing_time
 from purseline.operators.totals import merge_totals
 from purseline.registry.batch import DECODED_SQL, MESSAGE_COLUMNS, totals_sql
 from purseline.registry.bindings import Query, table
@@ -153,6 +154,25 @@ def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("slice", "raw_rows", (F.col("repeats") + F.col("late")).alias("dropped_rows"))
 
 
+def stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per day of the events, how many the stream passed on, and whether its latencies can be true.
+
+    The latencies themselves differ from run to run: the time of an event's micro-batch less
+    the event's own.
+    """
+    started = spark.range(1).select(F.unix_micros(F.current_timestamp())).first()[0]
+    passed = _replay_to_table(
+        spark, _slices(_feed_rows(spark, sf_dir)), with_processing_time, f"{DECODED_SCHEMA}, processed_at timestamp"
+    )
+    day = F.date_format("timestamp", "yyyy-MM-dd").alias("day")
+    rows = latency_ms(passed, "timestamp", "processed_at").select(day, "latency_ms", "timestamp")
+    least = rows.groupBy(F.col("day").alias("of")).agg(F.max(F.unix_micros("timestamp")).alias("latest"))
+    both = latency_summary(rows.select("day", "latency_ms"), "day").join(least, F.col("day") == F.col("of"))
+    ordered = (F.col("p50") <= F.col("p95")) & (F.col("p95") <= F.col("p99"))
+    after = F.col("p50") >= (F.lit(started) - F.col("latest")) / 1000.0
+    return both.select("day", "n", ordered.alias("ordered"), after.alias("after_start"))
+
+
 def stream_batch_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "batch-totals")
     write = batch_totals_writer(path, Events(), HOUR, scale=2)
@@ -201,5 +221,10 @@ STREAMS: dict[str, Query] = {
             select k::bigint as slice, count(*) as raw_rows, sum(again)::bigint as dropped_rows
             from delivered group by 1""",
     ),
+    "stream_latency": Query(
+        stream_latency,
+        """select strftime(ts, '%Y-%m-%d') as day, count(*) as n, true as ordered, true as after_start
+           from events group by 1""",
+    ),
     "stream_batch_partials": Query(stream_batch_partials, totals_sql(HOUR)),
 }

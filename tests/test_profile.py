@@ -2,11 +2,14 @@
 
 import datetime as dt
 import math
+import random
+import struct
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from purseline.functions.numeric import double_order
 from purseline.operators.filters import amount_above
 from purseline.operators.labels import fit_label_index
 from purseline.operators.normalise import population_stats, with_zscores
@@ -159,3 +162,20 @@ def test_nan_and_infinity_with_and_without_scale(spark, tiebreak):
         both = user_amount_stats(df, cols).join(user_sequence_stats(df, cols), "user_id").orderBy("user_id")
         out.append([[str(value) for value in row] for row in both.collect()])
     assert out[0] == out[1]
+
+
+def test_doubles_order_by_their_bits(spark):
+    """Powers of two and their neighbours, subnormals, both zeros, both infinities, NaN."""
+    draw = random.Random(6)
+    sizes = [0.0, 5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, math.inf, 0.1, 100.0]
+    for exponent in range(-1074, 1024, 13):
+        power = math.ldexp(1.0, exponent)
+        sizes += [power, math.nextafter(power, 0), math.nextafter(power, math.inf)]
+    sizes += [math.ldexp(draw.random(), draw.randrange(-1070, 1020)) for _ in range(2_000)]
+    values = sizes + [-x for x in sizes] + [math.nan]
+    found = spark.createDataFrame([(x,) for x in values], "x double").select("x", double_order(F.col("x")).alias("n")).collect()
+    for row in found:
+        bits = struct.unpack("<q", struct.pack("<d", abs(row.x)))[0]
+        want = 2047 * 2**52 + 1 if math.isnan(row.x) else -bits if row.x < 0 else bits
+        assert row.n == want, row.x
+    assert spark.createDataFrame([(None,)], "x double").select(double_order(F.col("x"))).first()[0] is None
