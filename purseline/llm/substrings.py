@@ -6,8 +6,9 @@ windows have equal minimisers, so a bucket sees all copies of its windows. There
 are sorted by a hash, and those with equal hashes are compared word for word.
 
 Hot places stay small: frequent m-word hashes come last in the order of minimisers, so a
-window that holds a common line is filed under its own rare words; a packed string that
-repeats within a batch of documents is sent once, marked as repeated.
+window that holds a common line is filed under its own rare words. A packed string that
+repeats within a batch of documents is sent once by its task, marked as repeated; the places
+it comes from need no bucket, and go to addresses of their own, dealt by batch.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,8 @@ MOST_HOT = 65_536
 BUCKET_BYTES = 4_000_000
 #: Windows in a packed string.
 LONGEST = 1_024
+#: Repeated strings that a task remembers having sent; it would send any others again.
+REMEMBERED = 200_000
 
 
 def windows_of(rows: Words, length: int) -> np.ndarray:
@@ -112,18 +116,27 @@ def text_key(id: object, text: str) -> bytes:
     return xxhash.xxh3_128_digest(f"{id}\0{text}".encode("utf-8", "surrogatepass"))
 
 
+def merged_stretches(owner: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches in order of owner and place, with those that touch or overlap made one."""
+    new = np.append(True, (owner[1:] != owner[:-1]) | (first[1:] > last[:-1]))
+    begins = np.flatnonzero(new)
+    return owner[begins], first[begins], last[np.append(begins[1:], len(first)) - 1]
+
+
 def _pack(docs: DataFrame, hot: np.ndarray, buckets: int, size: int, m: int) -> DataFrame:
     """Per batch and bucket the packed strings, with the places they come from.
 
-    A string found again in its batch is certain to repeat: it is sent with no place, and its
-    places go out as ``sure`` marks at once. So a bucket gets at most one copy of a string
-    from a batch, however many documents hold it.
+    A string found again in its batch is certain to repeat: the task sends it once, with no
+    place, and its places are known to be covered from there on. These, merged by document,
+    are a row without strings per batch, whose address above the buckets follows the batch.
+    So a bucket does not grow with the documents that hold a string.
     """
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        squeeze = zstandard.ZstdCompressor(level=3)
-        for batch in by_size(batches, "body"):
+        squeeze, sent = zstandard.ZstdCompressor(level=3), set()
+        task = TaskContext.get().partitionId()
+        for turn, batch in enumerate(by_size(batches, "body")):
             rows = Words([raw(x) for x in batch["body"]])
             valid = windows_of(rows, size)
             if not len(valid):
@@ -142,34 +155,43 @@ def _pack(docs: DataFrame, hot: np.ndarray, buckets: int, size: int, m: int) ->
             bucket = mix(least) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             begins, stops = group_ends(bucket[order])
-            out = []
+            out, covered = [], []
             for a, b in zip(begins.tolist(), stops.tolist(), strict=True):
                 seen: dict[bytes, list[int]] = {}
                 for r in order[a:b].tolist():
                     seen.setdefault(whole[first[r] : last[r]], []).append(r)
-                single = [runs[0] for runs in seen.values() if len(runs) == 1]
-                strings = [s for s, runs in seen.items() if len(runs) == 1]
-                twice = [s for s, runs in seen.items() if len(runs) > 1]
-                sure = [r for runs in seen.values() if len(runs) > 1 for r in runs]
-                out.append(
-                    (
-                        int(bucket[order[a]]),
-                        squeeze.compress(b"\n".join(strings + twice)),
-                        len(twice),
-                        b"".join(keys[owners[r]] for r in single),
-                        place[single].astype(np.int32).tobytes(),
-                        b"".join(keys[owners[r]] for r in sure),
-                        np.concatenate([place[sure], place[sure] + n[sure] + size - 1]).astype(np.int32).tobytes(),
+                single, strings, twice = [], [], []
+                for string, runs in seen.items():
+                    name = xxhash.xxh3_128_digest(string) if sent or len(runs) > 1 else b""
+                    if name in sent:
+                        covered += runs
+                    elif len(runs) > 1:
+                        covered += runs
+                        twice.append(string)
+                        if len(sent) < REMEMBERED:
+                            sent.add(name)
+                    else:
+                        single.append(runs[0])
+                        strings.append(string)
+                if strings or twice:
+                    out.append(
+                        (
+                            int(bucket[order[a]]),
+                            squeeze.compress(b"\n".join(strings + twice)),
+                            len(twice),
+                            b"".join(keys[owners[r]] for r in single),
+                            place[single].astype(np.int32).tobytes(),
+                        )
                     )
-                )
-            yield pd.DataFrame(
-                out, columns=["bucket", "strings", "n_twice", "keys", "places", "sure_keys", "sure_places"]
-            )
+            if covered:
+                at_ = np.sort(np.array(covered))
+                of, a, b = merged_stretches(owner[at_], place[at_], place[at_] + n[at_] + size - 1)
+                address = buckets + int(mix(np.array([task << 32 | turn], np.uint64))[0] % np.uint64(buckets))
+                bounds = np.concatenate([a, b]).astype(np.int32).tobytes()
+                out.append((address, None, 0, b"".join(keys[k] for k in of.tolist()), bounds))
+            yield pd.DataFrame(out, columns=["bucket", "strings", "n_twice", "keys", "places"])
 
-    return docs.mapInPandas(
-        pack,
-        "bucket long, strings binary, n_twice int, keys binary, places binary, sure_keys binary, sure_places binary",
-    )
+    return docs.mapInPandas(pack, "bucket long, strings binary, n_twice int, keys binary, places binary")
 
 
 def repeated_windows(strings: list[bytes], twice: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -202,18 +224,21 @@ def _count_bucket(size: int):
         expand = zstandard.ZstdDecompressor()
         number: dict[bytes, int] = {}
         of, sent, keys, places = [], [], [], []
-        out_keys, out_first, out_last = [], [], []
+        out_keys, out_first, out_last = [], [np.empty(0, np.int32)], [np.empty(0, np.int32)]
+        if packed["strings"].iloc[0] is None:  # an address of covered stretches
+            for row in packed.itertuples(index=False):
+                bounds = np.frombuffer(row.places, np.int32)
+                half = len(bounds) // 2
+                out_keys += [row.keys[16 * i : 16 * i + 16] for i in range(half)]
+                out_first.append(bounds[:half])
+                out_last.append(bounds[half:])
+            return pd.DataFrame({"key": out_keys, "first": np.concatenate(out_first), "last": np.concatenate(out_last)})
         for row in packed.itertuples(index=False):
             strings = expand.decompress(row.strings).split(b"\n")
             of += [number.setdefault(s, len(number)) for s in strings]
             sent += [True] * (len(strings) - row.n_twice) + [False] * row.n_twice
             keys.append(row.keys + bytes(16 * row.n_twice))
             places.append(np.concatenate([np.frombuffer(row.places, np.int32), np.zeros(row.n_twice, np.int32)]))
-            bounds = np.frombuffer(row.sure_places, np.int32)
-            half = len(bounds) // 2
-            out_keys += [row.sure_keys[16 * i : 16 * i + 16] for i in range(half)]
-            out_first.append(bounds[:half])
-            out_last.append(bounds[half:])
         names, at, came = b"".join(keys), np.concatenate(places), np.array(sent)
         copies = np.bincount(of, np.where(came, 1, 2))
         found, before = repeated_windows(list(number), copies > 1, size)
