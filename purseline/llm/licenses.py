@@ -69,26 +69,25 @@ class TemplateIndex:
             self.templates.append((label, frozenset(tokens), need))
             for place, token in enumerate(tokens[: len(tokens) - need + 1]):
                 self.prefixes.setdefault(token, []).append((number, place))
-        self.first = frozenset(self.prefixes)
 
     def meet(self, block: set[str]) -> list[tuple[str, float]]:
         """``(label, containment)`` of the templates that the block meets.
 
         A template whose tokens are all in another one that is met says less, and is left out.
         """
-        common = block & self.first
-        if not common:
+        if block.isdisjoint(self.prefixes):
             return []
-        tried: dict[int, bool] = {}
+        tried: set[int] = set()
         met: list[tuple[str, frozenset[str], float]] = []
-        for token in sorted(common, key=self.order.__getitem__):
-            for number, place in self.prefixes[token]:
+        held = sorted(block & self.order.keys(), key=self.order.__getitem__)
+        for at, token in enumerate(held):
+            for number, place in self.prefixes.get(token, ()):
                 if number in tried:
                     continue
-                tried[number] = True
+                tried.add(number)
                 label, tokens, need = self.templates[number]
-                # This is the first common token: none of the `place` tokens before it is there.
-                if len(block) < need or len(tokens) - place < need:
+                # The first common token: all others come after it, in the block and the template.
+                if len(held) < need or min(len(held) - at, len(tokens) - place) < need:
                     continue
                 overlap = len(tokens & block)
                 if overlap >= need:
@@ -119,9 +118,10 @@ def _scan(text: str | None, index: TemplateIndex, phrases: Mapping[str, str]) ->
     joined = f" {' '.join(found)} "
     places, base = [], set()
     for phrase, label in phrases.items():
-        at = joined.find(f" {phrase} ")
+        at, word, seen = joined.find(f" {phrase} "), 0, 0
         while at >= 0:
-            places.append(joined.count(" ", 0, at))
+            word, seen = word + joined.count(" ", seen, at), at
+            places.append(word)
             base.add(label)
             at = joined.find(f" {phrase} ", at + 1)
     labels, score = set(base), 1.0 if base else 0.0
