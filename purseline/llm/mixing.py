@@ -27,6 +27,8 @@ MOST_TIMES = 3
 
 #: Documents in a block of the flight phase.
 BLOCK = 8_192
+#: Rows of one document from which on they are dealt to blocks one by one.
+CROWD = 64
 SEED = 20_240_229
 TINY = 1e-9
 
@@ -126,14 +128,28 @@ def _fly(land: bool, number: int):
     return run
 
 
+def _spread(units: DataFrame) -> DataFrame:
+    """``units`` with other codes for rows of a document that repeats over ``CROWD`` times.
+
+    They would all be dealt to one block; by code and row they go to all.
+    """
+    crowds = units.groupBy(F.col("code").alias("crowd")).agg(F.count("*").alias("n")).where(F.col("n") > CROWD)
+    joined = units.join(crowds.drop("n"), F.col("code") == F.col("crowd"), "left")
+    own = F.when(F.col("crowd").isNull(), F.col("code")).otherwise(F.xxhash64("code", "row"))
+    return joined.withColumn("code", own).drop("crowd")
+
+
 def balanced_copies(units: DataFrame, block: int = BLOCK) -> DataFrame:
     """``(row, copies)`` from ``row``, ``source``, ``size``, ``code``, ``times``.
 
     ``code`` is a hash of the document that rows with different content hardly share; it deals
-    documents to blocks, so that reruns and other partitionings choose alike.
+    documents to blocks, so that reruns and other partitionings choose alike. Only where one
+    row is there over ``CROWD`` times do its copies go by their row numbers.
     """
     whole = F.floor("times").cast("long")
-    state = units.select("row", "source", "size", "code", whole.alias("whole"), (F.col("times") - whole).alias("chance"))
+    state = _spread(units).select(
+        "row", "source", "size", "code", whole.alias("whole"), (F.col("times") - whole).alias("chance")
+    )
     kind = dict(units.dtypes)["source"]
     schema = f"row long, source {kind}, size long, code long, whole long, chance double"
     done, number = None, 0
