@@ -28,6 +28,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 #: Record bytes in one archive; it is what a task holds before it writes.
 ARCHIVE_BYTES = 16_000_000
+#: Archives that a reading task takes where there are more of them than cores.
+READ_ARCHIVES = 8
 #: Dictionary bytes, at most; a hundredth of the records where that is less.
 DICTIONARY_BYTES = 65_536
 #: Smaller payloads are archived again rather than revisited.
@@ -190,7 +192,8 @@ def read_archives(spark: SparkSession, archives: DataFrame, folder: str) -> Data
                     rows = [parse(data) for data in frames(stream)]
                 yield pd.DataFrame(rows, columns=[c.split()[0] for c in READ.split(", ")])
 
-    spread = archives.repartition(max(1, archives.count()))
+    number = archives.count()
+    spread = archives.repartition(max(1, min(number, spark.sparkContext.defaultParallelism), -(-number // READ_ARCHIVES)))
     return spread.select("archive").mapInPandas(read, READ)
 
 
