@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from purseline.llm import decontaminate, jaccard, licenses, lm, mixing, quality, secrets, sharding, substrings, warc
-from purseline.llm.common import Words, fresh, most_frequent, run_hashes
+from purseline.llm.common import Words, by_size, fresh, most_frequent, run_hashes
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that the operators use inside or return.
@@ -297,6 +297,9 @@ def test_license_rows(spark, docs, empty):
     more = rows(licenses.scan_licenses(spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate(lines)], DOCS)))
     assert [(r["labels"], r["n_base"]) for r in more] == [("gpl-3", 0), ("cc-by-nc", 2), ("", 0)]
     assert licenses.scan_licenses(empty).count() == 0
+    index = licenses.TemplateIndex(licenses.TEMPLATES, {})
+    found = licenses._scan("a cc by nc\nb cc by nc, cc by nc by " * 20_000, index, licenses.PHRASES)
+    assert found[:4] == (12 * 20_000, 3 * 20_000, 1, 12 * 19_999 + 8)
 
 
 # mixing
@@ -346,6 +349,14 @@ def test_blocks_and_partitionings_agree(spark):
     assert words == pytest.approx(1.25 * sum(1 + i % 97 for i in range(0, 1_800, 2)), rel=0.01)
 
 
+def test_rows_of_one_document_are_dealt_to_all_blocks(spark):
+    units = spark.range(3_000).selectExpr("id as row", "'a' as source", "10L as size", "if(id < 2500, 7L, id) as code")
+    spread = mixing._spread(units.withColumn("times", F.lit(0.5)))
+    assert spread.count() == 3_000 and spread.select("code").distinct().count() == 3_000
+    found = rows(mixing.balanced_copies(units.withColumn("times", F.lit(0.5)), block=100))
+    assert len(found) == 3_000 and sum(r["copies"] for r in found) == pytest.approx(1_500, abs=2)
+
+
 def test_mix_rows(docs, empty):
     found = rows(mixing.mix_sources(docs))
     assert len(found) == docs.count() and all(0 <= r["copies"] <= 3 for r in found)
@@ -379,6 +390,24 @@ def test_repeats_match_brute_force(spark, docs, empty):
         assert got == Counter(brute_kept(texts, size))
 
 
+@pytest.mark.parametrize("remembered", [0, 200_000])
+def test_crowds_of_copies_over_many_batches(spark, monkeypatch, remembered):
+    """Copies within batches and across them, and strings first seen once, then often."""
+    monkeypatch.setattr(substrings, "REMEMBERED", remembered)
+    monkeypatch.setattr(substrings, "by_size", lambda batches, column: by_size(batches, column, 2_000))
+    same, line = prose(120, 9), prose(50, 10)
+    texts = [same] * 60 + [f"{prose(20, 100 + i)} {line} {prose(20, 300 + i)}" for i in range(60)] + [prose(80, 11)]
+    random.Random(3).shuffle(texts)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = Counter((r["n_words"], r["n_removed"], r["kept"]) for r in rows(substrings.remove_repeats(frame)))
+    assert got == Counter(brute_kept(texts, 35))
+
+
+def test_merged_stretches():
+    of, a, b = substrings.merged_stretches(np.array([1, 1, 1, 2]), np.array([0, 5, 50, 3]), np.array([40, 45, 90, 60]))
+    assert (of.tolist(), a.tolist(), b.tolist()) == ([1, 1, 2], [0, 50, 3], [45, 90, 60])
+
+
 def test_hot_order_changes_no_result_and_stretches_are_cut():
     hashes = Words([("ha " * 3_000 + prose(500, 7)).encode()])
     mers, valid = run_hashes(hashes.hashes, 3), substrings.windows_of(hashes, 35)
