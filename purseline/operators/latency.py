@@ -11,9 +11,6 @@ from purseline.operators.heavy import HEAVY_ROWS
 from purseline.operators.prefix import with_ordered_state
 from purseline.staging import stage
 
-# Up to so many levels their sizes are broadcast; beyond, they are joined by level.
-FEW_LEVELS = 10_000
-
 # The percentiles reported.
 PERCENTILES = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
 
@@ -45,8 +42,6 @@ def latency_summary(
     counts = stage(known.groupBy(level, latency).agg(F.count(F.lit(1)).alias("events")), "latency-counts")
     cumulative = with_ordered_state(counts, level, (latency,), "events", heavy_rows, unique=True)
     sizes = counts.groupBy(F.col(level).alias("_level")).agg(F.sum("events").alias("_n"))
-    if len(sizes.select("_level").take(FEW_LEVELS + 1)) <= FEW_LEVELS:
-        sizes = F.broadcast(sizes)
     ranked = cumulative.join(sizes, F.col(level).eqNullSafe(F.col("_level")))
 
     state, outputs = [], []

@@ -187,6 +187,24 @@ def stream_batch_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(merge_totals(partials, scale=2))
 
 
+def stream_batch_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per micro-batch with data, told apart by its number alone: its first window, windows and events."""
+    path = staging_path(spark, "batch-totals")
+    started = spark.range(1).select(F.current_timestamp()).first()[0]
+    write = batch_totals_writer(path, Events(), HOUR, scale=2)
+    deliveries = _slices(_feed_rows(spark, sf_dir))
+    _replay(spark, deliveries, lambda events, checkpoint: start_batches(events, write, checkpoint))
+    partials = spark.read.schema(f"{TOTALS_SCHEMA}, processed_at timestamp, batch_id bigint").parquet(path)
+    batches = partials.groupBy("batch_id").agg(
+        F.min("window_start").alias("first_window"),
+        F.count(F.lit(1)).alias("windows"),
+        F.sum("event_count").alias("events"),
+        (F.count_distinct("processed_at") == 1).alias("one_time"),
+        (F.min("processed_at") >= F.lit(started)).alias("after_start"),
+    )
+    return _plain_times(batches.drop("batch_id"))
+
+
 CLOSED = (
     "having time_bucket(interval '1 hour', ts) + interval '1 hour' <= "
     "(select max(ts) from events) - interval '10 seconds'"
@@ -226,5 +244,15 @@ STREAMS: dict[str, Query] = {
         """select strftime(ts, '%Y-%m-%d') as day, count(*) as n, true as ordered, true as after_start
            from events group by 1""",
     ),
+    "stream_batch_tags": Query(
+        stream_batch_tags,
+        f"""with bounds as (select min(epoch_us(ts)) as lo, max(epoch_us(ts)) as hi from events),
+            sliced as (
+                select floor((epoch_us(ts) - lo) * {SLICES} / (hi - lo + 1)) as k, time_bucket(interval '1 hour', ts) as h
+                from events, bounds)
+            select min(h) as first_window, count(distinct h) as windows, count(*) as events,
+                   true as one_time, true as after_start
+            from sliced group by k""",
+    ),
     "stream_batch_partials": Query(stream_batch_partials, totals_sql(HOUR)),
 }
