@@ -219,6 +219,17 @@ def rejected(values: Mapping[str, Column], cutoffs: Column) -> Column:
     return out
 
 
+def _measure(
+    docs: DataFrame, labels: DataFrame, id: str, text: str, stratum: str, label: str
+) -> tuple[DataFrame, DataFrame]:
+    """``(id, stratum, features)`` of every row, and the cutoffs that the labels back; both written."""
+    slim = docs.select(F.col(id).alias("id"), F.col(stratum).alias("stratum"), features(F.col(text)).alias("features"))
+    measured = stage(slim, "quality-features")
+    good = measured.join(good_documents(labels, id, label), F.col("id") == F.col("good_id"), "left_semi")
+    tested = choose_cutoffs(good.where(~base_failed(F.col("features"))), "stratum", ratios(F.col("features")))
+    return measured, stage(tested, "quality-cutoffs")
+
+
 def quality_verdicts(
     docs: DataFrame,
     labels: DataFrame,
@@ -232,11 +243,7 @@ def quality_verdicts(
     One row per input row: equal rows get equal verdicts. NULL and empty texts have no words
     and fail the base rules. Without labels no cutoff is backed and the base rules decide.
     """
-    slim = docs.select(F.col(id).alias("id"), F.col(stratum).alias("stratum"), features(F.col(text)).alias("features"))
-    measured = stage(slim, "quality-features")
-    values = ratios(F.col("features"))
-    good = measured.join(good_documents(labels, id, label), F.col("id") == F.col("good_id"), "left_semi")
-    chosen = stage(choose_cutoffs(good.where(~base_failed(F.col("features"))), "stratum", values), "quality-cutoffs")
+    measured, chosen = _measure(docs, labels, id, text, stratum, label)
     joined = measured.join(
         chosen.withColumnRenamed("stratum", "of"), F.col("stratum").eqNullSafe(F.col("of")), "left"
     )
@@ -246,7 +253,7 @@ def quality_verdicts(
         "stratum",
         "features",
         failed.alias("base_failed"),
-        (~failed & ~rejected(values, F.col("cutoffs"))).alias("kept"),
+        (~failed & ~rejected(ratios(F.col("features")), F.col("cutoffs"))).alias("kept"),
     )
 
 
@@ -261,13 +268,7 @@ def keep_good(
     """The rows of ``docs`` that pass, with their columns."""
     columns = docs.columns
     measure, of, chosen = (fresh(docs, name) for name in ("features", "cutoffs_of", "cutoffs"))
-    verdict_rows = docs.select(
-        F.col(id).alias("id"), F.col(stratum).alias("stratum"), features(F.col(text)).alias("features")
-    )
-    measured = stage(verdict_rows, "quality-features")
-    values = ratios(F.col("features"))
-    good = measured.join(good_documents(labels, id, label), F.col("id") == F.col("good_id"), "left_semi")
-    backed = stage(choose_cutoffs(good.where(~base_failed(F.col("features"))), "stratum", values), "quality-cutoffs")
+    _, backed = _measure(docs, labels, id, text, stratum, label)
     backed = backed.select(F.col("stratum").alias(of), F.col("cutoffs").alias(chosen))
     rows = docs.withColumn(measure, features(F.col(text))).where(~base_failed(F.col(measure)))
     rows = rows.join(backed, F.col(stratum).eqNullSafe(F.col(of)), "left")
