@@ -1,16 +1,19 @@
 """N-gram Jaccard join as a blocked sparse product of the document by n-gram incidence.
 
 Two sets whose Jaccard similarity reaches the threshold differ in at most ``k`` n-grams, where
-``k`` follows from the smaller size. Cut the n-grams by hash into ``k`` + 1 columns: at least
-one column is the same in both. Documents that agree in a whole column are listed together;
-only inside such lists can the product reach the bound, and lists hold little but near copies.
+``k`` follows from the smaller size. Cut the n-grams by hash into a ring of ``k`` + 1 columns:
+there is a column that is the same in both, and from which on the next ``l`` columns differ in
+less than ``l`` n-grams, for every ``l`` (cycle lemma: less than one per column). Documents that agree in a whole column are listed together;
+only inside such lists can the product reach the bound. Where columns are thin, lists also hold
+strangers. So each entry has the parities of the n-grams in the next ``RING`` columns by 64
+places: two entries of linked sets differ in less than ``RING`` bits, those of strangers in more.
 
 In a block of documents overlap counts are summed up column slice by column slice, and a pair
 is given up as soon as the n-grams left cannot lift it to what its two sizes ask for. Lists
-are first joined through one leader each. Lists that then still hold several components are
-put together where they share documents, and multiplied out in blocks, so that every
-qualifying pair is either computed or known to be connected. Equal sets are one row from the
-start.
+are first joined through one leader each. Entries of a list that are then close to one of
+another component are put together, also across lists where they share documents, and
+multiplied out in blocks, so that every qualifying pair is either computed or known to be
+connected. Equal sets are one row from the start.
 """
 
 from __future__ import annotations
@@ -34,9 +37,11 @@ PERCENT = 90
 #: Documents in a block of the product, and n-grams in a column slice of it.
 BLOCK = 256
 SLICE = 4_096
+#: Columns whose n-grams an entry of a list tells about in 64 bits.
+RING = 8
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_EMPTY, _BOTH_EMPTY = np.uint64(0x1D), np.uint64(0x2E)
+_EMPTY = np.uint64(0x1D)
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
@@ -70,20 +75,22 @@ def size_class(n: int, percent: int = PERCENT) -> tuple[int, int]:
         least = most + 1
 
 
-def signatures(grams: np.ndarray, percent: int, classes: dict[int, tuple[int, int]]) -> np.ndarray:
-    """Hashes of the set's columns; two linked, different sets share at least one.
+def entries(grams: np.ndarray, percent: int, classes: dict[int, tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the set's columns, and the parities of ``RING`` columns from each on.
 
-    A column that is empty in both says nothing, and would list strangers together. If just
-    one column is empty in both and no other is the same, each of the others differs in
-    exactly one n-gram; so the column after an empty one is also signed with any one n-gram
-    left out. Two columns empty in both are signed as such: that is rare.
+    Two linked, different sets share a hash whose parities differ in less than ``RING`` bits.
+    A column that is empty in both says nothing, and would list strangers together. If it is
+    the one the lemma names, the next column differs in at most one n-gram; so the column
+    after an empty one is signed with any one n-gram left out instead.
     """
     n = len(grams)
-    out = []
+    out, parities = [], []
     smallest = -(-n * percent // 100)
     for size in {n, max(1, smallest)}:
         if size not in classes:
             classes[size] = size_class(size, percent)
+    spread = mix(grams)
+    bits = np.uint64(1) << (spread >> np.uint64(58))
     for least, most in {classes[n], classes[max(1, smallest)]}:
         k = most_different(most, percent)
         if not k:
@@ -91,23 +98,32 @@ def signatures(grams: np.ndarray, percent: int, classes: dict[int, tuple[int, in
         columns = k + 1
         of = (grams >> np.uint64(17)) % np.uint64(columns)
         order = np.argsort(of, kind="stable")
-        spread = mix(grams)
         held = np.bincount(of.astype(np.int64), minlength=columns)
         full = np.flatnonzero(held)
-        sums = np.zeros(columns, np.uint64)
+        sums, parity = np.zeros(columns, np.uint64), np.zeros(columns, np.uint64)
         begins = np.concatenate([[0], np.cumsum(held)])
         sums[full] = np.add.reduceat(spread[order], begins[full])
+        parity[full] = np.bitwise_xor.reduceat(bits[order], begins[full])
+        ring = parity.copy()
+        for shift in range(1, min(RING, columns)):
+            ring ^= np.roll(parity, -shift)
         base = mix(np.arange(columns, dtype=np.uint64) * _STEP + np.uint64(least))
         out.append(mix(sums[full] ^ base[full]))
-        empty = np.flatnonzero(held == 0)
-        for i in empty.tolist():
+        parities.append(ring[full])
+        for i in np.flatnonzero(held == 0).tolist():
             j = (i + 1) % columns
             part = spread[order[begins[j] : begins[j + 1]]]
             out.append(mix((np.append(sums[j] - part, sums[j]) ^ base[i]) * _STEP + _EMPTY))
-        if len(empty) > 1:
-            a, b = np.triu_indices(len(empty), 1)
-            out.append(mix((base[empty[a]] * _STEP + base[empty[b]]) * _STEP + _BOTH_EMPTY))
-    return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
+            parities.append(np.full(len(part) + 1, ring[i]))
+    if not out:
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    signs, at = np.unique(np.concatenate(out), return_index=True)
+    return signs, np.concatenate(parities)[at]
+
+
+def signatures(grams: np.ndarray, percent: int, classes: dict[int, tuple[int, int]]) -> np.ndarray:
+    """Hashes of the set's columns; two linked, different sets share at least one."""
+    return entries(grams, percent, classes)[0]
 
 
 def overlaps(sets: list[np.ndarray], percent: int, known: np.ndarray | None = None) -> np.ndarray:
@@ -217,13 +233,12 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def describe(docs: DataFrame, id: str, text: str, size: int, percent: int) -> DataFrame:
-    """Per input row ``id``, ``code``, ``digest`` of its set, ``n_shingles``, ``signs``, ``packed``.
+def describe(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
+    """Per input row ``id``, ``code``, ``digest`` of its set, ``n_shingles``, ``packed``.
 
-    ``code`` names a document by id and text. The columns' hashes and the words, compressed,
-    are there once for each set in a batch: equal sets have equal ones.
+    ``code`` names a document by id and text. The words, compressed, are there once for each
+    set in a batch: equal sets have equal ones.
     """
-    classes: dict[int, tuple[int, int]] = {}
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         squeeze = zstandard.ZstdCompressor(level=3)
@@ -233,12 +248,11 @@ def describe(docs: DataFrame, id: str, text: str, size: int, percent: int) -> Da
             for body, grams in zip(texts, shingle_sets(texts, size), strict=True):
                 digest = xxhash.xxh3_128_digest(grams.tobytes())
                 if digest in seen or not len(grams):
-                    rows.append((digest, len(grams), None, None))
+                    rows.append((digest, len(grams), None))
                     continue
                 seen.add(digest)
-                signs = signatures(grams, percent, classes).view(np.int64)
-                rows.append((digest, len(grams), signs, squeeze.compress(body)))
-            out = pd.DataFrame(rows, columns=["digest", "n_shingles", "signs", "packed"])
+                rows.append((digest, len(grams), squeeze.compress(body)))
+            out = pd.DataFrame(rows, columns=["digest", "n_shingles", "packed"])
             out.insert(0, "code", batch["code"].to_numpy())
             out.insert(0, "id", batch["id"].to_numpy())
             yield out
@@ -246,7 +260,7 @@ def describe(docs: DataFrame, id: str, text: str, size: int, percent: int) -> Da
     # The id travels as text: a NULL among numbers would make them doubles.
     code = F.xxhash64(F.col(id), F.col(text)).alias("code")
     rows = docs.select(F.col(id).cast("string").alias("id"), code, F.col(text).alias("body"))
-    schema = "id string, code long, digest binary, n_shingles long, signs array<long>, packed binary"
+    schema = "id string, code long, digest binary, n_shingles long, packed binary"
     return rows.mapInPandas(read, schema).withColumn("id", F.col("id").cast(docs.schema[id].dataType))
 
 
@@ -255,6 +269,28 @@ def _short(digest: str) -> Column:
     return F.conv(F.hex(F.col(digest).substr(1, 8)), 16, -10).cast("long")
 
 
+def _listed(sets: DataFrame, size: int, percent: int) -> DataFrame:
+    """``(sign, ring, member)`` of all columns of the sets; read twice, as they are larger than the texts."""
+    classes: dict[int, tuple[int, int]] = {}
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        expand = zstandard.ZstdDecompressor()
+        for batch in batches:
+            grams = shingle_sets([expand.decompress(x) for x in batch["packed"]], size)
+            found = [[x.view(np.int64) for x in entries(g, percent, classes)] for g in grams]
+            out = pd.DataFrame(found, columns=["signs", "rings"])
+            out.insert(0, "member", batch["short"].to_numpy())
+            yield out
+
+    rows = sets.select("short", "packed").mapInPandas(read, "member long, signs array<long>, rings array<long>")
+    return rows.select(F.inline(F.arrays_zip("signs", "rings")).alias("sign", "ring"), "member")
+
+
+def _close(ring: str, other: str) -> Column:
+    """Whether two entries of one list can be those of linked sets."""
+    return F.bit_count(F.col(ring).bitwiseXOR(F.col(other))) < RING
+
+
 def jaccard_links(
     sets: DataFrame, size: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK
 ) -> tuple[DataFrame, DataFrame]:
@@ -263,16 +299,21 @@ def jaccard_links(
     ``sets`` is a written table as ``describe`` gives it.
     """
     some = sets.where("packed is not null").withColumn("short", _short("digest"))
-    columns = some.select(F.explode("signs").alias("sign"), F.col("short").alias("member"))
-    spread = columns.groupBy("sign").agg(F.min("member").alias("leader"), F.max("member").alias("other"))
-    shared = columns.join(spread.where("leader <> other").drop("other"), "sign")
-    lists = stage(shared.distinct(), "jaccard-lists")
-    members = lists.select("member").distinct()
-    texts = some.join(members, F.col("short") == F.col("member"), "left_semi")
-    texts = stage(texts.groupBy("digest", "short").agg(F.min("packed").alias("packed")), "jaccard-texts")
+    # Few signs are shared. They are found by 40 bits, which are less to move than the entries.
+    columns = _listed(some, size, percent).withColumn("bits", F.shiftright("sign", 24))
+    often = columns.groupBy("bits").agg(F.count("*").alias("n")).where("n > 1").select("bits")
+    columns = stage(columns.join(often, "bits", "left_semi").drop("bits").distinct(), "jaccard-entries")
+    spread = columns.groupBy("sign").agg(
+        F.min("member").alias("leader"), F.min_by("ring", "member").alias("bits"), F.max("member").alias("other")
+    )
+    lists = stage(columns.join(spread.where("leader <> other").drop("other"), "sign"), "jaccard-lists")
     product = _multiply(size, percent)
 
-    pairs = lists.where("member <> leader").select("leader", "member").distinct()
+    pairs = lists.where((F.col("member") != F.col("leader")) & _close("ring", "bits"))
+    pairs = stage(pairs.select("leader", "member").distinct(), "jaccard-pairs")
+    paired = pairs.select("leader").union(pairs.select("member")).distinct()
+    texts = some.join(paired, F.col("short") == F.col("leader"), "left_semi")
+    texts = texts.groupBy("digest", "short").agg(F.min("packed").alias("packed"))
     crowd = pairs.groupBy("leader").agg(F.ceil(F.count("*") / block).alias("blocks"))
     pairs = pairs.join(crowd, "leader").withColumn("block", F.pmod(F.xxhash64("member"), "blocks")).drop("blocks")
     pairs = pairs.union(pairs.select("leader", F.col("leader").alias("member"), "block").distinct())
@@ -280,26 +321,32 @@ def jaccard_links(
     first = stage(placed.groupBy("leader", "block").applyInPandas(product, "a binary, b binary"), "jaccard-links")
 
     labels = components(first)
-    known = texts.join(labels, F.col("digest") == F.col("node"), "left").select(
-        "digest", "short", "packed", F.coalesce("label", "digest").alias("label")
+    members = lists.select("member").distinct()
+    known = some.select("digest", "short").distinct().join(members, F.col("short") == F.col("member"), "left_semi")
+    known = known.join(labels, F.col("digest") == F.col("node"), "left").select(
+        "digest", "short", F.coalesce("label", "digest").alias("label")
     )
     known = stage(known, "jaccard-labelled")
-    # Lists whose members are not all connected yet; those that share members form a cluster,
-    # and the product of a cluster holds the products of its lists.
-    named = lists.join(known.select("short", "digest", "label"), F.col("member") == F.col("short"))
-    named = stage(named.select("sign", "digest", "label"), "jaccard-named")
-    mixed = named.groupBy("sign").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.min("digest").alias("a")
-    )
-    mixed = mixed.where("low <> high").select("sign", "a")
-    pairs = named.join(mixed, "sign").where("a <> digest").select("a", F.col("digest").alias("b")).distinct()
+    # Lists whose members are not all connected yet. All entries of a list that are close to one
+    # of another component are put together, in rows no more than entries; strangers stay out.
+    named = lists.join(known, F.col("member") == F.col("short")).select("sign", "ring", "digest", "label")
+    named = stage(named, "jaccard-named")
+    mixed = named.groupBy("sign").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    named = named.join(mixed.where("low <> high").select("sign"), "sign")
+    other = named.select(F.col("sign").alias("at"), F.col("ring").alias("other_ring"), F.col("label").alias("other_label"))
+    meets = (F.col("sign") == F.col("at")) & (F.col("label") != F.col("other_label")) & _close("ring", "other_ring")
+    near = stage(named.join(other, meets, "left_semi").select("sign", "digest"), "jaccard-close")
+    hubs = near.groupBy("sign").agg(F.min("digest").alias("a"))
+    pairs = near.join(hubs, "sign").where("a <> digest").select("a", F.col("digest").alias("b")).distinct()
     clusters = stage(components(pairs).withColumnRenamed("label", "cluster"), "jaccard-clusters")
     half = block // 2
     crowd = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / half).alias("blocks"))
     wide = clusters.join(crowd, "cluster").withColumn("mine", F.pmod(F.xxhash64("node"), "blocks"))
     wide = wide.select("cluster", "node", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("yours"))
     wide = wide.select("cluster", "node", F.least("mine", "yours").alias("i"), F.greatest("mine", "yours").alias("j"))
-    wide = wide.join(known, F.col("node") == F.col("digest")).select("cluster", "i", "j", "digest", "packed", "label")
+    texts = some.join(clusters, F.col("digest") == F.col("node"), "left_semi")
+    texts = texts.groupBy("digest").agg(F.min("packed").alias("packed")).join(known.select("digest", "label"), "digest")
+    wide = wide.join(texts, F.col("node") == F.col("digest")).select("cluster", "i", "j", "digest", "packed", "label")
     second = stage(wide.groupBy("cluster", "i", "j").applyInPandas(product, "a binary, b binary"), "jaccard-links")
     found = first.union(second)
     if second.isEmpty():
@@ -313,7 +360,7 @@ def _headed(docs: DataFrame, id: str, text: str, size: int, percent: int, block:
     The head has the least id, NULL being the largest, and of equal ids the least code; rows
     without shingles have no head.
     """
-    rows = stage(describe(docs, id, text, size, percent), "jaccard-sets")
+    rows = stage(describe(docs, id, text, size), "jaccard-sets")
     _, labels = jaccard_links(rows, size, percent, block)
     place = F.struct(F.col("id").isNull().alias("unnamed"), "id", "code")
     sets = rows.where("n_shingles > 0").groupBy("digest").agg(F.min(place).alias("first"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import random
+
 import __spark_entry__ as driver
 import corpus_pipeline
+import numpy as np
 import pytest
 from compare import mismatches
 
-from purseline.llm import decontaminate, mixing, quality
+from purseline.llm import decontaminate, jaccard, mixing, quality
 from purseline.llm.common import table
 from purseline.llm.queries import QUERIES, SQL
 from purseline.staging import stage
@@ -51,3 +54,52 @@ def test_stages_decide(spark, sf_dir):
 def test_run_gives_the_last_stage(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     assert out.columns == ["doc_id", "size", "text_crc32", "shard", "slot"] and out.count() > 0
+
+
+def test_near_copies_go_at_five_words_and_four_fifths(spark, sf_dir):
+    """Planted copies about the bound, against the product of all sets of five words."""
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(3_000)]
+    line = "all rights are reserved by the owners of this site and its pages".split()
+    texts = []
+    for n in (8, 30, 100, 200, 200, 600):
+        for _ in range(12):
+            base = draw.choices(words, k=n - 13 if n > 30 else n) + (line if n > 30 else [])
+            texts.append(base)
+            for changes in {1, 2, n // 50, n // 40, n // 30}:
+                copy = list(base)
+                for at in draw.sample(range(n), changes):
+                    copy[at] = draw.choice(words)
+                texts.append(copy)
+    texts = [" ".join(t) for t in texts]
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in map(str.split, texts)]
+    head = list(range(len(sets)))
+    near = 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            both = len(a & b)
+            if 100 * both >= 80 * (len(a) + len(b) - both):
+                near += 100 * both < 90 * (len(a) + len(b) - both)
+                low, high = sorted((head[i], head[j]))
+                head = [low if x == high else x for x in head]
+    assert near > 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    kept = corpus_pipeline.jaccard_join(spark, docs, sf_dir)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(head))
+
+
+@pytest.mark.parametrize(("size", "percent"), [(40, 80), (200, 80), (200, 90), (1_000, 80)])
+def test_linked_sets_share_a_close_entry(size, percent):
+    draw = np.random.default_rng(size)
+    for _ in range(100):
+        base = draw.integers(0, 2**64, size, np.uint64)
+        off = draw.integers(0, size * (100 - percent) // 100 + 1)
+        other = np.sort(base[off:])
+        (a, rings), (b, others) = (jaccard.entries(np.sort(x), percent, {}) for x in (base, other))
+        _, i, j = np.intersect1d(a, b, return_indices=True)
+        apart = [int(x).bit_count() for x in rings[i] ^ others[j]]
+        assert apart and min(apart) < jaccard.RING
+        stranger = np.sort(draw.integers(0, 2**64, size, np.uint64))
+        c, far = jaccard.entries(stranger, percent, {})
+        _, i, j = np.intersect1d(a, c, return_indices=True)
+        assert all(int(x).bit_count() >= jaccard.RING for x in rings[i] ^ far[j])
