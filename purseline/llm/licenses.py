@@ -1,15 +1,18 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
-A block is a line. It meets a template when it contains at least ``THRESHOLD`` of the
+A block is a line, or a run of consecutive words of the text, a quarter longer than the
+template: a notice may be wrapped over lines. It meets a template when it contains at least ``THRESHOLD`` of the
 template's distinct tokens. Tokens are ordered by their frequency in the whole corpus, rarest
 first. A block that misses few enough tokens must hold one of the first ones (prefix filter),
 must have enough tokens at all (length filter), and the tokens after the first common one must
-be able to make up the rest (positional filter). What passes is counted in full.
+be able to make up the rest (positional filter). What passes is counted in full. Runs of words
+are only looked at where the text as a whole holds enough tokens of the template.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator, Mapping
 
@@ -62,11 +65,13 @@ class TemplateIndex:
             for i, token in enumerate(sorted({t for _, text in templates for t in text.split()}, key=lambda t: (frequency.get(t, 0), t)))
         }
         self.templates = []
+        self.lengths = []
         self.prefixes: dict[str, list[tuple[int, int]]] = {}
         for number, (label, text) in enumerate(templates):
             tokens = sorted(set(text.split()), key=self.order.__getitem__)
             need = least_overlap(len(tokens), threshold)
             self.templates.append((label, frozenset(tokens), need))
+            self.lengths.append(len(text.split()) * 5 // 4)
             for place, token in enumerate(tokens[: len(tokens) - need + 1]):
                 self.prefixes.setdefault(token, []).append((number, place))
 
@@ -94,6 +99,64 @@ class TemplateIndex:
                     met.append((label, tokens, overlap / len(tokens)))
         return [(label, score) for label, tokens, score in met if not any(tokens < other for _, other, _ in met)]
 
+    def runs(self, words: list[str]) -> list[tuple[str, float]]:
+        """``(label, containment)`` of the templates that some run of words meets.
+
+        A run says less where it overlaps one that meets a template with all of its tokens and more.
+        """
+        held = self.order.keys() & words
+        met = []
+        for (label, tokens, need), length in zip(self.templates, self.lengths, strict=True):
+            if len(tokens & held) >= need:
+                spans, most = shortest_runs(words, tokens, need, length)
+                if spans:
+                    met.append((label, tokens, spans, most / len(tokens)))
+        out = []
+        for label, tokens, spans, score in met:
+            more = [other for _, wider, other, _ in met if tokens < wider]
+            if not all(any(_overlaps(span, other) for other in more) for span in spans):
+                out.append((label, score))
+        return out
+
+
+def _overlaps(span: tuple[int, int], others: list[tuple[int, int]]) -> bool:
+    """Whether one of the others, whose starts and ends both rise, overlaps the span."""
+    at = bisect_right(others, span[1], key=lambda other: other[0])
+    return at > 0 and others[at - 1][1] >= span[0]
+
+
+def _drop(counts: Counter[str], word: str) -> None:
+    counts[word] -= 1
+    if not counts[word]:
+        del counts[word]
+
+
+def shortest_runs(
+    words: list[str], tokens: frozenset[str], need: int, length: int
+) -> tuple[list[tuple[int, int]], int]:
+    """Runs of at most ``length`` words with ``need`` of the tokens, and the most tokens in any.
+
+    Of runs with one end the shortest is given, by its first and last place.
+    """
+    places = [i for i, word in enumerate(words) if word in tokens]
+    spans: list[tuple[int, int]] = []
+    inside: Counter[str] = Counter()  # of the longest run that ends here
+    short: Counter[str] = Counter()  # of the shortest one with enough tokens
+    first = a = most = 0
+    for end in places:
+        inside[words[end]] += 1
+        short[words[end]] += 1
+        while places[first] <= end - length:
+            _drop(inside, words[places[first]])
+            first += 1
+        most = max(most, len(inside))
+        while len(short) >= need and (len(short) > need or short[words[places[a]]] > 1):
+            _drop(short, words[places[a]])
+            a += 1
+        if len(short) >= need and end - places[a] < length and (not spans or places[a] > spans[-1][0]):
+            spans.append((places[a], end))
+    return spans, most
+
 
 def token_frequency(docs: DataFrame, text: str, tokens: frozenset[str]) -> dict[str, int]:
     """How many blocks of all texts hold each of the given tokens."""
@@ -129,6 +192,9 @@ def _scan(text: str | None, index: TemplateIndex, phrases: Mapping[str, str]) ->
         for label, containment in index.meet(set(line)) if line else ():
             labels.add(label)
             score = max(score, containment)
+    for label, containment in index.runs(found):
+        labels.add(label)
+        score = max(score, containment)
     return (
         len(found),
         len(places),
@@ -150,7 +216,7 @@ def scan_licenses(
     """Per input row its words, phrase places, labels and the best containment as ``score``.
 
     Labels of phrases are always there, with score 1; the join adds those of the templates
-    that some line meets. A NULL or empty text has no words and no labels. Rows move in no
+    that some line or run of words meets. A NULL or empty text has no words and no labels. Rows move in no
     shuffle: templates are a stated list, broadcast with their index.
     """
     tokens = frozenset(t for _, body in templates for t in body.split())

@@ -288,6 +288,20 @@ def test_template_join_is_exact():
             assert sorted(index.meet(block)) == pytest.approx(want) if not want else sorted(index.meet(block)) == want
 
 
+def test_wrapped_notices_meet_their_template(spark):
+    mit = """ * Permission is hereby granted, free of charge, to any person obtaining a copy
+ * of this software and associated documentation files (the "Software"), to deal"""
+    bsd = """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions are met:"""
+    lgpl = "This work is licensed under the GNU Lesser\nGeneral Public License version 3"
+    both = lgpl + " " + "word " * 40 + "This work is licensed under the\nGNU General Public License version 3"
+    far = mit.replace("of this", "word " * 40 + "of this")
+    texts = [mit, bsd, lgpl, both, far]
+    found = rows(licenses.scan_licenses(spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate(texts)], DOCS)))
+    labels = {r["doc_id"]: (r["labels"], r["score"]) for r in found}
+    assert labels == {0: ("mit", 1.0), 1: ("bsd", 1.0), 2: ("lgpl-3", 1.0), 3: ("gpl-3,lgpl-3", 1.0), 4: ("", 0.0)}
+
+
 def test_license_rows(spark, docs, empty):
     found = {r["doc_id"]: r for r in rows(licenses.scan_licenses(docs)) if r["doc_id"] is not None}
     assert (found[13]["n_base"], found[13]["base_labels"], found[13]["score"]) == (1, "mit", 1.0)
