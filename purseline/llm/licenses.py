@@ -6,7 +6,9 @@ template's distinct tokens. Tokens are ordered by their frequency in the whole c
 first. A block that misses few enough tokens must hold one of the first ones (prefix filter),
 must have enough tokens at all (length filter), and the tokens after the first common one must
 be able to make up the rest (positional filter). What passes is counted in full. Runs of words
-are only looked at where the text as a whole holds enough tokens of the template.
+are only looked at where the text as a whole holds enough tokens of the template. As the
+threshold asks for all tokens of a short template, a run may miss one of those that do not
+tell licenses apart; a line, which can be as long as a text, may not.
 """
 
 from __future__ import annotations
@@ -48,6 +50,25 @@ TEMPLATES = (
 
 THRESHOLD = 0.95
 
+#: Per template the words that tell its license: a run of words must hold them all.
+KEYS = (
+    "mit license",
+    "permission this software",
+    "apache license 2",
+    "gnu general public 3",
+    "gnu general public 2",
+    "gnu lesser 3",
+    "gnu affero 3",
+    "cc by nc",
+    "cc by sa",
+    "cc by",
+    "redistribution source binary forms",
+    "mozilla 2",
+    "unencumbered public domain",
+)
+#: Other tokens of a template that a run of words may miss, whatever the threshold.
+MISSING = 1
+
 COLUMNS = "id string, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
 
 
@@ -59,19 +80,21 @@ def least_overlap(size: int, threshold: float = THRESHOLD) -> int:
 class TemplateIndex:
     """Templates with their tokens in corpus order, and an index on the prefixes."""
 
-    def __init__(self, templates, frequency: Mapping[str, int], threshold: float = THRESHOLD):
+    def __init__(self, templates, frequency: Mapping[str, int], threshold: float = THRESHOLD, keys=None, missing: int = 0):
         self.order = {
             token: i
             for i, token in enumerate(sorted({t for _, text in templates for t in text.split()}, key=lambda t: (frequency.get(t, 0), t)))
         }
         self.templates = []
-        self.lengths = []
+        self.lengths, self.least, self.keys = [], [], []
         self.prefixes: dict[str, list[tuple[int, int]]] = {}
         for number, (label, text) in enumerate(templates):
             tokens = sorted(set(text.split()), key=self.order.__getitem__)
             need = least_overlap(len(tokens), threshold)
             self.templates.append((label, frozenset(tokens), need))
             self.lengths.append(len(text.split()) * 5 // 4)
+            self.keys.append(frozenset(keys[number].split()) if keys else frozenset())
+            self.least.append(max(1, min(need, len(tokens) - missing)))
             for place, token in enumerate(tokens[: len(tokens) - need + 1]):
                 self.prefixes.setdefault(token, []).append((number, place))
 
@@ -106,9 +129,9 @@ class TemplateIndex:
         """
         held = self.order.keys() & words
         met = []
-        for (label, tokens, need), length in zip(self.templates, self.lengths, strict=True):
-            if len(tokens & held) >= need:
-                spans, most = shortest_runs(words, tokens, need, length)
+        for (label, tokens, _), need, length, keys in zip(self.templates, self.least, self.lengths, self.keys, strict=True):
+            if keys <= held and len(tokens & held) >= need:
+                spans, most = shortest_runs(words, tokens, need, length, keys)
                 if spans:
                     met.append((label, tokens, spans, most / len(tokens)))
         out = []
@@ -132,9 +155,9 @@ def _drop(counts: Counter[str], word: str) -> None:
 
 
 def shortest_runs(
-    words: list[str], tokens: frozenset[str], need: int, length: int
+    words: list[str], tokens: frozenset[str], need: int, length: int, keys: frozenset[str] = frozenset()
 ) -> tuple[list[tuple[int, int]], int]:
-    """Runs of at most ``length`` words with ``need`` of the tokens, and the most tokens in any.
+    """Runs of at most ``length`` words with ``need`` of the tokens, all ``keys`` among them, and the most tokens in any.
 
     Of runs with one end the shortest is given, by its first and last place.
     """
@@ -149,11 +172,12 @@ def shortest_runs(
         while places[first] <= end - length:
             _drop(inside, words[places[first]])
             first += 1
-        most = max(most, len(inside))
-        while len(short) >= need and (len(short) > need or short[words[places[a]]] > 1):
+        if keys <= inside.keys():
+            most = max(most, len(inside))
+        while short[words[places[a]]] > 1 or (len(short) > need and words[places[a]] not in keys):
             _drop(short, words[places[a]])
             a += 1
-        if len(short) >= need and end - places[a] < length and (not spans or places[a] > spans[-1][0]):
+        if len(short) >= need and keys <= short.keys() and end - places[a] < length and (not spans or places[a] > spans[-1][0]):
             spans.append((places[a], end))
     return spans, most
 
@@ -212,15 +236,20 @@ def scan_licenses(
     text: str = "text",
     templates: tuple[tuple[str, str], ...] = TEMPLATES,
     threshold: float = THRESHOLD,
+    keys: tuple[str, ...] | None = KEYS,
+    missing: int = MISSING,
 ) -> DataFrame:
     """Per input row its words, phrase places, labels and the best containment as ``score``.
 
     Labels of phrases are always there, with score 1; the join adds those of the templates
-    that some line or run of words meets. A NULL or empty text has no words and no labels. Rows move in no
+    that some line or run of words meets. ``keys`` and ``missing`` are those of ``TEMPLATES``; other templates
+    need their own, or may miss no token but for the threshold. A NULL or empty text has no words and no labels. Rows move in no
     shuffle: templates are a stated list, broadcast with their index.
     """
+    if templates != TEMPLATES and keys is KEYS:
+        keys, missing = None, 0
     tokens = frozenset(t for _, body in templates for t in body.split())
-    index = TemplateIndex(templates, token_frequency(docs, text, tokens), threshold)
+    index = TemplateIndex(templates, token_frequency(docs, text, tokens), threshold, keys, missing)
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

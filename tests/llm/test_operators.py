@@ -302,6 +302,40 @@ def test_wrapped_notices_meet_their_template(spark):
     assert labels == {0: ("mit", 1.0), 1: ("bsd", 1.0), 2: ("lgpl-3", 1.0), 3: ("gpl-3,lgpl-3", 1.0), 4: ("", 0.0)}
 
 
+def test_reworded_notices_keep_their_label(spark):
+    wanted = {
+        "This software is licensed under the GNU General Public License version 3": "gpl-3",
+        "This software is licensed under the\nGNU Lesser General Public License, version 3": "lgpl-3",
+        "Redistribution and use in source and binary forms, with or\nwithout modifications, are permitted": "bsd",
+        "Licensed under the Apache License 2.0": "apache-2",
+        "Licensed under CC BY-NC 3.0": "cc-by-nc",
+        "Licenced under CC BY 4.0": "cc-by",
+        "Released under the license": "",
+        "Licensed under the license, version 2.0": "",
+        "This work is licensed under the GNU General Public License version": "",
+        "Released under " + "word " * 9 + "MIT license": "",
+    }
+    found = rows(licenses.scan_licenses(spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate(wanted)], DOCS)))
+    assert {r["doc_id"]: r["labels"] for r in found} == dict(enumerate(wanted.values()))
+    assert {r["score"] for r in found if r["doc_id"] == 0} == {11 / 12}
+
+
+def test_runs_of_words_are_found_like_all_runs():
+    draw = random.Random(9)
+    index = licenses.TemplateIndex(licenses.TEMPLATES, {}, keys=licenses.KEYS, missing=licenses.MISSING)
+    vocabulary = sorted(index.order)
+    for _ in range(300):
+        words = draw.choices(vocabulary[:12] + ["foo"], k=draw.randrange(30))
+        for _ in range(2):
+            words += [w for w in draw.choice(licenses.TEMPLATES)[1].split() if draw.random() < 0.95]
+        for (_, tokens, _), need, length, keys in zip(index.templates, index.least, index.lengths, index.keys, strict=True):
+            runs = [set(words[i : i + length]) & tokens for i in range(len(words))]
+            want = max((len(run) for run in runs if len(run) >= need and keys <= run), default=0)
+            spans, most = licenses.shortest_runs(words, tokens, need, length, keys)
+            assert (most if spans else 0) == want
+        assert index.runs([]) == []
+
+
 def test_license_rows(spark, docs, empty):
     found = {r["doc_id"]: r for r in rows(licenses.scan_licenses(docs)) if r["doc_id"] is not None}
     assert (found[13]["n_base"], found[13]["base_labels"], found[13]["score"]) == (1, "mit", 1.0)
