@@ -39,6 +39,8 @@ BLOCK = 256
 SLICE = 4_096
 #: Columns whose n-grams an entry of a list tells about in 64 bits.
 RING = 8
+#: From this similarity in percent on columns hold so many n-grams that strangers share none.
+THICK = 90
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(0x1D)
@@ -270,12 +272,15 @@ def _short(digest: str) -> Column:
 
 
 def _listed(sets: DataFrame, size: int, percent: int) -> DataFrame:
-    """``(sign, ring, member)`` of all columns of the sets; read twice, as they are larger than the texts."""
+    """``(sign, ring, member)`` of all columns of the sets; read twice, as they are larger than the texts.
+
+    Without parities (0) all entries of a list are close.
+    """
     classes: dict[int, tuple[int, int]] = {}
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         expand = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in by_size(batches, "packed", 1_000_000):
             grams = shingle_sets([expand.decompress(x) for x in batch["packed"]], size)
             found = [[x.view(np.int64) for x in entries(g, percent, classes)] for g in grams]
             out = pd.DataFrame(found, columns=["signs", "rings"])
@@ -283,6 +288,8 @@ def _listed(sets: DataFrame, size: int, percent: int) -> DataFrame:
             yield out
 
     rows = sets.select("short", "packed").mapInPandas(read, "member long, signs array<long>, rings array<long>")
+    if percent >= THICK:
+        return rows.select(F.explode("signs").alias("sign"), F.lit(0).cast("long").alias("ring"), "member")
     return rows.select(F.inline(F.arrays_zip("signs", "rings")).alias("sign", "ring"), "member")
 
 
@@ -299,10 +306,10 @@ def jaccard_links(
     ``sets`` is a written table as ``describe`` gives it.
     """
     some = sets.where("packed is not null").withColumn("short", _short("digest"))
-    # Few signs are shared. They are found by 40 bits, which are less to move than the entries.
-    columns = _listed(some, size, percent).withColumn("bits", F.shiftright("sign", 24))
-    often = columns.groupBy("bits").agg(F.count("*").alias("n")).where("n > 1").select("bits")
-    columns = stage(columns.join(often, "bits", "left_semi").drop("bits").distinct(), "jaccard-entries")
+    # Few signs are shared, and to count them moves less than the entries.
+    columns = _listed(some, size, percent)
+    often = columns.groupBy("sign").agg(F.count("*").alias("n")).where("n > 1").select("sign")
+    columns = stage(columns.join(often, "sign", "left_semi").distinct(), "jaccard-entries")
     spread = columns.groupBy("sign").agg(
         F.min("member").alias("leader"), F.min_by("ring", "member").alias("bits"), F.max("member").alias("other")
     )
