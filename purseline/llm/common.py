@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The two word patterns of the contracts.
@@ -51,6 +51,11 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def named(name: str) -> Column:
+    """The column of this name, dots and backticks in it included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def most_frequent(counts: DataFrame, most: int, n: str = "n") -> DataFrame:
     """The rows with the largest counts, in whole levels of counts, at most ``most`` rows.
 

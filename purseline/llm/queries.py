@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from purseline.llm import decontaminate, jaccard, licenses, lm, mixing, quality, secrets, sharding, substrings, warc
+from purseline.llm import (
+    decontaminate,
+    jaccard,
+    licenses,
+    lm,
+    manifest,
+    mixing,
+    quality,
+    secrets,
+    sharding,
+    substrings,
+    warc,
+)
 from purseline.llm.common import table
 
 
@@ -50,6 +62,10 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_secrets": op2_secrets,
@@ -61,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard": op8_jaccard,
     "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,
+    "op11_manifest": op11_manifest,
 }
 
 SQL: dict[str, str] = {
@@ -68,4 +85,5 @@ SQL: dict[str, str] = {
     "op7_substrings": substrings.SQL,
     "op8_jaccard": jaccard.SQL,
     "op9_warc": warc.SQL,
+    "op11_manifest": manifest.SQL,
 }
