@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from purseline.llm import (
+    codes,
     decontaminate,
     jaccard,
+    language,
     licenses,
     lm,
     manifest,
@@ -66,6 +68,14 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest_report(table(spark, sf_dir, "documents"))
 
 
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_report(table(spark, sf_dir, "documents"))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compression_report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_secrets": op2_secrets,
@@ -78,6 +88,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,
     "op11_manifest": op11_manifest,
+    "op12_language": op12_language,
+    "op13_codes": op13_codes,
 }
 
 SQL: dict[str, str] = {
@@ -86,4 +98,5 @@ SQL: dict[str, str] = {
     "op8_jaccard": jaccard.SQL,
     "op9_warc": warc.SQL,
     "op11_manifest": manifest.SQL,
+    "op13_codes": codes.SQL,
 }
