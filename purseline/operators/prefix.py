@@ -1,9 +1,8 @@
 """Ordered state per key - previous value, position, running sum - without a heaviest task.
 
-A window by key sends all rows of a key to one task. That is right for almost every key and
-fatal for one that holds a third of the table. Such heavy keys are therefore cut into
-slices of consecutive rows: each slice is a window of its own, and one small row per slice
-carries the state at its start.
+Light keys are windows, heavy ones slices (see ``slices``). Whole numbers and decimals add up
+alike in any order. Doubles do not, so they are added in one fixed order on both ways: within
+blocks of consecutive row numbers, then over blocks, then over blocks of blocks.
 """
 
 from __future__ import annotations
@@ -12,16 +11,25 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from purseline.operators.heavy import HEAVY_ROWS, heavy_keys
-from purseline.sources.local import local_table
+from purseline.operators.heavy import HEAVY_ROWS
+from purseline.operators.slices import AT, SLICE, in_slices, slice_count, slice_window, split_heavy, with_starts
 from purseline.staging import stage
 
 STATE = ("_prev", "_rank", "_running")
 
+#: Rows whose doubles are added one after another, and such blocks; longer keys take several.
+BLOCK = 1 << 16
 
-def _window_state(partition: Sequence[str], order: Sequence[str], value: str) -> dict[str, Column]:
-    rows = Window.partitionBy(*partition).orderBy(*order)
+
+def _after(start: Column, value: Column) -> Column:
+    """Their sum, where a missing part counts as nothing."""
+    return F.when(start.isNull(), value).when(value.isNull(), start).otherwise(start + value)
+
+
+def _window_state(key: str, order: Sequence[str], value: str) -> dict[str, Column]:
+    rows = Window.partitionBy(key).orderBy(*order)
     return {
         "_prev": F.lag(value).over(rows),
         "_rank": F.row_number().over(rows).cast("bigint"),
@@ -29,57 +37,69 @@ def _window_state(partition: Sequence[str], order: Sequence[str], value: str) ->
     }
 
 
-def _sliced_state(
-    df: DataFrame, key: str, order: Sequence[str], value: str, slices: int, unique: bool
-) -> DataFrame:
-    """The same state for heavy keys only.
+def _sliced_state(sliced: DataFrame, key: str, value: str) -> DataFrame:
+    """The same state, from within the slices and from those before."""
+    ends = {"_n": F.count(F.lit(1)), "_s": F.sum(value), "_last": F.max_by(value, AT)}
+    carried = with_starts(
+        sliced,
+        key,
+        ends,
+        lambda before: {
+            "_n0": F.sum("_n").over(before),
+            "_s0": F.sum("_s").over(before),
+            "_last0": F.last("_last").over(before),
+        },
+    )
+    rows = slice_window(key)
+    local = carried.withColumns(
+        {
+            "_prev": F.lag(value).over(rows),
+            "_rank": F.row_number().over(rows).cast("bigint"),
+            "_running": F.sum(value).over(rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        }
+    )
+    return local.withColumns(
+        {
+            "_prev": F.when(F.col("_rank") == 1, F.col("_last0")).otherwise(F.col("_prev")),
+            "_rank": F.col("_rank") + F.coalesce("_n0", F.lit(0)),
+            "_running": _after(F.col("_s0"), F.col("_running")),
+        }
+    ).drop("_n0", "_s0", "_last0", SLICE, AT)
+
 
-    Range partitioning by key and order gives slices of about equal size. They are staged,
-    which fixes them, and with ``_at`` the place of each row: ids rise with the slice and
-    within it. Where rows of a key may tie, a row id completes the order, or a hot group of
-    copies would end up in one slice; the rows are then staged before as well, so that the
-    ids are read back the same in every attempt.
+def _blocked_running(ranked: DataFrame, key: str, value: str) -> DataFrame:
+    """``_running`` added up by blocks of row numbers, whatever way the rows were ranked.
+
+    A block is one task's window; so are the blocks of a block of blocks, of which even
+    10^12 rows of one key make a few hundred.
     """
-    total_order = (key, *order)
-    if not unique:
-        df = stage(df, "heavy-rows").withColumn("_row", F.monotonically_increasing_id())
-        total_order = (*total_order, "_row")
-    in_order = df.repartitionByRange(slices, *total_order).sortWithinPartitions(*total_order).drop("_row")
-    sliced = stage(
-        in_order.withColumns({"_slice": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}),
-        "heavy-slices",
+    number = F.expr(f"cast((_rank - 1) div {BLOCK} as bigint)")
+    within = Window.partitionBy(key, "_block").orderBy("_rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = stage(
+        ranked.withColumn("_block", number).withColumn("_running", F.sum(value).over(within)), "running-blocks"
     )
-
-    # One row per key and slice: at most slices + heavy keys of them, so this may be broadcast.
-    ends = sliced.groupBy(key, "_slice").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(value).alias("s"), F.max_by(value, "_at").alias("last")
+    blocks = rows.where(F.col("_rank") % BLOCK == 0).select(
+        F.col(key).alias("_key"), F.col("_block").alias("_of"), F.col("_running").alias("_total")
     )
-    earlier = Window.partitionBy(key).orderBy("_slice")
-    before = earlier.rowsBetween(Window.unboundedPreceding, -1)
-    starts = ends.select(
-        F.col(key).alias("_key"),
-        F.col("_slice").alias("_of"),
-        F.sum("n").over(before).alias("_n0"),
-        F.sum("s").over(before).alias("_s0"),
-        F.lag("last").over(earlier).alias("_last0"),
+    blocks = blocks.withColumn("_group", F.expr(f"_of div {BLOCK}"))
+    up_to = (Window.unboundedPreceding, Window.currentRow)
+    blocks = blocks.withColumn(
+        "_in_group", F.sum("_total").over(Window.partitionBy("_key", "_group").orderBy("_of").rowsBetween(*up_to))
     )
-
-    local = sliced.withColumns(_window_state((key, "_slice"), ("_at",), value))
-    joined = local.join(
-        F.broadcast(starts), F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_of")), "left"
+    groups = blocks.where(F.col("_of") % BLOCK == BLOCK - 1).select(
+        F.col("_key").alias("_key2"),
+        (F.col("_group") + 1).alias("_after"),
+        F.sum("_in_group").over(Window.partitionBy("_key").orderBy("_group").rowsBetween(*up_to)).alias("_groups"),
     )
-    running = (
-        F.when(F.col("_s0").isNull(), F.col("_running"))
-        .when(F.col("_running").isNull(), F.col("_s0"))
-        .otherwise(F.col("_s0") + F.col("_running"))
+    # What lies before a block: the groups before its own, then the blocks of its group.
+    before = blocks.select("_key", (F.col("_of") + 1).alias("_of"), "_in_group").withColumn(
+        "_group", F.expr(f"_of div {BLOCK}")
     )
-    return joined.withColumns(
-        {
-            "_prev": F.when(F.col("_rank") == 1, F.col("_last0")).otherwise(F.col("_prev")),
-            "_rank": F.col("_rank") + F.coalesce("_n0", F.lit(0)),
-            "_running": running,
-        }
-    ).select(*in_order.columns, *STATE)
+    before = before.withColumn("_in_group", F.when(F.col("_of") % BLOCK != 0, F.col("_in_group")))
+    same = F.col("_key").eqNullSafe(F.col("_key2")) & (F.col("_group") == F.col("_after"))
+    before = before.join(groups, same, "left").select("_key", "_of", _after(F.col("_groups"), F.col("_in_group")).alias("_base"))
+    joined = rows.join(before, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_block") == F.col("_of")), "left")
+    return joined.withColumn("_running", _after(F.col("_base"), F.col("_running"))).drop("_key", "_of", "_block", "_base")
 
 
 def with_ordered_state(
@@ -93,20 +113,17 @@ def with_ordered_state(
 ) -> DataFrame:
     """Add ``_prev``, ``_rank`` and ``_running`` of ``value`` over each key's rows in ``order``.
 
-    ``unique`` says that no two rows of a key are equal in ``order``, which saves a staging
-    of heavy keys' rows.
+    ``unique`` says that no two rows of a key are equal in ``order``. Running sums are the same
+    to the last bit whichever keys count as heavy, and however many slices they have.
 
     Runs one small job at once, to learn which keys are heavy. Without any (the usual case)
-    the plan is a single window: one hash exchange, one sort.
+    the plan is a single window: one hash exchange, one sort. Where doubles are added, keys
+    of more than ``BLOCK`` rows cost a second exchange, by block.
     """
-    spark = df.sparkSession
-    heavy = heavy_keys(df, key, heavy_rows)
-    if not heavy:
-        return df.withColumns(_window_state((key,), order, value))
-    chosen = F.broadcast(local_table(spark, {"_heavy": [item for item, _ in heavy]}, {"_heavy": df.schema[key].dataType}))
-    same = F.col(key).eqNullSafe(F.col("_heavy"))
-    # As many slices as keep each below the limit, and as many as tasks anyway.
-    rows = sum(n for _, n in heavy)
-    slices = slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * rows // HEAVY_ROWS))
-    light = df.join(chosen, same, "left_anti").withColumns(_window_state((key,), order, value))
-    return light.unionByName(_sliced_state(df.join(chosen, same, "left_semi"), key, order, value, slices, unique))
+    light, heavy, rows, largest = split_heavy(df, key, heavy_rows)
+    inexact = isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType))
+    out = light.withColumns(_window_state(key, order, value))
+    if heavy is not None:
+        sliced = in_slices(heavy, key, order, slices or slice_count(df, rows, heavy_rows), unique)
+        out = out.unionByName(_sliced_state(sliced, key, value).select(*out.columns))
+    return _blocked_running(out, key, value).select(*out.columns) if inexact and largest > BLOCK else out

@@ -15,16 +15,28 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from purseline.functions.messages import decode_events, encode_events, split_rejects
-from purseline.operators.latency import latency_ms, latency_summary, with_processing_time
+from purseline.operators.latency import PERCENTILES, latency_ms, latency_summary, with_processing_time
 from purseline.operators.totals import merge_totals
-from purseline.registry.batch import DECODED_SQL, MESSAGE_COLUMNS, totals_sql
-from purseline.registry.bindings import Query, table
-from purseline.schema import Events
+from purseline.registry.analytics import sessions_sql, sketches_sql, sliding_sql
+from purseline.registry.batch import DECODED_SQL, LABEL_COUNTS, MESSAGE_COLUMNS, MONEY, totals_sql
+from purseline.registry.bindings import EVENT_LABELS, Query, rounded, table
+from purseline.schema import Events, Transactions
 from purseline.sources.topics import read_message_files, write_message_files
 from purseline.staging import staging_path
 from purseline.streaming.dedup import dedup_stream
 from purseline.sources.local import local_table
 from purseline.streaming.sinks import batch_counts, batch_totals_writer, start_batches, start_table, state_partitions
+from purseline.operators.sketches import (
+    DEVIATION,
+    bucket_percentiles,
+    distinct_sketches,
+    percentile_buckets,
+    sketch_distinct,
+)
+from purseline.streaming.features import UPDATES, current_features, feature_updates
+from purseline.streaming.matching import match_earlier
+from purseline.streaming.sessions import session_totals
+from purseline.streaming.sliding import sliding_window_totals
 from purseline.streaming.totals import deduplicated_totals, windowed_totals
 
 SLICES = 3
@@ -205,6 +217,132 @@ def stream_batch_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(batches.drop("batch_id"))
 
 
+FEED = Transactions("user_id", "transaction_amount", "timestamp", "event_type", ("event_id",), scale=2)
+FEED_SCHEMA = f"{DECODED_SCHEMA}, event_type string"
+EXPIRY = "1 day"
+
+
+def _feed_files(
+    spark: SparkSession, deliveries: Iterable[DataFrame], start: Callable[[DataFrame, str], StreamingQuery]
+) -> None:
+    """As ``_replay``, for events with their type, which the messages do not have."""
+    feed, checkpoint = staging_path(spark, "feed"), staging_path(spark, "stream-checkpoint")
+    for delivery in deliveries:
+        rows = delivery.select("event_id", "user_id", "transaction_amount", F.col("timestamp").cast("timestamp"), "event_type")
+        rows.write.mode("append").parquet(feed)
+        with state_partitions(spark):
+            start(spark.readStream.schema(FEED_SCHEMA).parquet(feed), checkpoint).awaitTermination()
+
+
+def _feed_to_batches(spark: SparkSession, sf_dir: str, transform: Callable[[DataFrame], DataFrame], schema: str) -> DataFrame:
+    """The stream's rows as stored by micro-batch, with ``batch_id``; a replayed batch takes its own place."""
+    path = staging_path(spark, "stream-batches")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    _feed_files(
+        spark,
+        _slices(_feed_rows(spark, sf_dir)),
+        lambda rows, checkpoint: start_batches(transform(rows), write, checkpoint, mode="update"),
+    )
+    return spark.read.schema(f"{schema}, batch_id bigint").parquet(path)
+
+
+def _feed_to_table(spark: SparkSession, sf_dir: str, transform: Callable[[DataFrame], DataFrame], schema: str) -> DataFrame:
+    path = staging_path(spark, "stream-output")
+    _feed_files(
+        spark, _slices(_feed_rows(spark, sf_dir)), lambda rows, checkpoint: start_table(transform(rows), path, checkpoint)
+    )
+    return spark.read.schema(schema).parquet(path)
+
+
+def stream_user_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of each user's tenures, which a day without events ends, after the last slice."""
+    updates = _feed_to_batches(
+        spark, sf_dir, lambda rows: feature_updates(rows, FEED, EVENT_LABELS, EXPIRY, DELAY), UPDATES
+    )
+    found = current_features(updates, FEED, EVENT_LABELS).withColumnRenamed("user", "user_id")
+    digits = {"stddev_transaction": 6, "avg_log_amount": 6}
+    return rounded(_plain_times(found.withColumn("user_id", F.col("user_id").cast("bigint"))), digits)
+
+
+def _clicks_and_purchases(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    purchases = rows.where(F.col("event_type") == "purchase").select(
+        F.col("event_id").alias("purchase_id"), "user_id", F.col("timestamp").alias("bought")
+    )
+    clicks = rows.where(F.col("event_type") == "click").select(
+        F.col("event_id").alias("click_id"), "user_id", F.col("timestamp").alias("clicked")
+    )
+    return purchases, clicks
+
+
+MATCH_SCHEMA = "purchase_id bigint, user_id bigint, bought timestamp, click_id bigint, clicked timestamp"
+
+
+def _match(spark: SparkSession, sf_dir: str, how: str, hot: tuple = ()) -> DataFrame:
+    def matched(rows: DataFrame) -> DataFrame:
+        purchases, clicks = _clicks_and_purchases(rows)
+        return match_earlier(purchases, clicks, "user_id", "bought", "clicked", HOUR, how, DELAY, hot)
+
+    return _plain_times(_feed_to_table(spark, sf_dir, matched, MATCH_SCHEMA))
+
+
+def stream_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _match(spark, sf_dir, "inner")
+
+
+def stream_match_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users 1 to 8 are dealt over several tasks."""
+    return _match(spark, sf_dir, "leftOuter", tuple(range(1, 9)))
+
+
+SESSION_SCHEMA = (
+    "user_id bigint, session_start timestamp, session_end timestamp, event_count bigint, total_volume double"
+)
+
+
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _feed_to_table(
+        spark, sf_dir, lambda rows: session_totals(rows, Events(), "6 hours", DELAY, scale=2), SESSION_SCHEMA
+    )
+    return _plain_times(rows)
+
+
+def stream_sliding_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _feed_to_table(
+        spark,
+        sf_dir,
+        lambda rows: sliding_window_totals(rows, Events(), "3 hours", "1 hour", DELAY, scale=2),
+        TOTALS_SCHEMA,
+    )
+    return _plain_times(rows)
+
+
+def stream_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event type, percentiles of amounts from the merged summaries of all micro-batches.
+
+    Numbers of users are about right; whether within four deviations of the sketch is told.
+    """
+    root = staging_path(spark, "stream-sketches")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        buckets = percentile_buckets(batch, ["event_type"], "transaction_amount")
+        buckets.write.mode("overwrite").parquet(f"{root}/buckets/batch_id={batch_id}")
+        users = distinct_sketches(batch, ["event_type"], "user_id")
+        users.write.mode("overwrite").parquet(f"{root}/users/batch_id={batch_id}")
+
+    rows = _feed_rows(spark, sf_dir)
+    _feed_files(spark, _slices(rows), lambda events, checkpoint: start_batches(events, write, checkpoint))
+    buckets = spark.read.schema("event_type string, bucket bigint, n bigint, batch_id bigint").parquet(f"{root}/buckets")
+    sketches = spark.read.schema("event_type string, sketch binary, batch_id bigint").parquet(f"{root}/users")
+    about = bucket_percentiles(buckets, ["event_type"]).join(sketch_distinct(sketches, ["event_type"]), "event_type")
+    exact = rows.groupBy(F.col("event_type").alias("type")).agg(F.count_distinct("user_id").alias("users"))
+    counted = F.abs(F.col("distinct_values") / F.col("users") - 1) <= 4 * DEVIATION
+    both = about.join(exact, F.col("event_type") == F.col("type"))
+    return rounded(both.select("event_type", "n", *PERCENTILES, counted.alias("users_near")), dict.fromkeys(PERCENTILES, 6))
+
+
 CLOSED = (
     "having time_bucket(interval '1 hour', ts) + interval '1 hour' <= "
     "(select max(ts) from events) - interval '10 seconds'"
@@ -222,6 +360,12 @@ LATE_ROWS = f"""
         where event_type = 'error' and slice < {SLICES - 1}
           and time_bucket(interval '1 hour', ts) + interval '1 hour' > watermark)"""
 
+MATCH_SQL = """
+    select p.event_id as purchase_id, p.user_id, p.ts as bought, c.event_id as click_id, c.ts as clicked
+    from (select * from events where event_type = 'purchase') p
+    {join} (select * from events where event_type = 'click') c
+    on c.user_id = p.user_id and c.ts <= p.ts and c.ts >= p.ts - interval '1 hour' {where}"""
+
 STREAMS: dict[str, Query] = {
     "stream_decode": Query(stream_decode, DECODED_SQL),
     "stream_dedup": Query(stream_dedup, DECODED_SQL),
@@ -255,4 +399,46 @@ STREAMS: dict[str, Query] = {
             from sliced group by k""",
     ),
     "stream_batch_partials": Query(stream_batch_partials, totals_sql(HOUR)),
+    "stream_user_features": Query(
+        stream_user_features,
+        f"""with gaps as (
+                select *, ts - lag(ts) over (partition by user_id order by ts, event_id) as apart from events),
+            tenures as (
+                select *, sum((apart is null or apart > interval '{EXPIRY}')::int)
+                    over (partition by user_id order by ts, event_id) as tenure from gaps)
+            select user_id, min(ts) as tenure_start, max(ts) as last_seen,
+                   epoch_us(max(ts) + interval '{EXPIRY}')
+                       < epoch_ms((select max(ts) - interval '10 seconds' from events)) * 1000 as closed,
+                   sum(value::{MONEY})::double as total_spent, sum(value::{MONEY})::double / count(*) as avg_transaction,
+                   count(*) as transaction_count, max(value) as max_transaction, min(value) as min_transaction,
+                   round(stddev_samp(value), 6) as stddev_transaction, round(avg(ln(1 + value)), 6) as avg_log_amount,
+                   sum(hour(ts))::double / count(*) as avg_hour,
+                   sum(dayofweek(ts) + 1)::double / count(*) as avg_day_of_week,
+                   sum((dayofweek(ts) in (0, 6))::int)::double / count(*) as weekend_ratio,
+                   count(distinct month(ts)) as active_months, {LABEL_COUNTS},
+                   arg_max(value, (ts, event_id)) / count(*) as avg_amount_delta,
+                   count(*) as total_transactions_ranked, sum(value::{MONEY})::double as final_running_total
+            from tenures where value > 0 group by user_id, tenure""",
+    ),
+    "stream_match": Query(stream_match, MATCH_SQL.format(join="join", where="")),
+    "stream_match_left": Query(
+        stream_match_left,
+        MATCH_SQL.format(
+            join="left join",
+            where="""where click_id is not null or epoch_ms(bought) < (
+                select least(epoch_ms(max(ts) filter (event_type = 'purchase')),
+                             epoch_ms(max(ts) filter (event_type = 'click'))) - 10000 from events)""",
+        ),
+    ),
+    "stream_sessions": Query(
+        stream_sessions,
+        sessions_sql("user_id", "6 hours")
+        + " having max(ts) + interval '6 hours' <= (select max(ts) - interval '10 seconds' from events)",
+    ),
+    "stream_sliding_totals": Query(
+        stream_sliding_totals,
+        sliding_sql("3 hours", "1 hour")
+        + " having w + interval '3 hours' <= (select max(ts) - interval '10 seconds' from events)",
+    ),
+    "stream_sketches": Query(stream_sketches, sketches_sql("event_type", "value", "events", "true as users_near")),
 }

@@ -73,9 +73,10 @@ def start_batches(
     checkpoint: str,
     every: str | None = None,
     name: str | None = None,
+    mode: str = "append",
 ) -> StreamingQuery:
-    """Call ``write(batch, batch_id)`` for each micro-batch."""
-    return _with_trigger(df.writeStream.foreachBatch(write), checkpoint, every, name).start()
+    """Call ``write(batch, batch_id)`` for each micro-batch; ``mode`` "update" for rows that replace earlier ones."""
+    return _with_trigger(df.writeStream.outputMode(mode).foreachBatch(write), checkpoint, every, name).start()
 
 
 def batch_totals_writer(
