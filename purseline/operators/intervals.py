@@ -54,16 +54,16 @@ def interval_join(
     cells = F.array_distinct(F.array(first, last))
     stored = lengths.withColumn("_cell", F.explode(cells)).withColumnRenamed(key, "_key")
     placed = points.withColumn("_at", F.unix_micros(F.col(at).cast("timestamp")))
-    if how == "left":
-        placed = placed.withColumn("_point", F.monotonically_increasing_id())
     levels = F.array(*[F.lit(i) for i in sorted(used)]).cast("array<int>")
     probes = placed.where(F.col(key).isNotNull() & F.col("_at").isNotNull()).withColumn("_on", F.explode(levels))
     probes = probes.withColumn("_in", _cell("_at", "_on"))
     same = (F.col(key) == F.col("_key")) & (F.col("_on") == F.col("_level")) & (F.col("_in") == F.col("_cell"))
     holds = (F.col("_from") <= F.col("_at")) & (F.col("_at") < F.col("_to"))
+    pairs = probes.join(stored, same & holds)
     helpers = ("_key", "_on", "_in", "_at", "_from", "_to", "_level", "_cell")
-    pairs = probes.join(stored, same & holds).drop(*helpers)
     if how == "inner":
-        return pairs
-    alone = placed.join(pairs.select("_point").distinct(), "_point", "left_anti").drop("_at")
-    return pairs.unionByName(alone, allowMissingColumns=True).drop("_point")
+        return pairs.drop(*helpers)
+    # Points of equal key and time have a match together or not at all.
+    matched = pairs.select(F.col(key).alias("_with"), F.col("_at").alias("_when")).distinct()
+    alone = placed.join(matched, (F.col(key) == F.col("_with")) & (F.col("_at") == F.col("_when")), "left_anti")
+    return pairs.drop(*helpers).unionByName(alone.drop("_at"), allowMissingColumns=True)

@@ -126,4 +126,6 @@ def with_ordered_state(
     if heavy is not None:
         sliced = in_slices(heavy, key, order, slices or slice_count(df, rows, heavy_rows), unique)
         out = out.unionByName(_sliced_state(sliced, key, value).select(*out.columns))
-    return _blocked_running(out, key, value).select(*out.columns) if inexact and largest > BLOCK else out
+    # A window adds up one block in order; slices, or keys of several blocks, need the blocks.
+    blocked = inexact and (heavy is not None or largest > BLOCK)
+    return _blocked_running(out, key, value).select(*out.columns) if blocked else out

@@ -15,7 +15,7 @@ def _counted(left: DataFrame, right: DataFrame) -> DataFrame:
     """``(_row, _left, _right)``: the MD5 of each different row and its copies on both sides."""
     if left.columns != right.columns:
         raise ValueError(f"columns differ: {left.columns} and {right.columns}")
-    row = F.unhex(F.md5(row_text(left.columns))).alias("_row")
+    row = F.unhex(F.md5(row_text(left))).alias("_row")
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
     sides = left.select(row, one.alias("_l"), none.alias("_r")).unionByName(
         right.select(row, none.alias("_l"), one.alias("_r"))
@@ -31,7 +31,7 @@ def _given_back(left: DataFrame, right: DataFrame, copies: Column) -> DataFrame:
     is written by many.
     """
     wanted = _counted(left, right).select("_row", copies.alias("_copies")).where(F.col("_copies") > 0)
-    row = F.unhex(F.md5(row_text(left.columns))).alias("_of")
+    row = F.unhex(F.md5(row_text(left))).alias("_of")
     whole = F.struct(*[F.col(f"`{name}`") for name in left.columns])
     # Copies combine map side, on their 16 bytes.
     once = left.select(row, whole.alias("_whole")).groupBy("_of").agg(F.first("_whole").alias("_whole"))
