@@ -23,15 +23,14 @@ def with_session_start(
 ) -> list[DataFrame]:
     """Rows with the start of their session, as light and heavy keys' parts, which share no session.
 
-    An event less than ``gap`` after the one before belongs to its session; at ``gap`` or more a
-    new one begins. Rows without a time belong to none and are left out.
+    An event up to ``gap`` after the one before, that included, belongs to its session. Rows without a time belong to none and are left out.
     """
     timed = df.where(F.col(time).isNotNull())
     light, heavy, rows, _ = split_heavy(timed, key, heavy_rows)
 
     def begins(previous):
         apart = F.unix_micros(F.col(time).cast("timestamp")) - F.unix_micros(previous.cast("timestamp"))
-        return F.when(previous.isNull() | (apart >= F.expr(_micros(gap))), F.col(time))
+        return F.when(previous.isNull() | (apart > F.expr(_micros(gap))), F.col(time))
 
     def latest(window):
         return F.last("_begin", ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))

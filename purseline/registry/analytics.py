@@ -54,7 +54,7 @@ def sessions_sql(user: str, gap: str, source: str = "events") -> str:
     return f"""
         with gaps as (select *, ts - lag(ts) over (partition by {user} order by ts) as apart from {source}),
         runs as (
-            select *, sum((apart is null or apart >= interval '{gap}')::int)
+            select *, sum((apart is null or apart > interval '{gap}')::int)
                 over (partition by {user} order by ts rows unbounded preceding) as run from gaps)
         select {user}, min(ts) as session_start, max(ts) + interval '{gap}' as session_end, count(*) as event_count,
                sum(value::{MONEY})::double as total_volume

@@ -19,8 +19,8 @@ def session_totals(
 ) -> DataFrame:
     """Closed sessions: user, begin, end (``gap`` after the last event), events and their amount.
 
-    An event less than ``gap`` after or before one of a session belongs to it, whatever the
-    order of arrival; events that close the space between two sessions make them one. A
+    An event at most ``gap`` after or before one of a session belongs to it, whatever the order
+    of arrival; events that close the space between two sessions make them one. A
     session comes out when the watermark passes its end, and is gone from the state then.
     """
     window = F.session_window(names.time, gap).alias("window")

@@ -96,7 +96,7 @@ def plain_sessions(rows, gap):
     for user, found in by_user.items():
         runs = []
         for time, amount in sorted(found):
-            if runs and (time - runs[-1][-1][0]).total_seconds() < gap:
+            if runs and (time - runs[-1][-1][0]).total_seconds() <= gap:
                 runs[-1].append((time, amount))
             else:
                 runs.append([(time, amount)])
@@ -110,12 +110,12 @@ def plain_sessions(rows, gap):
 def test_sessions(spark, heavy_rows, slices):
     draw = random.Random(1)
     rows = [(i, "whale" if i % 2 else f"u{i % 9}", i / 100, at(draw.randint(0, 20_000))) for i in range(400)]
-    rows += [(900, "edge", 1.0, at(0)), (901, "edge", 1.0, at(60)), (902, "edge", 1.0, at(119)), (903, None, 1.0, at(5))]
+    rows += [(900, "edge", 1.0, at(0)), (901, "edge", 1.0, at(60)), (902, "edge", 1.0, at(121)), (903, None, 1.0, at(5))]
     rows += [(904, "whale", 1.0, None), rows[3], rows[3]]
     out = sessions(spark.createDataFrame(rows, EVENT).repartition(5), "60 seconds", Events(), 2, heavy_rows, slices)
     found = [tuple(r) for r in out.select("user_id", "session_start", "session_end", "event_count", "total_volume").collect()]
     assert sorted(found, key=repr) == plain_sessions(rows, 60)
-    assert [f[3] for f in sorted(found, key=repr) if f[0] == "edge"] == [1, 2]  # at the gap a new one begins
+    assert [f[3] for f in sorted(found, key=repr) if f[0] == "edge"] == [1, 2]  # the gap itself still belongs
 
 
 def test_one_session_over_many_slices(spark):
