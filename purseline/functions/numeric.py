@@ -30,6 +30,18 @@ def from_units(units: Column, scale: int | None) -> Column:
     return units / F.lit(float(10**scale))
 
 
+def sum_states(amount: Column, scale: int | None) -> dict[str, Column]:
+    """What to keep of a group to know its sum: units, and NaN and infinities beside them."""
+    units = {"_sum": F.sum(finite_units(amount, scale))}
+    return units if scale is None else units | {"_special": F.sum(F.when(non_finite(amount), amount))}
+
+
+def sum_of_states(scale: int | None) -> Column:
+    """The sum from these states; a NaN or an infinity decides."""
+    total = from_units(F.col("_sum"), scale)
+    return total if scale is None else F.coalesce("_special", total)
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Division in double; NULL where the denominator is 0 or NULL."""
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))

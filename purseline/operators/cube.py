@@ -8,10 +8,10 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from purseline.functions.numeric import from_units, ratio, to_units
+from purseline.functions.numeric import ratio, sum_of_states, sum_states
 
 #: How each partial state of a group is made from rows, and from the states of finer groups.
-_MERGED = {"_rows": F.sum, "_n": F.sum, "_sum": F.sum, "_min": F.min, "_max": F.max}
+_MERGED = {"_rows": F.sum, "_n": F.sum, "_sum": F.sum, "_special": F.sum, "_min": F.min, "_max": F.max}
 
 
 def cube_sets(dims: Sequence[str]) -> list[tuple[str, ...]]:
@@ -40,11 +40,10 @@ def grouped_totals(
     if unknown or not wanted:
         raise ValueError(f"sets must name some of {list(dims)}; not {sorted(unknown)}")
     finest = [name for name in dims if any(name in kept for kept in wanted)]
-    units = to_units(F.col(amount), scale)
     states = {
         "_rows": F.count(F.lit(1)),
-        "_n": F.count(units),
-        "_sum": F.sum(units),
+        "_n": F.count(amount),
+        **sum_states(F.col(amount), scale),
         "_min": F.min(amount),
         "_max": F.max(amount),
     }
@@ -73,7 +72,7 @@ def grouped_totals(
         total = total.select(*nulls, F.lit(identity(())).cast("long").alias("grouping_id"), *states)
         out = total if out is None else out.unionByName(total)
     count = {name: F.coalesce(F.col(name), F.lit(0)) for name in ("_rows", "_n")}
-    total = from_units(F.col("_sum"), scale)
+    total = sum_of_states(scale)
     return out.select(
         *keys,
         count["_rows"].alias("row_count"),

@@ -51,13 +51,14 @@ def fit_label_index(
 ) -> LabelIndex:
     """Count labels (combined map side) and number them; labels that are not text count as their text.
 
-    At most ``local_labels + 1`` rows come to the driver. With more labels than that the
-    counts, kept until then so that the table is read once, are staged and numbered in slices of
-    their order, however few they are.
+    The counts are staged, so the table is read once and nothing is held on executors. At most
+    ``local_labels + 1`` rows come to the driver. More labels than that are numbered in slices
+    of their order, however few they are.
     """
     spark = df.sparkSession
     text = F.col(column).cast("string").alias("_label")
-    counts = df.where(F.col(column).isNotNull()).groupBy(text).agg(F.count(F.lit(1)).alias("n")).persist()
+    counted = df.where(F.col(column).isNotNull()).groupBy(text).agg(F.count(F.lit(1)).alias("n"))
+    counts = stage(counted, "label-counts")
     ranked = counts.orderBy(F.desc("n"), F.asc("_label"))
     top = [row["_label"] for row in ranked.limit(local_labels + 1).collect()]
     common = local_table(
@@ -66,11 +67,9 @@ def fit_label_index(
         {"_label": T.StringType(), "_index": T.DoubleType()},
     )
     if len(top) <= local_labels:
-        counts.unpersist()
         return LabelIndex(common, None, len(top))
 
-    staged = stage(counts, "label-counts").select("_label", (-F.col("n")).alias("minus_n"), F.lit(0).alias("all"))
-    counts.unpersist()
+    staged = counts.select("_label", (-F.col("n")).alias("minus_n"), F.lit(0).alias("all"))
     numbered = stage(
         with_ordered_state(staged, "all", ("minus_n", "_label"), "minus_n", 0, slices, unique=True).select(
             "_label", (F.col("_rank") - 1).cast("double").alias("_index")

@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from purseline.operators.heavy import HEAVY_ROWS
 from purseline.operators.prefix import with_ordered_state
 from purseline.staging import stage
 
@@ -31,16 +30,17 @@ def latency_summary(
     level: str,
     latency: str = "latency_ms",
     percentiles: Mapping[str, float] = PERCENTILES,
-    heavy_rows: int = HEAVY_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Exact interpolated percentiles and the number of events per level.
 
     Events are first counted per level and latency, map side. The percentiles are then read
-    off the cumulative counts, so no task holds the values of a whole level.
+    off the cumulative counts, which are added up in slices of levels and latencies at any
+    size, so no task holds a whole level.
     """
     known = df.where(F.col(latency).isNotNull())
     counts = stage(known.groupBy(level, latency).agg(F.count(F.lit(1)).alias("events")), "latency-counts")
-    cumulative = with_ordered_state(counts, level, (latency,), "events", heavy_rows, unique=True)
+    cumulative = with_ordered_state(counts, level, (latency,), "events", 0, slices, unique=True)
     sizes = counts.groupBy(F.col(level).alias("_level")).agg(F.sum("events").alias("_n"))
     ranked = cumulative.join(sizes, F.col(level).eqNullSafe(F.col("_level")))
 

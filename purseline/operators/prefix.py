@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +17,7 @@ from purseline.operators.heavy import HEAVY_ROWS
 from purseline.operators.slices import AT, SLICE, in_slices, slice_count, slice_window, split_heavy, with_starts
 from purseline.staging import stage
 
-STATE = ("_prev", "_rank", "_running")
+STATE = ("_prev", "_rank", "_running", "_prev_1", "_running_1")
 
 #: Rows whose doubles are added one after another, and such blocks; longer keys take several.
 BLOCK = 1 << 16
@@ -28,43 +28,39 @@ def _after(start: Column, value: Column) -> Column:
     return F.when(start.isNull(), value).when(value.isNull(), start).otherwise(start + value)
 
 
-def _window_state(key: str, order: Sequence[str], value: str) -> dict[str, Column]:
-    rows = Window.partitionBy(key).orderBy(*order)
-    return {
-        "_prev": F.lag(value).over(rows),
-        "_rank": F.row_number().over(rows).cast("bigint"),
-        "_running": F.sum(value).over(rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-    }
+def _names(values: Sequence[str]) -> list[tuple[str, str]]:
+    """Each value column and what its state's names end in; the first has the plain names."""
+    return [(value, "" if i == 0 else f"_{i}") for i, value in enumerate(values)]
 
 
-def _sliced_state(sliced: DataFrame, key: str, value: str) -> DataFrame:
+def _window_state(rows: WindowSpec, values: Sequence[str]) -> dict[str, Column]:
+    up_to = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    state = {"_rank": F.row_number().over(rows).cast("bigint")}
+    for value, end in _names(values):
+        state |= {f"_prev{end}": F.lag(value).over(rows), f"_running{end}": F.sum(value).over(up_to)}
+    return state
+
+
+def _sliced_state(sliced: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
     """The same state, from within the slices and from those before."""
-    ends = {"_n": F.count(F.lit(1)), "_s": F.sum(value), "_last": F.max_by(value, AT)}
-    carried = with_starts(
-        sliced,
-        key,
-        ends,
-        lambda before: {
-            "_n0": F.sum("_n").over(before),
-            "_s0": F.sum("_s").over(before),
-            "_last0": F.last("_last").over(before),
-        },
-    )
-    rows = slice_window(key)
-    local = carried.withColumns(
-        {
-            "_prev": F.lag(value).over(rows),
-            "_rank": F.row_number().over(rows).cast("bigint"),
-            "_running": F.sum(value).over(rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        }
-    )
-    return local.withColumns(
-        {
-            "_prev": F.when(F.col("_rank") == 1, F.col("_last0")).otherwise(F.col("_prev")),
-            "_rank": F.col("_rank") + F.coalesce("_n0", F.lit(0)),
-            "_running": _after(F.col("_s0"), F.col("_running")),
-        }
-    ).drop("_n0", "_s0", "_last0", SLICE, AT)
+    ends = {"_n": F.count(F.lit(1))}
+    for value, end in _names(values):
+        ends |= {f"_s{end}": F.sum(value), f"_last{end}": F.max_by(value, AT)}
+
+    def starts(before: WindowSpec) -> dict[str, Column]:
+        out = {"_n0": F.sum("_n").over(before)}
+        for _, end in _names(values):
+            out |= {f"_s0{end}": F.sum(f"_s{end}").over(before), f"_last0{end}": F.last(f"_last{end}").over(before)}
+        return out
+
+    carried = with_starts(sliced, key, ends, starts)
+    local = carried.withColumns(_window_state(slice_window(key), values))
+    whole = {"_rank": F.col("_rank") + F.coalesce("_n0", F.lit(0))}
+    for _, end in _names(values):
+        first = F.col("_rank") == 1
+        whole[f"_prev{end}"] = F.when(first, F.col(f"_last0{end}")).otherwise(F.col(f"_prev{end}"))
+        whole[f"_running{end}"] = _after(F.col(f"_s0{end}"), F.col(f"_running{end}"))
+    return local.withColumns(whole).drop(SLICE, AT)
 
 
 def _blocked_running(ranked: DataFrame, key: str, value: str) -> DataFrame:
@@ -110,9 +106,13 @@ def with_ordered_state(
     heavy_rows: int = HEAVY_ROWS,
     slices: int | None = None,
     unique: bool = False,
+    also: str | None = None,
 ) -> DataFrame:
     """Add ``_prev``, ``_rank`` and ``_running`` of ``value`` over each key's rows in ``order``.
 
+    ``also`` names a second column, which gets ``_prev_1`` and ``_running_1``; its sums must not
+    depend on the order.
+
     ``unique`` says that no two rows of a key are equal in ``order``. Running sums are the same
     to the last bit whichever keys count as heavy, and however many slices they have.
 
@@ -120,12 +120,13 @@ def with_ordered_state(
     the plan is a single window: one hash exchange, one sort. Where doubles are added, keys
     of more than ``BLOCK`` rows cost a second exchange, by block.
     """
+    values = [value] if also is None else [value, also]
     light, heavy, rows, largest = split_heavy(df, key, heavy_rows)
     inexact = isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType))
-    out = light.withColumns(_window_state(key, order, value))
+    out = light.withColumns(_window_state(Window.partitionBy(key).orderBy(*order), values))
     if heavy is not None:
         sliced = in_slices(heavy, key, order, slices or slice_count(df, rows, heavy_rows), unique)
-        out = out.unionByName(_sliced_state(sliced, key, value).select(*out.columns))
+        out = out.unionByName(_sliced_state(sliced, key, values).select(*out.columns))
     # A window adds up one block in order; slices, or keys of several blocks, need the blocks.
     blocked = inexact and (heavy is not None or largest > BLOCK)
     return _blocked_running(out, key, value).select(*out.columns) if blocked else out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from purseline.functions.numeric import from_units, to_units
+from purseline.functions.numeric import sum_of_states, sum_states
 from purseline.operators.heavy import HEAVY_ROWS
 from purseline.operators.slices import AT, SLICE, in_slices, slice_count, slice_window, split_heavy, with_starts
 from purseline.schema import Events
@@ -70,17 +70,19 @@ def sessions(
     Rows of a NULL user are sessions of a user of their own.
     """
     out = None
-    slim = df.select(events.user, events.time, to_units(F.col(events.amount), scale).alias("_units"))
+    slim = df.select(events.user, events.time, events.amount)
     for part in with_session_start(slim, events.user, events.time, gap, heavy_rows, slices):
         summed = part.groupBy(events.user, BEGIN).agg(
-            F.max(events.time).alias("_last"), F.count(F.lit(1)).alias("event_count"), F.sum("_units").alias("_sum")
+            F.max(events.time).alias("_last"),
+            F.count(F.lit(1)).alias("event_count"),
+            *[state.alias(name) for name, state in sum_states(F.col(events.amount), scale).items()],
         )
         found = summed.select(
             events.user,
             BEGIN,
             (F.col("_last") + F.expr(f"interval {gap}")).alias("session_end"),
             "event_count",
-            from_units(F.col("_sum"), scale).alias("total_volume"),
+            sum_of_states(scale).alias("total_volume"),
         )
         out = found if out is None else out.unionByName(found)
     return out

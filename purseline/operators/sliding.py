@@ -8,7 +8,7 @@ from math import gcd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from purseline.functions.numeric import from_units, to_units
+from purseline.functions.numeric import sum_of_states, sum_states
 from purseline.operators.totals import tumbling_totals
 from purseline.schema import Events
 
@@ -37,15 +37,15 @@ def merged_panes(panes: DataFrame, width: str, slide: str, scale: int | None = N
     A pane, not a row, is copied for each window that holds it.
     """
     # Units again, so that merging is as exact as the panes.
-    total = to_units(F.col("total_volume"), scale)
+    states = sum_states(F.col("total_volume"), scale)
     moment = F.col("window") if "window" in panes.columns else F.col("window_start")
     grouped = panes.groupBy(F.window(moment, width, slide).alias("_window")).agg(
-        F.sum(total).alias("_total"), F.sum("event_count").alias("event_count")
+        *[state.alias(name) for name, state in states.items()], F.sum("event_count").alias("event_count")
     )
     return grouped.select(
         F.col("_window.start").alias("window_start"),
         F.col("_window.end").alias("window_end"),
-        from_units(F.col("_total"), scale).alias("total_volume"),
+        sum_of_states(scale).alias("total_volume"),
         "event_count",
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from purseline.functions.numeric import from_units, to_units
+from purseline.functions.numeric import sum_of_states, sum_states
 from purseline.schema import Events
 
 
@@ -16,21 +16,22 @@ def tumbling_totals(
 
     Events without a time belong to no window.
     """
+    states = sum_states(F.col(events.amount), scale)
     grouped = df.groupBy(F.window(events.time, width).alias("window")).agg(
-        F.sum(to_units(F.col(events.amount), scale)).alias("total"),
-        F.count(events.key).alias("event_count"),
+        *[state.alias(name) for name, state in states.items()], F.count(events.key).alias("event_count")
     )
     return grouped.select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
-        from_units(F.col("total"), scale).alias("total_volume"),
+        sum_of_states(scale).alias("total_volume"),
         "event_count",
     )
 
 
 def merge_totals(partials: DataFrame, scale: int | None = None) -> DataFrame:
     """Totals per window from partial totals of several batches."""
-    total = F.sum(to_units(F.col("total_volume"), scale))
-    return partials.groupBy("window_start", "window_end").agg(
-        from_units(total, scale).alias("total_volume"), F.sum("event_count").alias("event_count")
+    states = sum_states(F.col("total_volume"), scale)
+    merged = partials.groupBy("window_start", "window_end").agg(
+        *[state.alias(name) for name, state in states.items()], F.sum("event_count").alias("event_count")
     )
+    return merged.select("window_start", "window_end", sum_of_states(scale).alias("total_volume"), "event_count")

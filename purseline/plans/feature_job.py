@@ -33,6 +33,7 @@ def run(
     features = user_features(read_transactions(spark, source, cols), cols, labels, sort_output=sort_output)
     write_table(features, target)
     return {
+        # The two names under which the job's numbers are reported.
         "total_runtime_seconds": time.perf_counter() - started,
         "num_features_engineered": len(features.columns) - 1,
     }

@@ -151,7 +151,7 @@ def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per slice, a micro-batch with data: rows read, and rows dropped as repeats or as late."""
+    """Per slice, a micro-batch with data: rows read, rows dropped as repeats and rows dropped as late."""
     path, counts = staging_path(spark, "stream-output"), []
     feed, checkpoint = staging_path(spark, "feed"), staging_path(spark, "stream-checkpoint")
     for number, delivery in enumerate(_slices(_feed_rows(spark, sf_dir), repeated=True)):
@@ -163,7 +163,7 @@ def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         counts += [{**c, "slice": number} for c in batch_counts(query) if c["raw_rows"]]
     schema = {name: T.LongType() for name in ("slice", "raw_rows", "repeats", "late")}
     rows = local_table(spark, {name: [c[name] for c in counts] for name in schema}, schema)
-    return rows.select("slice", "raw_rows", (F.col("repeats") + F.col("late")).alias("dropped_rows"))
+    return rows
 
 
 def stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -375,13 +375,18 @@ STREAMS: dict[str, Query] = {
     "stream_batch_counts": Query(
         stream_batch_counts,
         f"""with bounds as (select min(epoch_us(ts)) as lo, max(epoch_us(ts)) as hi from events),
-            sliced as (select event_type, floor((epoch_us(ts) - lo) * {SLICES} / (hi - lo + 1)) as k from events, bounds),
+            sliced as (
+                select ts, event_type, floor((epoch_us(ts) - lo) * {SLICES} / (hi - lo + 1)) as k from events, bounds),
+            marks as (select k + 1 as k, (max(epoch_ms(ts)) - 10000) * 1000 as mark from sliced group by 1),
             delivered as (
-                select k, 0 as again from sliced
-                union all select k, 1 from sliced where event_type = 'purchase'
-                union all select k + 1, 1 from sliced where event_type = 'error' and k < {SLICES - 1})
-            select k::bigint as slice, count(*) as raw_rows, sum(again)::bigint as dropped_rows
-            from delivered group by 1""",
+                select ts, k, 0 as again from sliced
+                union all select ts, k, 1 from sliced where event_type = 'purchase'
+                union all select ts, k + 1, 1 from sliced where event_type = 'error' and k < {SLICES - 1})
+            -- Of what came before, the part behind the watermark of the slices read by then is late.
+            select k::bigint as slice, count(*) as raw_rows,
+                   count(*) filter (again = 1 and not coalesce(epoch_us(ts) <= mark, false)) as repeats,
+                   count(*) filter (again = 1 and coalesce(epoch_us(ts) <= mark, false)) as late
+            from delivered left join marks using (k) group by 1""",
     ),
     "stream_latency": Query(
         stream_latency,

@@ -65,7 +65,7 @@ class Events:
     time: str = "timestamp"
 
 
-# The JSON message. Ids are BIGINT, so that ids beyond 2^31 are kept.
+# The fields of the JSON message, a wire contract. Ids are BIGINT, so that ids beyond 2^31 are kept.
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("event_id", T.LongType()),

@@ -11,13 +11,19 @@ MESSAGE_SCHEMA = T.StructType([ENVELOPE_SCHEMA["value"]])
 
 
 def topic_options(
-    servers: str, topic: str, starting: str = "latest", max_per_trigger: int | None = None
+    servers: str, topic: str, starting: str = "latest", max_per_trigger: int | None = None, now_ms: int | None = None
 ) -> dict[str, str]:
     """Source options. ``starting`` counts only while the checkpoint is empty.
 
-    ``max_per_trigger`` bounds a micro-batch, so a backlog is worked off in even steps.
+    Two queries that both start at "latest" each look for it themselves, and a message that
+    comes between is in one only. With ``now_ms`` "latest" is the first message from that time
+    on, or the next one to come, which is the same place for every query. ``max_per_trigger``
+    bounds a micro-batch, so a backlog is worked off in even steps.
     """
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting}
+    if starting == "latest" and now_ms is not None:
+        del options["startingOffsets"]
+        options |= {"startingTimestamp": str(now_ms), "startingOffsetsByTimestampStrategy": "latest"}
     if max_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_per_trigger)
     return options

@@ -11,6 +11,7 @@ or, where the package is not installed, with it in a zip (see README):
 from __future__ import annotations
 
 import argparse
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -87,7 +88,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(
         "window-totals", args.master, extra={"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
     )
-    source = read_topic(spark, topic_options(args.servers, args.topic, args.starting, args.max_per_trigger))
+    # One place for totals and rejects to start from.
+    now_ms = int(time.time() * 1_000)
+    source = read_topic(spark, topic_options(args.servers, args.topic, args.starting, args.max_per_trigger, now_ms))
     with state_partitions(spark, args.state_partitions):
         start(
             source,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from purseline.functions.numeric import from_units, to_units
+from purseline.functions.numeric import sum_of_states, sum_states
 from purseline.schema import Events
 from purseline.streaming.dedup import DELAY
 
@@ -25,12 +25,12 @@ def session_totals(
     """
     window = F.session_window(names.time, gap).alias("window")
     grouped = events.withWatermark(names.time, delay).groupBy(names.user, window).agg(
-        F.count(names.key).alias("event_count"), F.sum(to_units(F.col(names.amount), scale)).alias("_total")
+        F.count(names.key).alias("event_count"), *[s.alias(n) for n, s in sum_states(F.col(names.amount), scale).items()]
     )
     return grouped.select(
         names.user,
         F.col("window.start").alias("session_start"),
         F.col("window.end").alias("session_end"),
         "event_count",
-        from_units(F.col("_total"), scale).alias("total_volume"),
+        sum_of_states(scale).alias("total_volume"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from purseline.functions.numeric import from_units, to_units
+from purseline.functions.numeric import sum_of_states, sum_states
 from purseline.operators.sliding import merged_panes, pane
 from purseline.schema import Events
 from purseline.streaming.dedup import DELAY
@@ -25,11 +25,11 @@ def sliding_window_totals(
     out when it has passed the window's. Both steps keep state only so long. Late events are
     dropped where their pane is closed.
     """
-    units = to_units(F.col(names.amount), scale)
+    states = sum_states(F.col(names.amount), scale)
     panes = (
         events.withWatermark(names.time, delay)
         .groupBy(F.window(names.time, pane(width, slide)).alias("window"))
-        .agg(F.sum(units).alias("_total"), F.count(names.key).alias("event_count"))
-        .select("window", from_units(F.col("_total"), scale).alias("total_volume"), "event_count")
+        .agg(*[state.alias(name) for name, state in states.items()], F.count(names.key).alias("event_count"))
+        .select("window", sum_of_states(scale).alias("total_volume"), "event_count")
     )
     return merged_panes(panes, width, slide, scale)

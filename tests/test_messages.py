@@ -66,6 +66,13 @@ def test_topic_options():
     }
 
 
+def test_queries_that_start_at_one_time_start_at_one_place():
+    options = topic_options("host:9092", "t", now_ms=1_700_000_000_000)
+    assert options["startingTimestamp"] == "1700000000000" and "startingOffsets" not in options
+    assert options["startingOffsetsByTimestampStrategy"] == "latest"
+    assert topic_options("host:9092", "t", "earliest", now_ms=5)["startingOffsets"] == "earliest"
+
+
 def test_topic_needs_the_connector(spark):
     if any("kafka" in jar for jar in spark.conf.get("spark.jars.packages", "").split(",")):
         pytest.skip("connector present")

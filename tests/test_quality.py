@@ -38,13 +38,13 @@ def test_diff_counts_copies(spark):
     assert {r.differing_rows for r in table_diff(left, left.repartition(3)).collect()} == {0}
 
 
-@pytest.mark.parametrize("heavy_rows", [1_000_000, 40])
-def test_percentiles_are_exact(spark, heavy_rows):
+@pytest.mark.parametrize("slices", [None, 1, 9])
+def test_percentiles_are_exact(spark, slices):
     rng = np.random.default_rng(1)
     values = {"low": rng.integers(0, 50, 400) / 4, "high": rng.exponential(30, 300).round(3), "one": np.array([7.0])}
     rows = [(level, float(v)) for level, vs in values.items() for v in vs] + [("low", None)]
     df = spark.createDataFrame(rows, "level string, latency_ms double")
-    for row in latency_summary(df, "level", heavy_rows=heavy_rows).collect():
+    for row in latency_summary(df, "level", slices=slices).collect():
         expected = np.quantile(values[row.level], [0.5, 0.95, 0.99])
         assert np.allclose([row.p50, row.p95, row.p99], expected, rtol=0, atol=1e-9)
         assert row.n == len(values[row.level])
@@ -68,3 +68,25 @@ def test_null_keys_are_events_of_their_own(spark):
     assert dedup_events(df, ["k"], "t").count() == 4
     (counts,) = dedup_metrics(df, "k", F.lit(1)).collect()
     assert (counts.raw_rows, counts.distinct_rows, counts.dropped_rows) == (5, 4, 1)
+
+
+def test_no_level_is_one_window(spark):
+    """Latencies of one level lie in several slices, each of which is a window."""
+    df = spark.range(2_000).select(F.lit("a").alias("level"), (F.col("id") / 7).alias("latency_ms"))
+    text = latency_summary(df, "level", slices=6)._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in text.split("\n") if " Window [" in line and "_running" in line]
+    assert windows and all("_slice" in line for line in windows)
+
+
+def test_dedup_reads_once_and_sorts_no_aggregate(spark, tmp_path):
+    path = str(tmp_path / "events")
+    spark.range(100).selectExpr("id % 7 as k", "id as t", "cast(id as string) as v").write.parquet(path)
+    text = dedup_events(spark.read.parquet(path), ["k"], "t")._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "Aggregate" not in text and text.count("Exchange") == 1
+    assert "Partial" in text  # one row per key and task before the exchange
+
+
+def test_nested_columns_are_told_apart(spark):
+    rows = [(["a, b"],), (["a", "b"],), (None,), ([],), ([None],)]
+    prints = {fingerprint(spark.createDataFrame([row], "a array<string>")) for row in rows}
+    assert len(prints) == len(rows)

@@ -11,7 +11,8 @@ from purseline.functions.categories import with_category_flags
 from purseline.functions.numeric import from_units, to_units
 from purseline.functions.temporal import with_time_parts
 from purseline.operators.filters import amount_above
-from purseline.schema import Transactions
+from purseline.operators.totals import merge_totals, tumbling_totals
+from purseline.schema import Events, Transactions
 
 
 def test_filter_keeps_positive_and_nan(spark):
@@ -59,3 +60,13 @@ def test_table_check_rejects_text_amounts(spark):
     schema = T.StructType.fromDDL("user_id string, amount string, timestamp timestamp_ntz, category string")
     with pytest.raises(TypeError, match="numeric"):
         Transactions().check(spark.createDataFrame([row], schema))
+
+
+@pytest.mark.parametrize("scale", [2, None])
+def test_window_totals_take_nan_and_infinity_as_doubles_do(spark, scale):
+    inf, nan = float("inf"), float("nan")
+    rows = [(i, 1, x, dt.datetime(2026, 1, 1, 0, i)) for i, xs in enumerate([(1.5, 2.25), (1.0, inf), (inf, nan), (None,)]) for x in xs]
+    df = spark.createDataFrame(rows, "event_id int, user_id int, transaction_amount double, timestamp timestamp")
+    totals = tumbling_totals(df, Events(), "1 minute", scale)
+    for out in (totals, merge_totals(totals.unionByName(totals.limit(0)), scale)):
+        assert [str(r.total_volume) for r in out.orderBy("window_start").collect()] == ["3.75", "inf", "nan", "None"]

@@ -116,3 +116,18 @@ def test_text_times_order_as_times(spark):
     )
     out = with_sequence_features(df, COLS).orderBy("txn_rank").select(F.col("id")).collect()
     assert [r.id for r in out] == [2, 1]
+
+
+@pytest.mark.parametrize("heavy_rows", [1000, 2])
+@pytest.mark.parametrize("scale", [2, None])
+def test_nan_and_infinity_are_as_doubles_have_them(spark, heavy_rows, scale):
+    amounts = [1.0, float("inf"), 2.0, float("nan"), 3.0, None, 4.0]
+    df = spark.createDataFrame(rows_of(["a"] * 7 + ["b"], [*amounts, 5.0], range(8)), SCHEMA)
+    cols = Transactions(tiebreak=("id",), scale=scale)
+    out = with_sequence_features(df, cols, heavy_rows, slices=3).orderBy("id")
+    got = out.select("prev_amount", "amount_delta", "running_total").collect()
+    inf, nan = float("inf"), float("nan")
+    expected = [
+        (None, 1.0, 1.0), (1.0, inf, inf), (inf, -inf, inf), (2.0, nan, nan), (nan, nan, nan), (3.0, None, nan), (None, 4.0, nan), (None, 5.0, 5.0),
+    ]
+    assert [tuple(map(str, r)) for r in got] == [tuple(map(str, r)) for r in expected]
