@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,8 @@ from purseline.staging import stage
 
 # The percentiles reported.
 PERCENTILES = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
+# The load levels reported, in events per second.
+LOADS = (100, 1_000, 10_000)
 
 
 def with_processing_time(df: DataFrame, name: str = "processed_at") -> DataFrame:
@@ -39,7 +41,40 @@ def latency_summary(
     size, so no task holds a whole level.
     """
     known = df.where(F.col(latency).isNotNull())
-    counts = stage(known.groupBy(level, latency).agg(F.count(F.lit(1)).alias("events")), "latency-counts")
+    return _percentiles(known.groupBy(level, latency).agg(F.count(F.lit(1)).alias("events")), level, latency, percentiles, slices)
+
+
+def latency_by_load(
+    df: DataFrame,
+    time: str,
+    width: str = "1 second",
+    bounds: Sequence[int] = LOADS,
+    latency: str = "latency_ms",
+    percentiles: Mapping[str, float] = PERCENTILES,
+    slices: int | None = None,
+) -> DataFrame:
+    """Percentiles and events by ``load``: the first of ``bounds`` that the events per ``width`` do not exceed.
+
+    It is NULL above all bounds. All events with a time count as load, those without a latency
+    too. Events are counted by window and latency before windows meet their load, so a window
+    with a third of all events is as many rows as it has different latencies.
+    """
+    by_window = df.where(F.col(time).isNotNull()).groupBy(F.window(time, width).getField("start").alias("_window"), latency)
+    counts = stage(by_window.agg(F.count(F.lit(1)).alias("_events")), "load-counts")
+    loads = counts.groupBy(F.col("_window").alias("_of")).agg(F.sum("_events").alias("_load"))
+    load = F.lit(None).cast("long")
+    for bound in sorted(bounds, reverse=True):
+        load = F.when(F.col("_load") <= bound, F.lit(bound).cast("long")).otherwise(load)
+    joined = counts.where(F.col(latency).isNotNull()).join(loads, F.col("_window") == F.col("_of"))
+    grouped = joined.groupBy(load.alias("load"), latency).agg(F.sum("_events").alias("events"))
+    return _percentiles(grouped, "load", latency, percentiles, slices)
+
+
+def _percentiles(
+    counted: DataFrame, level: str, latency: str, percentiles: Mapping[str, float], slices: int | None
+) -> DataFrame:
+    """From the events by level and latency."""
+    counts = stage(counted, "latency-counts")
     cumulative = with_ordered_state(counts, level, (latency,), "events", 0, slices, unique=True)
     sizes = counts.groupBy(F.col(level).alias("_level")).agg(F.sum("events").alias("_n"))
     ranked = cumulative.join(sizes, F.col(level).eqNullSafe(F.col("_level")))

@@ -9,7 +9,7 @@ from purseline.operators.asof import asof_join
 from purseline.operators.cube import cube_sets, grouped_totals, rollup_sets
 from purseline.operators.frames import with_recent_spend
 from purseline.operators.intervals import interval_join
-from purseline.operators.latency import PERCENTILES
+from purseline.operators.latency import PERCENTILES, latency_by_load
 from purseline.operators.sessions import sessions
 from purseline.operators.sets import except_all, intersect_all
 from purseline.operators.sketches import (
@@ -208,6 +208,19 @@ def _marks_sql(operation: str) -> str:
     return f"{side} o_totalprice < 200000 {operation} all {side} not o_totalprice < 200000"
 
 
+HOURLY_LOADS = (5, 10, 14, 18, 100, 140, 180)
+
+
+def loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latencies by the events of the hour, taking an event's value for its delay in milliseconds."""
+    rows = table(spark, sf_dir, "events").withColumn("latency_ms", F.col("value"))
+    return rounded(latency_by_load(rows, "ts", "1 hour", HOURLY_LOADS), dict.fromkeys(PERCENTILES, 6))
+
+
+LOADS_SQL = f"""
+    hours as (select time_bucket(interval '1 hour', ts) as h, count(*) as c from events group by 1),
+    levels as (select h, case {" ".join(f"when c <= {b} then {b}" for b in HOURLY_LOADS)} end::bigint as load from hours)"""
+
 OWNED_SQL = f"(select *, {WHALE} as owner from events)"
 
 ANALYTICS: dict[str, Query] = {
@@ -253,6 +266,13 @@ ANALYTICS: dict[str, Query] = {
                   rank() over (partition by o_orderstatus order by o_orderdate desc) as position
            from orders qualify position <= 3""",
     ),
+    "latency_by_load": Query(
+        loads,
+        f"""with {LOADS_SQL}
+            select load, {", ".join(f"round(quantile_cont(value, {p}), 6) as {n}" for n, p in PERCENTILES.items())},
+                   count(*) as n
+            from events join levels on h = time_bucket(interval '1 hour', ts) group by load""",
+    ),
     "except_all": Query(rows_except, _marks_sql("except")),
     "intersect_all": Query(rows_intersect, _marks_sql("intersect")),
 }

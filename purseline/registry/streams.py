@@ -15,9 +15,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from purseline.functions.messages import decode_events, encode_events, split_rejects
-from purseline.operators.latency import PERCENTILES, latency_ms, latency_summary, with_processing_time
+from purseline.operators.latency import PERCENTILES, latency_by_load, latency_ms, latency_summary, with_processing_time
 from purseline.operators.totals import merge_totals
-from purseline.registry.analytics import sessions_sql, sketches_sql, sliding_sql
+from purseline.registry.analytics import HOURLY_LOADS, LOADS_SQL, sessions_sql, sketches_sql, sliding_sql
 from purseline.registry.batch import DECODED_SQL, LABEL_COUNTS, MESSAGE_COLUMNS, MONEY, totals_sql
 from purseline.registry.bindings import EVENT_LABELS, Query, rounded, table
 from purseline.schema import Events, Transactions
@@ -185,6 +185,19 @@ def stream_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("day", "n", ordered.alias("ordered"), after.alias("after_start"))
 
 
+def stream_load_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per load of the events' hour, how many the stream passed on, and whether its latencies can be true.
+
+    The latencies are those of this run, from an event's time to that of its micro-batch.
+    """
+    passed = _replay_to_table(
+        spark, _slices(_feed_rows(spark, sf_dir)), with_processing_time, f"{DECODED_SCHEMA}, processed_at timestamp"
+    )
+    found = latency_by_load(latency_ms(passed, "timestamp", "processed_at"), "timestamp", HOUR, HOURLY_LOADS)
+    ordered = (F.lit(0) < F.col("p50")) & (F.col("p50") <= F.col("p95")) & (F.col("p95") <= F.col("p99"))
+    return found.select("load", "n", ordered.alias("ordered"))
+
+
 def stream_batch_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "batch-totals")
     write = batch_totals_writer(path, Events(), HOUR, scale=2)
@@ -393,6 +406,12 @@ STREAMS: dict[str, Query] = {
         """select strftime(ts, '%Y-%m-%d') as day, count(*) as n, true as ordered, true as after_start
            from events group by 1""",
     ),
+    "stream_load_levels": Query(
+        stream_load_levels,
+        f"""with {LOADS_SQL}
+            select load, count(*) as n, true as ordered
+            from events join levels on h = time_bucket(interval '1 hour', ts) group by load""",
+    ),
     "stream_batch_tags": Query(
         stream_batch_tags,
         f"""with bounds as (select min(epoch_us(ts)) as lo, max(epoch_us(ts)) as hi from events),

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from purseline.operators.latency import latency_summary, throughput
+from purseline.operators.latency import latency_by_load, latency_summary, throughput
 from purseline.operators.dedup import dedup_events, dedup_metrics
 from purseline.operators.quality import table_diff, table_fingerprint
 
@@ -90,3 +90,11 @@ def test_nested_columns_are_told_apart(spark):
     rows = [(["a, b"],), (["a", "b"],), (None,), ([],), ([None],)]
     prints = {fingerprint(spark.createDataFrame([row], "a array<string>")) for row in rows}
     assert len(prints) == len(rows)
+
+
+def test_latency_by_load(spark):
+    """3 events in one second, 1 in another, 5 in a third; one latency is unknown."""
+    rows = [(0, 1.0), (0, 2.0), (0, None), (1, 7.0), *[(2, float(i)) for i in range(5)], (None, 9.0)]
+    df = spark.createDataFrame(rows, "s int, latency_ms double").withColumn("t", F.timestamp_seconds("s"))
+    out = latency_by_load(df, "t", bounds=(1, 3)).collect()
+    assert {r.load: (r.n, r.p50) for r in out} == {1: (1, 7.0), 3: (2, 1.5), None: (5, 2.0)}
