@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from purseline.llm.common import named
+from purseline.llm.common import column_of
 from purseline.staging import stage
 
 # Fixed values of the contract: parts of a vector, entries of a codebook, rounds, steps in 1.
@@ -204,17 +204,17 @@ def compress(
     of any other name are not read.
     """
     spark = vectors.sparkSession
-    kept = vectors.where(_finite(named(vector))).select(
-        named(id).alias("key"),
-        F.struct(*[named(name).alias(f"c{i}") for i, name in enumerate(carry)] or [F.lit(0).alias("none")]).alias("carried"),
-        _whole(named(vector)).alias("whole"),
+    kept = vectors.where(_finite(column_of(vector))).select(
+        column_of(id).alias("key"),
+        F.struct(*[column_of(name).alias(f"c{i}") for i, name in enumerate(carry)] or [F.lit(0).alias("none")]).alias("carried"),
+        _whole(column_of(vector)).alias("whole"),
         F.monotonically_increasing_id().alias("row"),
     )
     kept = stage(kept, "codes-vectors")  # rows keep their numbers from here on
     sizes = kept.agg(F.min(F.size("whole")).alias("least"), F.max(F.size("whole")).alias("most"), F.count("*").alias("n")).first()
     if sizes["n"] and (sizes["least"] != sizes["most"] or sizes["most"] % PARTS):
         raise ValueError(f"vectors have {sizes['least']} to {sizes['most']} components; one multiple of {PARTS} is needed")
-    schema = [named(id).alias(id), *[F.col(f"carried.c{i}").alias(name) for i, name in enumerate(carry)]]
+    schema = [column_of(id).alias(id), *[F.col(f"carried.c{i}").alias(name) for i, name in enumerate(carry)]]
     if not sizes["n"]:
         empty = kept.select(F.col("key").alias(id), *schema[1:], F.lit("").alias("code"), F.lit(0).cast("long").alias("error"))
         return empty, None

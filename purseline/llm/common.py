@@ -51,7 +51,7 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def named(name: str) -> Column:
+def column_of(name: str) -> Column:
     """The column of this name, dots and backticks in it included."""
     return F.col("`" + name.replace("`", "``") + "`")
 

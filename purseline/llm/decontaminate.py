@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from purseline.llm.common import TERM, ascii_lower, fresh, terms
+from purseline.llm.common import TERM, ascii_lower, column_of, fresh, terms
 from purseline.staging import stage
 
 # Fixed values of the contamination rule: words in a window, share of words hit in percent.
@@ -139,7 +139,7 @@ def find_contamination(
             if block
             else (F.array().cast("array<string>"), F.array().cast("array<struct<first: long, last: long>>"))
         )
-        out = out.withColumn(into, scan(F.col(text), *before))
+        out = out.withColumn(into, scan(column_of(text), *before))
         if block < blocks - 1:
             out = stage(out, "decontaminate-pass")
     found = F.col(into)
@@ -149,10 +149,14 @@ def find_contamination(
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with their columns."""
+    """The rows of ``docs`` that are not contaminated, with their columns, whatever their names.
+
+    NULL and empty texts are clean and stay, so does everything without a benchmark; equal rows
+    stay or go together.
+    """
     found = fresh(docs, "contamination")
     marked = find_contamination(docs, benchmark, text, into=found)
-    return marked.where(~F.col(found)["contaminated"]).select(*docs.columns)
+    return marked.where(~F.col(found)["contaminated"]).select(*map(column_of, docs.columns))
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -1,12 +1,12 @@
 """N-gram Jaccard join as a blocked sparse product of the document by n-gram incidence.
 
-Two sets whose Jaccard similarity reaches the threshold differ in at most ``k`` n-grams, where
-``k`` follows from the smaller size. Cut the n-grams by hash into a ring of ``k`` + 1 columns:
-there is a column that is the same in both, and from which on the next ``l`` columns differ in
-less than ``l`` n-grams, for every ``l`` (cycle lemma: less than one per column). Documents that agree in a whole column are listed together;
-only inside such lists can the product reach the bound. Where columns are thin, lists also hold
-strangers. So each entry has the parities of the n-grams in the next ``RING`` columns by 64
-places: two entries of linked sets differ in less than ``RING`` bits, those of strangers in more.
+Candidates come from postings of the rarest n-grams. All sets are put in one order, by the
+counts of a sketch of fixed size and then by hash; any order shared by all is exact. Two sets
+that reach the threshold both hold the same share of their union, so at least one of them is
+missing few enough n-grams to have one in common within the prefix that the size cuts off.
+A list of documents that share such an n-gram may hold strangers; so each document has the
+parities of its n-grams by 512 places, and a pair is dropped before any text is read if these,
+or the sizes, differ in more n-grams than two linked sets can.
 
 In a block of documents overlap counts are summed up column slice by column slice, and a pair
 is given up as soon as the n-grams left cannot lift it to what its two sizes ask for. Lists
@@ -26,8 +26,9 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.taskcontext import TaskContext
 
-from purseline.llm.common import Words, by_size, fresh, mix, raw, run_hashes
+from purseline.llm.common import Words, by_size, column_of, fresh, mix, raw, run_hashes
 from purseline.staging import stage
 
 # Fixed values of the contract: words in a shingle, similarity in percent.
@@ -37,13 +38,16 @@ PERCENT = 90
 #: Documents in a block of the product, and n-grams in a column slice of it.
 BLOCK = 256
 SLICE = 4_096
-#: Columns whose n-grams an entry of a list tells about in 64 bits.
-RING = 8
-#: From this similarity in percent on columns hold so many n-grams that strangers share none.
-THICK = 90
-
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-_EMPTY = np.uint64(0x1D)
+#: Counters of the sketch that orders n-grams, and those that travel as one row.
+COUNTERS = 1 << 20
+COUNTER_PART = 1 << 15
+#: Sketches of so many tasks are added up by one.
+FANOUT = 64
+#: Places of a document's parities, in words of 64.
+WORDS = 8
+#: Bits per listed document, and at most, of the filter that texts pass before they are shuffled.
+FILTER_LOAD = 16
+FILTER_BITS = 1 << 26
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
@@ -59,73 +63,26 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def most_different(smaller: int, percent: int = PERCENT) -> int:
-    """Most n-grams that only one of two linked sets has, the smaller set having ``smaller``.
+def prefix_size(n: int, percent: int = PERCENT) -> int:
+    """N-grams of ``n``, in the shared order, of which a linked set must have one in its own prefix."""
+    return n - -(-n * percent // 100) + 1
 
-    The union is at most ``smaller`` * 100 / percent, and the rest of it is the difference.
-    """
-    return smaller * (100 - percent) // percent
 
+def counter_of(grams: np.ndarray, counters: int) -> np.ndarray:
+    return (grams >> np.uint64(64 - (counters.bit_length() - 1))).astype(np.int64)
 
-def size_class(n: int, percent: int = PERCENT) -> tuple[int, int]:
-    """(least, most) size of the class of ``n``; classes grow by a quarter."""
-    least = 1
-    while True:
-        most = max(least, least * 5 // 4)
-        if n <= most:
-            return least, most
-        least = most + 1
 
+def prefix(grams: np.ndarray, counts: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """The rarest n-grams of a set, as many as a linked set must share one of."""
+    order = np.argsort(counts[counter_of(grams, len(counts))], kind="stable")  # then by hash
+    return grams[order[: prefix_size(len(grams), percent)]]
 
-def entries(grams: np.ndarray, percent: int, classes: dict[int, tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the set's columns, and the parities of ``RING`` columns from each on.
 
-    Two linked, different sets share a hash whose parities differ in less than ``RING`` bits.
-    A column that is empty in both says nothing, and would list strangers together. If it is
-    the one the lemma names, the next column differs in at most one n-gram; so the column
-    after an empty one is signed with any one n-gram left out instead.
-    """
-    n = len(grams)
-    out, parities = [], []
-    smallest = -(-n * percent // 100)
-    for size in {n, max(1, smallest)}:
-        if size not in classes:
-            classes[size] = size_class(size, percent)
-    spread = mix(grams)
-    bits = np.uint64(1) << (spread >> np.uint64(58))
-    for least, most in {classes[n], classes[max(1, smallest)]}:
-        k = most_different(most, percent)
-        if not k:
-            continue  # only equal sets can be linked
-        columns = k + 1
-        of = (grams >> np.uint64(17)) % np.uint64(columns)
-        order = np.argsort(of, kind="stable")
-        held = np.bincount(of.astype(np.int64), minlength=columns)
-        full = np.flatnonzero(held)
-        sums, parity = np.zeros(columns, np.uint64), np.zeros(columns, np.uint64)
-        begins = np.concatenate([[0], np.cumsum(held)])
-        sums[full] = np.add.reduceat(spread[order], begins[full])
-        parity[full] = np.bitwise_xor.reduceat(bits[order], begins[full])
-        ring = parity.copy()
-        for shift in range(1, min(RING, columns)):
-            ring ^= np.roll(parity, -shift)
-        base = mix(np.arange(columns, dtype=np.uint64) * _STEP + np.uint64(least))
-        out.append(mix(sums[full] ^ base[full]))
-        parities.append(ring[full])
-        for i in np.flatnonzero(held == 0).tolist():
-            j = (i + 1) % columns
-            part = spread[order[begins[j] : begins[j + 1]]]
-            out.append(mix((np.append(sums[j] - part, sums[j]) ^ base[i]) * _STEP + _EMPTY))
-            parities.append(np.full(len(part) + 1, ring[i]))
-    if not out:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    signs, at = np.unique(np.concatenate(out), return_index=True)
-    return signs, np.concatenate(parities)[at]
-
-
-def signatures(grams: np.ndarray, percent: int, classes: dict[int, tuple[int, int]]) -> np.ndarray:
-    """Hashes of the set's columns; two linked, different sets share at least one."""
-    return entries(grams, percent, classes)[0]
+def parities(grams: np.ndarray) -> np.ndarray:
+    """Parities of the n-grams by place; sets that differ in d n-grams differ in d places at most."""
+    place = (mix(grams) >> np.uint64(64 - 9)).astype(np.int64)
+    odd = (np.bincount(place, minlength=64 * WORDS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
 
 
 def overlaps(sets: list[np.ndarray], percent: int, known: np.ndarray | None = None) -> np.ndarray:
@@ -235,6 +192,15 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
+def _code(id: str, text: str) -> Column:
+    """128 bits that name a document by id and text."""
+
+    def told(value: Column) -> Column:
+        return F.coalesce(F.concat(F.octet_length(value).cast("string"), F.lit(":"), value), F.lit("-"))
+
+    return F.unhex(F.md5(F.concat(told(column_of(id).cast("string")), told(column_of(text)))))
+
+
 def describe(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
     """Per input row ``id``, ``code``, ``digest`` of its set, ``n_shingles``, ``packed``.
 
@@ -260,9 +226,8 @@ def describe(docs: DataFrame, id: str, text: str, size: int) -> DataFrame:
             yield out
 
     # The id travels as text: a NULL among numbers would make them doubles.
-    code = F.xxhash64(F.col(id), F.col(text)).alias("code")
-    rows = docs.select(F.col(id).cast("string").alias("id"), code, F.col(text).alias("body"))
-    schema = "id string, code long, digest binary, n_shingles long, packed binary"
+    rows = docs.select(column_of(id).cast("string").alias("id"), _code(id, text).alias("code"), column_of(text).alias("body"))
+    schema = "id string, code binary, digest binary, n_shingles long, packed binary"
     return rows.mapInPandas(read, schema).withColumn("id", F.col("id").cast(docs.schema[id].dataType))
 
 
@@ -271,31 +236,100 @@ def _short(digest: str) -> Column:
     return F.conv(F.hex(F.col(digest).substr(1, 8)), 16, -10).cast("long")
 
 
-def _listed(sets: DataFrame, size: int, percent: int) -> DataFrame:
-    """``(sign, ring, member)`` of all columns of the sets; read twice, as they are larger than the texts.
+def _grams(batches: Iterator[pd.DataFrame], size: int) -> Iterator[tuple[pd.DataFrame, list[np.ndarray]]]:
+    """The sets of packed texts, batch by batch."""
+    expand = zstandard.ZstdDecompressor()
+    for batch in by_size(batches, "packed", 1_000_000):
+        yield batch, shingle_sets([expand.decompress(x) for x in batch["packed"]], size)
+
 
-    Without parities (0) all entries of a list are close.
+def _added(parts: list[bytes]) -> bytes:
+    expand = zstandard.ZstdDecompressor()
+    total = sum(np.frombuffer(expand.decompress(x), "<u8") for x in parts)
+    return zstandard.ZstdCompressor(level=1).compress(total.tobytes())
+
+
+def count_grams(sets: DataFrame, size: int, counters: int = COUNTERS) -> np.ndarray:
+    """How many documents have n-grams of each counter, over all documents.
+
+    A task counts what it reads; sketches are added up ``FANOUT`` at a time, so no task gets
+    more of them at any number of tasks.
     """
-    classes: dict[int, tuple[int, int]] = {}
+    part = min(COUNTER_PART, counters)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = np.zeros(counters, np.int64)
+        for _, found in _grams(batches, size):
+            if found:
+                held += np.bincount(counter_of(np.concatenate(found), counters), minlength=counters)
+        squeeze = zstandard.ZstdCompressor(level=1)
+        task = TaskContext.get().partitionId()
+        rows = [(i, task, squeeze.compress(held[i * part : (i + 1) * part].tobytes())) for i in range(counters // part)]
+        yield pd.DataFrame(rows, columns=["part", "task", "counts"])
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        first = group.iloc[:1]
+        return first.assign(counts=[_added(group["counts"].tolist())])
+
+    schema = "part int, task int, counts binary"
+    rows = stage(sets.select("packed").mapInPandas(count, schema), "jaccard-counts")
+    while (rows.agg(F.max("task")).first()[0] or 0) > 0:
+        rows = rows.withColumn("task", F.floor(F.col("task") / FANOUT).cast("int"))
+        rows = stage(rows.groupBy("part", "task").applyInPandas(add, schema), "jaccard-counts")
+    expand, out = zstandard.ZstdDecompressor(), np.zeros(counters, np.uint64)
+    for row in rows.select("part", "counts").collect():  # 8 MB
+        out[row["part"] * part : (row["part"] + 1) * part] = np.frombuffer(expand.decompress(row["counts"]), "<u8")
+    # Only the order counts, so 32 bits are enough.
+    return (out >> np.uint64(max(0, int(out.max(initial=0)).bit_length() - 32))).astype(np.uint32)
+
+
+_PARITIES = [f"p{i}" for i in range(WORDS)]
+
+
+def _signed(sets: DataFrame, size: int, percent: int, counts: np.ndarray) -> DataFrame:
+    """``(short, n, signs, p0...)`` of each set: its size, prefix and parities."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        expand = zstandard.ZstdDecompressor()
-        for batch in by_size(batches, "packed", 1_000_000):
-            grams = shingle_sets([expand.decompress(x) for x in batch["packed"]], size)
-            found = [[x.view(np.int64) for x in entries(g, percent, classes)] for g in grams]
-            out = pd.DataFrame(found, columns=["signs", "rings"])
-            out.insert(0, "member", batch["short"].to_numpy())
-            yield out
+        for batch, found in _grams(batches, size):
+            signs = [prefix(grams, counts, percent).view(np.int64) for grams in found]
+            out = pd.DataFrame({"short": batch["short"], "n": [len(grams) for grams in found], "signs": signs})
+            table = np.stack([parities(grams) for grams in found]) if found else np.empty((0, WORDS), np.int64)
+            yield out.assign(**{name: table[:, i] for i, name in enumerate(_PARITIES)})
+
+    schema = "short long, n long, signs array<long>, " + ", ".join(f"{name} long" for name in _PARITIES)
+    return stage(sets.select("short", "packed").mapInPandas(read, schema), "jaccard-signed")
+
+
+def _close(one: str, other: str, percent: int) -> Column:
+    """Whether sizes and parities allow that two sets are linked; columns begin with these."""
+    a, b = F.col(f"{one}n"), F.col(f"{other}n")
+    need = F.expr(f"({percent} * ({one}n + {other}n) + {99 + percent}) div {100 + percent}")
+    apart = sum((F.bit_count(F.col(f"{one}{p}").bitwiseXOR(F.col(f"{other}{p}"))) for p in _PARITIES), F.lit(0))
+    return (F.least(a, b) * 100 >= F.greatest(a, b) * percent) & (apart <= a + b - 2 * need)
+
 
-    rows = sets.select("short", "packed").mapInPandas(read, "member long, signs array<long>, rings array<long>")
-    if percent >= THICK:
-        return rows.select(F.explode("signs").alias("sign"), F.lit(0).cast("long").alias("ring"), "member")
-    return rows.select(F.inline(F.arrays_zip("signs", "rings")).alias("sign", "ring"), "member")
+def _named(slim: DataFrame, start: str) -> DataFrame:
+    return slim.select(*[F.col(name).alias(f"{start}{name}") for name in slim.columns])
 
 
-def _close(ring: str, other: str) -> Column:
-    """Whether two entries of one list can be those of linked sets."""
-    return F.bit_count(F.col(ring).bitwiseXOR(F.col(other))) < RING
+def _prune(texts: DataFrame, members: DataFrame, member: str) -> DataFrame:
+    """The rows of ``texts`` whose ``short`` is a member, but for what a filter lets through, unshuffled.
+
+    The filter is a set of bits of bounded size and is broadcast; if members outgrow it, it lets
+    more through, and the join that follows still decides.
+    """
+    n = members.count()
+    bits = min(FILTER_BITS, 1 << max(16, (FILTER_LOAD * n).bit_length()))
+
+    def word(of: str) -> Column:
+        return F.floor(F.pmod(F.col(of), F.lit(bits)) / 64)
+
+    def bit(of: str) -> Column:
+        return F.expr(f"shiftleft(cast(1 as bigint), cast(pmod({of}, 64) as int))")
+
+    words = members.groupBy(word(member).alias("_word")).agg(F.bit_or(bit(member)).alias("_bits"))
+    kept = texts.withColumn("_of", word("short")).join(F.broadcast(words), F.col("_of") == F.col("_word"))
+    return kept.where(F.col("_bits").bitwiseAND(bit("short")) != 0).select(*texts.columns)
 
 
 def jaccard_links(
@@ -306,20 +340,21 @@ def jaccard_links(
     ``sets`` is a written table as ``describe`` gives it.
     """
     some = sets.where("packed is not null").withColumn("short", _short("digest"))
-    # Few signs are shared, and to count them moves less than the entries.
-    columns = _listed(some, size, percent)
-    often = columns.groupBy("sign").agg(F.count("*").alias("n")).where("n > 1").select("sign")
-    columns = stage(columns.join(often, "sign", "left_semi").distinct(), "jaccard-entries")
-    spread = columns.groupBy("sign").agg(
-        F.min("member").alias("leader"), F.min_by("ring", "member").alias("bits"), F.max("member").alias("other")
-    )
-    lists = stage(columns.join(spread.where("leader <> other").drop("other"), "sign"), "jaccard-lists")
+    signed = _signed(some, size, percent, count_grams(some, size))
+    columns = signed.select(F.explode("signs").alias("sign"), F.col("short").alias("member"))
+    spread = columns.groupBy("sign").agg(F.min("member").alias("leader"), F.max("member").alias("other"))
+    lists = columns.join(spread.where("leader <> other").drop("other"), "sign").distinct()
+    lists = stage(lists, "jaccard-lists")
     product = _multiply(size, percent)
 
-    pairs = lists.where((F.col("member") != F.col("leader")) & _close("ring", "bits"))
-    pairs = stage(pairs.select("leader", "member").distinct(), "jaccard-pairs")
-    paired = pairs.select("leader").union(pairs.select("member")).distinct()
-    texts = some.join(paired, F.col("short") == F.col("leader"), "left_semi")
+    slim = signed.select("short", "n", *_PARITIES).distinct()
+    pairs = lists.where("member <> leader").select("leader", "member").distinct()
+    pairs = pairs.join(_named(slim, "l_"), F.col("leader") == F.col("l_short"))
+    pairs = pairs.join(_named(slim, "m_"), F.col("member") == F.col("m_short")).where(_close("l_", "m_", percent))
+    pairs = stage(pairs.select("leader", "member"), "jaccard-pairs")
+    paired = stage(pairs.select(F.col("leader").alias("of")).union(pairs.select("member")).distinct(), "jaccard-paired")
+    texts = _prune(some.select("digest", "short", "packed"), paired, "of")
+    texts = texts.join(paired, F.col("short") == F.col("of"), "left_semi")
     texts = texts.groupBy("digest", "short").agg(F.min("packed").alias("packed"))
     crowd = pairs.groupBy("leader").agg(F.ceil(F.count("*") / block).alias("blocks"))
     pairs = pairs.join(crowd, "leader").withColumn("block", F.pmod(F.xxhash64("member"), "blocks")).drop("blocks")
@@ -336,12 +371,15 @@ def jaccard_links(
     known = stage(known, "jaccard-labelled")
     # Lists whose members are not all connected yet. All entries of a list that are close to one
     # of another component are put together, in rows no more than entries; strangers stay out.
-    named = lists.join(known, F.col("member") == F.col("short")).select("sign", "ring", "digest", "label")
+    named = lists.join(known, F.col("member") == F.col("short")).select("sign", "member", "digest", "label")
     named = stage(named, "jaccard-named")
     mixed = named.groupBy("sign").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     named = named.join(mixed.where("low <> high").select("sign"), "sign")
-    other = named.select(F.col("sign").alias("at"), F.col("ring").alias("other_ring"), F.col("label").alias("other_label"))
-    meets = (F.col("sign") == F.col("at")) & (F.col("label") != F.col("other_label")) & _close("ring", "other_ring")
+    named = stage(named.join(_named(slim, "m_"), F.col("member") == F.col("m_short")).drop("m_short"), "jaccard-mixed")
+    other = named.select(F.col("sign").alias("at"), F.col("label").alias("other_label"), *[
+        F.col(f"m_{name}").alias(f"o_{name}") for name in ("n", *_PARITIES)
+    ])
+    meets = (F.col("sign") == F.col("at")) & (F.col("label") != F.col("other_label")) & _close("m_", "o_", percent)
     near = stage(named.join(other, meets, "left_semi").select("sign", "digest"), "jaccard-close")
     hubs = near.groupBy("sign").agg(F.min("digest").alias("a"))
     pairs = near.join(hubs, "sign").where("a <> digest").select("a", F.col("digest").alias("b")).distinct()
@@ -351,7 +389,9 @@ def jaccard_links(
     wide = clusters.join(crowd, "cluster").withColumn("mine", F.pmod(F.xxhash64("node"), "blocks"))
     wide = wide.select("cluster", "node", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("yours"))
     wide = wide.select("cluster", "node", F.least("mine", "yours").alias("i"), F.greatest("mine", "yours").alias("j"))
-    texts = some.join(clusters, F.col("digest") == F.col("node"), "left_semi")
+    clustered = known.join(clusters, F.col("digest") == F.col("node"), "left_semi").select(F.col("short").alias("of"))
+    texts = _prune(some.select("digest", "short", "packed"), clustered, "of")
+    texts = texts.join(clusters, F.col("digest") == F.col("node"), "left_semi")
     texts = texts.groupBy("digest").agg(F.min("packed").alias("packed")).join(known.select("digest", "label"), "digest")
     wide = wide.join(texts, F.col("node") == F.col("digest")).select("cluster", "i", "j", "digest", "packed", "label")
     second = stage(wide.groupBy("cluster", "i", "j").applyInPandas(product, "a binary, b binary"), "jaccard-links")
@@ -409,15 +449,20 @@ def keep_one_each(
     percent: int = PERCENT,
     block: int = BLOCK,
 ) -> DataFrame:
-    """The head of each component, once, with its columns; documents without words stay."""
+    """The head of each component, once, with its columns; documents without words stay.
+
+    Of equal ids the one with the least code stays, of equal rows any one. NULL ids are larger
+    than others, so they stay only where all of a component have none. An empty table stays
+    empty; columns of any other name are passed on as they are.
+    """
     rows = stage(_headed(docs, id, text, size, percent, block), "jaccard-components")
     code, head, n = (fresh(docs, name) for name in ("code", "head", "n"))
     heads = rows.where("code = head.code").groupBy(F.col("code").alias(head)).agg(F.count("*").alias(n))
-    kept = docs.withColumn(code, F.xxhash64(F.col(id), F.col(text))).join(heads, F.col(code) == F.col(head))
+    kept = docs.withColumn(code, _code(id, text)).join(heads, F.col(code) == F.col(head))
     if not heads.where(F.col(n) > 1).isEmpty():
         kept = kept.where(F.col(n) == 1).union(kept.where(F.col(n) > 1).dropDuplicates([code]))
-    wordless = F.col(text).isNull() | ~F.col(text).rlike(r"[^\x20\x09-\x0D]")
-    return kept.select(*docs.columns).union(docs.where(wordless))
+    wordless = column_of(text).isNull() | ~column_of(text).rlike(r"[^\x20\x09-\x0D]")
+    return kept.select(*map(column_of, docs.columns)).union(docs.where(wordless))
 
 
 def jaccard_report(docs: DataFrame) -> DataFrame:

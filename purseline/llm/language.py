@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from purseline.llm.common import by_size, mix, named
+from purseline.llm.common import by_size, column_of, mix
 
 # Fixed values of the contract: folds by id, the one that is held out, the label without letters.
 FOLDS = 3
@@ -178,7 +178,7 @@ def _count(languages: list[str], buckets: int) -> Callable[[Iterator[pd.DataFram
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", switch: float = SWITCH) -> Model:
     """The model of all texts that have a language; each language value is one, '' as well."""
-    known = docs.where(named(lang).isNotNull()).select(named(text).alias("body"), named(lang).cast("string").alias("lang"))
+    known = docs.where(column_of(lang).isNotNull()).select(column_of(text).alias("body"), column_of(lang).cast("string").alias("lang"))
     found = [row["lang"] for row in known.select("lang").distinct().limit(LANGUAGES + 1).collect()]
     if len(found) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
@@ -302,7 +302,7 @@ def label_texts(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "
             out.insert(0, "id", batch["id"].to_numpy())
             yield out
 
-    rows = docs.select(named(id).cast("string").alias("id"), named(text).alias("body"))
+    rows = docs.select(column_of(id).cast("string").alias("id"), column_of(text).alias("body"))
     schema = "id string, lang_pred string, score double, spans array<struct<start: long, end: long, lang: string>>"
     out = rows.mapInPandas(read, schema)
     return out.select(F.col("id").cast(docs.schema[id].dataType).alias(id), "lang_pred", "score", "spans")
@@ -310,7 +310,7 @@ def label_texts(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "
 
 def held_out(id: str) -> Column:
     """Whether the row's fold is the one not learned from; a NULL id counts as empty text."""
-    return F.crc32(F.coalesce(named(id).cast("string"), F.lit(""))) % FOLDS == HELD_OUT
+    return F.crc32(F.coalesce(column_of(id).cast("string"), F.lit(""))) % FOLDS == HELD_OUT
 
 
 def language_report(docs: DataFrame) -> DataFrame:

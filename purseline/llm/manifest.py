@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from purseline.llm.common import named
+from purseline.llm.common import column_of
 from purseline.staging import stage
 
 # Fixed values of the contract: children of a node, columns of a leaf, one in so many is tampered with.
@@ -281,12 +281,12 @@ def build_manifest(
     of their own, in the order of their digests. Texts of any length are hashed whole. A column
     of any other name is not read. An empty table has no rows.
     """
-    now = [(tampered or {}).get(name, named(name)) for name in fields]
+    now = [(tampered or {}).get(name, column_of(name)) for name in fields]
     rows = docs.select(
-        F.when(named(source).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), named(source).cast("string"))).alias("tree"),
-        leaf([named(name) for name in fields]).alias("digest"),
-        named(id).alias("key"),
-        named(id).cast("string").alias("id"),
+        F.when(column_of(source).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), column_of(source).cast("string"))).alias("tree"),
+        leaf([column_of(name) for name in fields]).alias("digest"),
+        column_of(id).alias("key"),
+        column_of(id).cast("string").alias("id"),
         (F.lit(None) if changed is None else F.when(changed, leaf(now))).cast("string").alias("note"),
     )
     leaves = _placed(stage(rows, "manifest-documents"), ["key", "digest"], "manifest")

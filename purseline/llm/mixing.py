@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from purseline.llm.common import fresh, words
+from purseline.llm.common import column_of, fresh, words
 from purseline.staging import stage
 
 # Fixed values of the contract: weights by place of the source, most times a source is taken.
@@ -202,24 +202,26 @@ def mix_sources(docs: DataFrame, id: str = "doc_id", text: str = "text", source:
 
 
 def take_mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``docs`` as the mix takes them: each row as often as it is drawn, or not at all."""
-    columns = docs.columns
+    """``docs`` as the mix takes them: each row as often as it is drawn, or not at all.
+
+    NULLs, empty texts and repeated rows are as in ``mix_sources``; names of columns do not matter.
+    """
     row, size, at = (fresh(docs, name) for name in ("row", "size", "at"))
     held = stage(
-        docs.withColumn(row, F.monotonically_increasing_id()).withColumn(size, text_size(F.col(text))), "mix-input"
+        docs.withColumn(row, F.monotonically_increasing_id()).withColumn(size, text_size(column_of(text))), "mix-input"
     )
     units = held.select(
         F.col(row).alias("row"),
-        F.col(source).alias("source"),
+        column_of(source).alias("source"),
         F.col(size).alias("size"),
-        F.xxhash64(F.col(id), F.col(text)).alias("code"),
+        F.xxhash64(column_of(id), column_of(text)).alias("code"),
     )
     drawn = _mix(stage(units, "mix-documents")).where("copies > 0").select(F.col("row").alias(at), "copies")
     times = fresh(docs, "copies")
     drawn = drawn.withColumnRenamed("copies", times)
     taken = held.join(drawn, F.col(row) == F.col(at))
     copy = fresh(docs, "copy")
-    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*columns)
+    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*map(column_of, docs.columns))
 
 
 def mixing_report(docs: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from purseline.llm.common import SPACES, fresh, words
+from purseline.llm.common import SPACES, column_of, fresh, words
 from purseline.staging import stage
 
 # Fixed values of the base rules.
@@ -265,14 +265,21 @@ def keep_good(
     stratum: str = "lang",
     label: str = "quality",
 ) -> DataFrame:
-    """The rows of ``docs`` that pass, with their columns."""
-    columns = docs.columns
+    """The rows of ``docs`` that pass, with their columns.
+
+    NULL and empty texts fail the base rules; equal rows pass together; an empty table stays
+    empty, and names of columns do not matter. Every text is measured once: rows are staged
+    with their measures, from which the labelled ones back the cutoffs.
+    """
     measure, of, chosen = (fresh(docs, name) for name in ("features", "cutoffs_of", "cutoffs"))
-    _, backed = _measure(docs, labels, id, text, stratum, label)
+    rows = docs.withColumn(measure, features(column_of(text)))
+    rows = stage(rows.where(~base_failed(F.col(measure))), "quality-rows")
+    tested = rows.join(good_documents(labels, id, label).withColumnRenamed("good_id", of), column_of(id) == F.col(of), "left_semi")
+    slim = tested.select(column_of(stratum).alias("stratum"), F.col(measure).alias("features"))
+    backed = stage(choose_cutoffs(slim, "stratum", ratios(F.col("features"))), "quality-cutoffs")
     backed = backed.select(F.col("stratum").alias(of), F.col("cutoffs").alias(chosen))
-    rows = docs.withColumn(measure, features(F.col(text))).where(~base_failed(F.col(measure)))
-    rows = rows.join(backed, F.col(stratum).eqNullSafe(F.col(of)), "left")
-    return rows.where(~rejected(ratios(F.col(measure)), F.col(chosen))).select(*columns)
+    rows = rows.join(backed, column_of(stratum).eqNullSafe(F.col(of)), "left")
+    return rows.where(~rejected(ratios(F.col(measure)), F.col(chosen))).select(*map(column_of, docs.columns))
 
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:

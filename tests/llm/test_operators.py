@@ -482,8 +482,9 @@ def brute_components(texts):
     return [(len(s), x) for s, x in zip(sets, label, strict=True)]
 
 
-def test_linked_sets_share_a_column():
-    draw, classes = random.Random(6), {}
+def test_linked_sets_share_a_prefix_and_are_close():
+    draw = random.Random(6)
+    counts = np.random.default_rng(6).integers(0, 4, 1 << 10).astype(np.uint32)
     for _ in range(3_000):
         n = draw.randrange(1, 160)
         base = np.unique(np.array([draw.getrandbits(64) for _ in range(n)], np.uint64))
@@ -492,7 +493,9 @@ def test_linked_sets_share_a_column():
         linked = 100 * both >= 90 * either
         assert len(jaccard.overlaps([base, other], 90)) == linked
         if linked and both < either:
-            assert len(np.intersect1d(jaccard.signatures(base, 90, classes), jaccard.signatures(other, 90, classes)))
+            assert len(np.intersect1d(jaccard.prefix(base, counts, 90), jaccard.prefix(other, counts, 90)))
+            apart = sum(int(x).bit_count() for x in (jaccard.parities(base) ^ jaccard.parities(other)).view(np.uint64))
+            assert apart <= len(base) + len(other) - 2 * both
 
 
 @pytest.mark.parametrize("block", [jaccard.BLOCK, 4])

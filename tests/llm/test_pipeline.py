@@ -18,7 +18,7 @@ from purseline.staging import stage
 
 def test_all_queries_are_registered():
     assert {*QUERIES, "pipeline"} <= set(driver.queries())
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", list(SQL))
@@ -89,17 +89,67 @@ def test_near_copies_go_at_five_words_and_four_fifths(spark, sf_dir):
 
 
 @pytest.mark.parametrize(("size", "percent"), [(40, 80), (200, 80), (200, 90), (1_000, 80)])
-def test_linked_sets_share_a_close_entry(size, percent):
+def test_linked_sets_meet_and_strangers_do_not(size, percent):
     draw = np.random.default_rng(size)
+    counts = draw.integers(0, 9, 1 << 12).astype(np.uint32)
     for _ in range(100):
         base = draw.integers(0, 2**64, size, np.uint64)
         off = draw.integers(0, size * (100 - percent) // 100 + 1)
-        other = np.sort(base[off:])
-        (a, rings), (b, others) = (jaccard.entries(np.sort(x), percent, {}) for x in (base, other))
-        _, i, j = np.intersect1d(a, b, return_indices=True)
-        apart = [int(x).bit_count() for x in rings[i] ^ others[j]]
-        assert apart and min(apart) < jaccard.RING
+        base, other = np.sort(base), np.sort(base[off:])
+        assert len(np.intersect1d(jaccard.prefix(base, counts, percent), jaccard.prefix(other, counts, percent)))
+        assert len(jaccard.prefix(base, counts, percent)) == jaccard.prefix_size(size, percent) <= size * (100 - percent) // 100 + 1
         stranger = np.sort(draw.integers(0, 2**64, size, np.uint64))
-        c, far = jaccard.entries(stranger, percent, {})
-        _, i, j = np.intersect1d(a, c, return_indices=True)
-        assert all(int(x).bit_count() >= jaccard.RING for x in rings[i] ^ far[j])
+        apart = sum(int(x).bit_count() for x in (jaccard.parities(base) ^ jaccard.parities(stranger)).view(np.uint64))
+        assert size > 512 or apart > 2 * size - 2 * -(-2 * size * percent // (100 + percent))
+
+
+def test_rarest_grams_come_first():
+    grams = np.sort(np.random.default_rng(1).integers(0, 2**64, 500, np.uint64))
+    counts = np.zeros(1 << 8, np.uint32)
+    counts[jaccard.counter_of(grams[:250], 1 << 8)] = 1_000
+    rare = grams[counts[jaccard.counter_of(grams, 1 << 8)] == 0]
+    chosen = jaccard.prefix(grams, counts, 80)
+    assert set(chosen[: len(rare)].tolist()) <= set(rare.tolist()) or len(rare) < len(chosen)
+
+
+def test_sketch_counts_all_documents(spark):
+    frame = spark.createDataFrame([(i, f"w{i % 7} w{i % 3} x y z") for i in range(300)], "doc_id long, text string")
+    sets = stage(jaccard.describe(frame.repartition(9), "doc_id", "text", 3), "test-sets").where("packed is not null")
+    counts = jaccard.count_grams(sets, 3, 1 << 12)
+    assert counts.sum() == sets.agg({"n_shingles": "sum"}).first()[0]
+    assert np.array_equal(counts, jaccard.count_grams(sets.repartition(70), 3, 1 << 12))
+
+
+def odd_tables(spark):
+    """NULLs in any column, empty texts, repeats, and columns whose names have dots or are used inside."""
+    text = " ".join(f"word{i % 40} in{i}" for i in range(60))
+    rows = [(1, text, "en", "a", 5), (1, text, "en", "a", 5), (2, text + " end", "en", None, None), (3, None, None, "a", 1)]
+    rows += [(4, "", "de", "b", 0), (None, text.upper(), None, "b", 2), (None, None, None, None, None), (5, "one two", "en", "a", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    names = ("a.b", "code", "head", "row", "size", "features", "contamination", "copies", "key", "shard", "id", "n", "short", "sign")
+    from pyspark.sql import functions as F
+
+    return docs.withColumns({name: F.lit("x") for name in names})
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_take_odd_rows_and_none(spark, sf_dir, empty):
+    docs = odd_tables(spark)
+    docs = docs.limit(0) if empty else docs
+    for _, step in corpus_pipeline.STAGES[:4]:
+        before, docs = docs, stage(step(spark, docs, sf_dir), "test-odd")
+        assert docs.columns == before.columns
+    kept = docs.collect()
+    assert not empty or not kept
+    assert {r["doc_id"] for r in kept} <= {1}  # the others are near copies, or have too few words
+    assert corpus_pipeline.STAGES[4][1](spark, docs, sf_dir).count() == len(kept)
+
+
+def test_each_stage_alone_takes_odd_rows(spark, sf_dir):
+    for docs in (odd_tables(spark), odd_tables(spark).limit(0)):
+        for _, step in corpus_pipeline.STAGES:
+            assert step(spark, docs, sf_dir).count() <= 3 * docs.count()
+    kept = corpus_pipeline.jaccard_join(spark, odd_tables(spark), sf_dir).collect()
+    # One of the long texts and "one two"; texts without words are copies of nothing.
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in kept)[0][1] == 1
+    assert len(kept) == 5
