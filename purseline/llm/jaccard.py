@@ -5,15 +5,16 @@ counts of a sketch of fixed size and then by hash; any order shared by all is ex
 that reach the threshold both hold the same share of their union, so at least one of them is
 missing few enough n-grams to have one in common within the prefix that the size cuts off.
 A list of documents that share such an n-gram may hold strangers; so each document has the
-parities of its n-grams by 512 places, and a pair is dropped before any text is read if these,
-or the sizes, differ in more n-grams than two linked sets can.
+parities of its n-grams by place, two to four places for each, and a pair is dropped before any
+text is read if these, or the sizes, differ in more n-grams than two linked sets can.
 
 In a block of documents overlap counts are summed up column slice by column slice, and a pair
-is given up as soon as the n-grams left cannot lift it to what its two sizes ask for. Lists
-are first joined through one leader each. Entries of a list that are then close to one of
-another component are put together, also across lists where they share documents, and
-multiplied out in blocks, so that every qualifying pair is either computed or known to be
-connected. Equal sets are one row from the start.
+is given up as soon as the n-grams left cannot lift it to what its two sizes ask for. Before
+the lists are looked at, documents of equal least hashes are joined through one leader each,
+which finds most links of crowds of copies. Entries of a list that are close to one of another
+component are then put together, also across lists where they share documents, and multiplied
+out in blocks, so that every qualifying pair is either computed or known to be connected.
+Equal sets are one row from the start.
 """
 
 from __future__ import annotations
@@ -43,8 +44,8 @@ COUNTERS = 1 << 20
 COUNTER_PART = 1 << 15
 #: Sketches of so many tasks are added up by one.
 FANOUT = 64
-#: Places of a document's parities, in words of 64.
-WORDS = 8
+#: Orders in which the least n-gram of a document is taken, for its leaders.
+LEASTS = 4
 #: Bits per listed document, and at most, of the filter that texts pass before they are shuffled.
 FILTER_LOAD = 16
 FILTER_BITS = 1 << 26
@@ -79,12 +80,22 @@ def prefix(grams: np.ndarray, counts: np.ndarray, percent: int = PERCENT) -> np.
 
 
 def parities(grams: np.ndarray) -> np.ndarray:
-    """Parities of the n-grams by place; sets that differ in d n-grams differ in d places at most."""
-    place = (mix(grams) >> np.uint64(64 - 9)).astype(np.int64)
-    odd = (np.bincount(place, minlength=64 * WORDS) & 1).astype(np.uint8)
+    """Parities of the n-grams by place, in words of 64; there are two to four places for an n-gram.
+
+    Sets that differ in d n-grams differ in d places at most. Half of the words added to the
+    other half are the parities by half as many places.
+    """
+    places = 64 << max(0, (len(grams) - 1).bit_length() - 5)
+    place = (mix(grams) & np.uint64(places - 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=places) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64)
 
 
+def leasts(grams: np.ndarray) -> np.ndarray:
+    """The least hash of the set in each of several orders; near copies share most of them."""
+    return np.array([mix(grams ^ mix(np.array([i + 1], np.uint64))).min() for i in range(LEASTS)], np.uint64)
+
+
 def overlaps(sets: list[np.ndarray], percent: int, known: np.ndarray | None = None) -> np.ndarray:
     """Pairs (i < j) of different sets that reach the threshold, as an array of two columns.
 
@@ -283,29 +294,42 @@ def count_grams(sets: DataFrame, size: int, counters: int = COUNTERS) -> np.ndar
     return (out >> np.uint64(max(0, int(out.max(initial=0)).bit_length() - 32))).astype(np.uint32)
 
 
-_PARITIES = [f"p{i}" for i in range(WORDS)]
-
-
 def _signed(sets: DataFrame, size: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """``(short, n, signs, p0...)`` of each set: its size, prefix and parities."""
+    """``(short, n, signs, bits, leasts)`` of each set: its size, prefix, parities and least hashes."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch, found in _grams(batches, size):
             signs = [prefix(grams, counts, percent).view(np.int64) for grams in found]
-            out = pd.DataFrame({"short": batch["short"], "n": [len(grams) for grams in found], "signs": signs})
-            table = np.stack([parities(grams) for grams in found]) if found else np.empty((0, WORDS), np.int64)
-            yield out.assign(**{name: table[:, i] for i, name in enumerate(_PARITIES)})
-
-    schema = "short long, n long, signs array<long>, " + ", ".join(f"{name} long" for name in _PARITIES)
+            yield pd.DataFrame(
+                {
+                    "short": batch["short"],
+                    "n": [len(grams) for grams in found],
+                    "signs": signs,
+                    "bits": [parities(grams) for grams in found],
+                    "leasts": [leasts(grams).view(np.int64) for grams in found],
+                }
+            )
+
+    schema = "short long, n long, signs array<long>, bits array<long>, leasts array<long>"
     return stage(sets.select("short", "packed").mapInPandas(read, schema), "jaccard-signed")
 
 
+def _folded(bits: Column) -> Column:
+    """The parities by half as many places."""
+    half = (F.size(bits) / 2).cast("int")
+    return F.zip_with(F.slice(bits, 1, half), F.slice(bits, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+
+
 def _close(one: str, other: str, percent: int) -> Column:
     """Whether sizes and parities allow that two sets are linked; columns begin with these."""
-    a, b = F.col(f"{one}n"), F.col(f"{other}n")
+    a, b, x, y = F.col(f"{one}n"), F.col(f"{other}n"), F.col(f"{one}bits"), F.col(f"{other}bits")
     need = F.expr(f"({percent} * ({one}n + {other}n) + {99 + percent}) div {100 + percent}")
-    apart = sum((F.bit_count(F.col(f"{one}{p}").bitwiseXOR(F.col(f"{other}{p}"))) for p in _PARITIES), F.lit(0))
-    return (F.least(a, b) * 100 >= F.greatest(a, b) * percent) & (apart <= a + b - 2 * need)
+    # Linked sets are of like size, so one has twice the places of the other at most.
+    less = F.when(F.size(x) > F.size(y), _folded(x)).otherwise(x), F.when(F.size(y) > F.size(x), _folded(y)).otherwise(y)
+    each = F.zip_with(*less, lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    apart = F.aggregate(each, F.lit(0), lambda total, bits: total + bits)
+    like = F.least(a, b) * 100 >= F.greatest(a, b) * percent
+    return F.when(like, apart <= a + b - 2 * need).otherwise(F.lit(False))
 
 
 def _named(slim: DataFrame, start: str) -> DataFrame:
@@ -341,14 +365,18 @@ def jaccard_links(
     """
     some = sets.where("packed is not null").withColumn("short", _short("digest"))
     signed = _signed(some, size, percent, count_grams(some, size))
-    columns = signed.select(F.explode("signs").alias("sign"), F.col("short").alias("member"))
-    spread = columns.groupBy("sign").agg(F.min("member").alias("leader"), F.max("member").alias("other"))
-    lists = columns.join(spread.where("leader <> other").drop("other"), "sign").distinct()
-    lists = stage(lists, "jaccard-lists")
+    slim = signed.select("short", "n", "bits").distinct()
     product = _multiply(size, percent)
 
-    slim = signed.select("short", "n", *_PARITIES).distinct()
-    pairs = lists.where("member <> leader").select("leader", "member").distinct()
+    # In each order, the documents of one least hash and the leader that a hash of it picks.
+    rows = signed.select(F.col("short").alias("member"), F.posexplode("leasts").alias("turn", "least")).distinct()
+    pick = F.xxhash64("member", "turn")
+    crowds = rows.groupBy(F.col("turn").alias("in_turn"), F.col("least").alias("of_least")).agg(
+        F.min_by("member", pick).alias("leader"), F.min("member").alias("low"), F.max("member").alias("high")
+    )
+    crowds = crowds.where("low <> high").drop("low", "high")
+    pairs = rows.join(crowds, (F.col("turn") == F.col("in_turn")) & (F.col("least") == F.col("of_least")))
+    pairs = pairs.where("member <> leader").select("leader", "member").distinct()
     pairs = pairs.join(_named(slim, "l_"), F.col("leader") == F.col("l_short"))
     pairs = pairs.join(_named(slim, "m_"), F.col("member") == F.col("m_short")).where(_close("l_", "m_", percent))
     pairs = stage(pairs.select("leader", "member"), "jaccard-pairs")
@@ -363,6 +391,10 @@ def jaccard_links(
     first = stage(placed.groupBy("leader", "block").applyInPandas(product, "a binary, b binary"), "jaccard-links")
 
     labels = components(first)
+    columns = signed.select(F.explode("signs").alias("sign"), F.col("short").alias("member"))
+    spread = columns.groupBy("sign").agg(F.min("member").alias("low"), F.max("member").alias("high"))
+    spread = spread.where("low <> high").select(F.col("sign").alias("at"))
+    lists = stage(columns.join(spread, F.col("sign") == F.col("at")).drop("at").distinct(), "jaccard-lists")
     members = lists.select("member").distinct()
     known = some.select("digest", "short").distinct().join(members, F.col("short") == F.col("member"), "left_semi")
     known = known.join(labels, F.col("digest") == F.col("node"), "left").select(
@@ -376,9 +408,9 @@ def jaccard_links(
     mixed = named.groupBy("sign").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     named = named.join(mixed.where("low <> high").select("sign"), "sign")
     named = stage(named.join(_named(slim, "m_"), F.col("member") == F.col("m_short")).drop("m_short"), "jaccard-mixed")
-    other = named.select(F.col("sign").alias("at"), F.col("label").alias("other_label"), *[
-        F.col(f"m_{name}").alias(f"o_{name}") for name in ("n", *_PARITIES)
-    ])
+    other = named.select(
+        F.col("sign").alias("at"), F.col("label").alias("other_label"), F.col("m_n").alias("o_n"), F.col("m_bits").alias("o_bits")
+    )
     meets = (F.col("sign") == F.col("at")) & (F.col("label") != F.col("other_label")) & _close("m_", "o_", percent)
     near = stage(named.join(other, meets, "left_semi").select("sign", "digest"), "jaccard-close")
     hubs = near.groupBy("sign").agg(F.min("digest").alias("a"))
