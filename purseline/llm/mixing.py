@@ -5,7 +5,8 @@ times are taken outright; the fraction is the inclusion probability of one more
 flight phase moves these probabilities along vectors that change neither the expected number
 of documents nor the expected words, until each is 0 or 1. It runs in blocks of bounded size;
 what stays fractional in a block, two documents at most, goes on to blocks of the next round.
-When a source is one block, the last two land by dropping one constraint after the other.
+When a source is one block, the last two, which are among its smallest, land by dropping one
+constraint after the other, the number of documents before their words.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ BLOCK = 8_192
 CROWD = 64
 SEED = 20_240_229
 TINY = 1e-9
+#: Documents so many times the mean of their block are settled before the others.
+LARGE = 2
 
 
 def text_size(text: Column) -> Column:
@@ -74,43 +77,70 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most: flo
     return ranked.select("source", "source_size", F.least(F.col("weight") * level, limit).alias("target"))
 
 
+def _direction(sizes: np.ndarray, at: int) -> np.ndarray:
+    """The step nearest to moving only document ``at`` that changes neither the number nor the words."""
+    n, words, squares = float(len(sizes)), float(sizes.sum()), float((sizes * sizes).sum())
+    own = float(sizes[at])
+    even = n * squares - words * words
+    if even > TINY * n * squares:
+        u = -((squares - words * own) + (n * own - words) * sizes) / even
+    else:  # all of one size, so one constraint
+        u = np.full(len(sizes), -1.0 / n)
+    u[at] += 1.0
+    return u
+
+
 def flight(chances: np.ndarray, sizes: np.ndarray, draw: np.random.Generator, land: bool) -> np.ndarray:
     """Cube method with two constraints, the number of documents and their words.
 
-    Three fractional documents span one direction that keeps both sums; a step along it, up or
-    down with chances that keep every expectation, settles at least one of them. At the end two
-    may be left, which ``land`` settles along the direction that keeps only their number, and
-    the last by its own chance.
+    Every step goes up or down with chances that keep all expectations, and settles at least
+    one document. Documents far over the mean come first, the largest ahead: the step that is
+    nearest to moving such a document alone is shared by all the others, each of which hardly
+    moves. The rest are settled three at a time, as three span one direction that keeps both
+    sums. When it is to ``land``, all are settled in the first way, so that the two at most that
+    are left are among the smallest; then the number is given up, and last the words.
     """
     out = chances.astype(np.float64).copy()
-    open_: list[int] = []
-
-    def step(u: Sequence[float]) -> None:
-        up = down = np.inf
-        for i, v in zip(open_, u, strict=True):
-            if v > 0:
-                up, down = min(up, (1 - out[i]) / v), min(down, out[i] / v)
-            elif v < 0:
-                up, down = min(up, out[i] / -v), min(down, (1 - out[i]) / -v)
-        move = up if draw.random() * (up + down) < down else -down
-        for i, v in zip(open_, u, strict=True):
-            out[i] += move * v
-            if out[i] < TINY:
-                out[i] = 0.0
-            elif out[i] > 1 - TINY:
-                out[i] = 1.0
-        open_[:] = [i for i in open_ if 0.0 < out[i] < 1.0]
-
-    for k in np.flatnonzero((out > TINY) & (out < 1 - TINY)).tolist():
-        open_.append(k)
+    sizes = sizes.astype(np.float64)
+
+    def step(held: np.ndarray, u: np.ndarray) -> None:
+        now = out[held]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            rise, fall = (1 - now) / np.abs(u), now / np.abs(u)
+        some = u != 0
+        up = np.where(u > 0, rise, fall)[some].min()
+        down = np.where(u > 0, fall, rise)[some].min()
+        now = now + (up if draw.random() * (up + down) < down else -down) * u
+        out[held] = np.where(now < TINY, 0.0, np.where(now > 1 - TINY, 1.0, now))
+
+    def fractional(of: np.ndarray) -> np.ndarray:
+        return of[(out[of] > TINY) & (out[of] < 1 - TINY)]
+
+    held = fractional(np.arange(len(out)))
+    first = held if land else held[sizes[held] > LARGE * sizes[held].mean()] if len(held) else held
+    for i in first[np.argsort(-sizes[first], kind="stable")].tolist():
+        while len(held) > 2 and 0.0 < out[i] < 1.0:
+            at = int(np.searchsorted(held, i))
+            u = _direction(sizes[held], at)
+            if abs(u[at]) < TINY:
+                break
+            u[np.abs(u) < TINY * abs(u[at])] = 0.0
+            step(held, u)
+            held = fractional(held)
+    open_ = np.empty(0, np.int64)
+    for k in held.tolist():
+        open_ = np.append(open_, k)
         if len(open_) == 3:
-            a, b, c = (float(sizes[i]) for i in open_)
+            a, b, c = sizes[open_].tolist()
             scale = max(abs(b - c), abs(c - a), abs(a - b))
-            step([(b - c) / scale, (c - a) / scale, (a - b) / scale] if scale else [1.0, -1.0, 0.0])
+            step(open_, np.array([(b - c) / scale, (c - a) / scale, (a - b) / scale] if scale else [1.0, -1.0, 0.0]))
+            open_ = fractional(open_)
     if land:
-        while len(open_) > 1:
-            step([1.0, -1.0, *[0.0] * (len(open_) - 2)])
-        for i in open_:
+        if len(open_) == 2:
+            a, b = sizes[open_].tolist()
+            most = max(a, b)
+            step(open_, np.array([b / most, -a / most] if min(a, b) > 0 else [1.0, -1.0]))
+        for i in fractional(open_).tolist():
             out[i] = 1.0 if draw.random() < out[i] else 0.0
     out[out <= TINY] = 0.0
     out[out >= 1 - TINY] = 1.0
