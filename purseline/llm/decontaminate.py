@@ -32,7 +32,8 @@ FOUND = "n_words long, n_hit long, items array<string>, hits array<struct<first:
 def windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", size: int = WINDOW) -> DataFrame:
     """Distinct ``(pattern, item)``: ``size`` consecutive words, or all words of a shorter text.
 
-    Texts without words have no window; rows without an id are not part of the benchmark.
+    Texts without words have no window. Windows of rows without an id have a NULL item: they
+    are found like others, but no item is named.
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -46,7 +47,7 @@ def windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", siz
                 yield pd.DataFrame(rows, columns=["pattern", "item"])
 
     rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("body"))
-    return rows.where("item is not null").mapInPandas(cut, "pattern string, item string").distinct()
+    return rows.mapInPandas(cut, "pattern string, item string").distinct()
 
 
 def _automaton(patterns: dict[str, list[str]]) -> ahocorasick.Automaton:
@@ -125,14 +126,16 @@ def find_contamination(
     """
     spark = docs.sparkSession
     patterns = stage(windows(benchmark, item, item_text, size), "benchmark-windows")
-    total = patterns.agg(F.sum(F.octet_length("pattern") + F.octet_length("item"))).first()[0] or 0
+    total = patterns.agg(F.sum(F.octet_length("pattern") + F.coalesce(F.octet_length("item"), F.lit(0)))).first()[0] or 0
     blocks = max(1, -(-total // automaton_bytes))
     place = F.pmod(F.xxhash64("pattern", "item"), F.lit(blocks))
     out = docs
     for block in range(blocks):
         held: dict[str, list[str]] = {}
         for row in patterns.where(place == block).collect():  # bounded by automaton_bytes
-            held.setdefault(row["pattern"], []).append(row["item"])
+            items = held.setdefault(row["pattern"], [])
+            if row["item"] is not None:
+                items.append(row["item"])
         scan = _scanner(held, spark.sparkContext.broadcast)
         before = (
             (F.col(into)["items"], F.col(into)["hits"])
