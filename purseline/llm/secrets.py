@@ -1,8 +1,9 @@
 """Secret scan with corpus-wide ownership: who else holds the same candidate?
 
 Built-in functions only. Candidates are found in whole texts; the hash of each is counted by
-the distinct owners and repositories that hold it. A value copied to several owners is an
-example; a value of one owner that looks random is taken for a live credential.
+the distinct owners and repositories that hold it. A value copied to several owners, or to many
+repositories whosever they are, is an example; a value that one owner has in few repositories
+and that looks random is taken for a live credential.
 """
 
 from __future__ import annotations
@@ -23,8 +24,11 @@ KINDS = {
 BASE = ("assign", "access", "hex")
 LEAST_VALUE = 6
 
-#: Owners from which on a value counts as a widely copied example.
+#: Owners, or repositories of all owners, from which on a value counts as a widely copied example.
 SHARED_OWNERS = 3
+SHARED_REPOSITORIES = 5
+#: Repositories in which one owner may use a live credential.
+LIVE_REPOSITORIES = 2
 #: Different characters that a live-looking value has at least.
 LEAST_VARIETY = 8
 
@@ -84,9 +88,11 @@ def candidates(docs: DataFrame, text: str, id: str, owner: Column, repository: C
 def ownership(found: DataFrame) -> DataFrame:
     """Per ``value_sha256``: ``n_owners``, ``n_repositories``, ``n_places`` and a ``verdict``.
 
-    ``shared``: held by at least ``SHARED_OWNERS`` owners. ``live``: one owner's, and varied
-    enough to be random. ``unclear``: the rest. A NULL owner is an owner of its own. Every
-    sum is combined map side first, so a value on a third of all rows is a few rows per task.
+    ``shared``: held by at least ``SHARED_OWNERS`` owners or ``SHARED_REPOSITORIES``
+    repositories. ``live``: one owner's, in at most ``LIVE_REPOSITORIES``, and varied enough to
+    be random. ``unclear``: the rest. A repository belongs to an owner, so one of the same name
+    of another owner is another. NULL is an owner, and a repository, of its own. Every sum is
+    combined map side first, so a value on a third of all rows is a few rows per task.
     """
     named = found.withColumn("value_sha256", F.sha2("value", 256))
     variety = F.size(F.array_distinct(F.split("value", "")))
@@ -103,8 +109,13 @@ def ownership(found: DataFrame) -> DataFrame:
         F.max("variety").alias("variety"),
     )
     verdict = (
-        F.when(F.col("n_owners") >= SHARED_OWNERS, "shared")
-        .when((F.col("n_owners") == 1) & (F.col("variety") >= LEAST_VARIETY), "live")
+        F.when((F.col("n_owners") >= SHARED_OWNERS) | (F.col("n_repositories") >= SHARED_REPOSITORIES), "shared")
+        .when(
+            (F.col("n_owners") == 1)
+            & (F.col("n_repositories") <= LIVE_REPOSITORIES)
+            & (F.col("variety") >= LEAST_VARIETY),
+            "live",
+        )
         .otherwise("unclear")
     )
     return values.withColumn("verdict", verdict).drop("variety")
