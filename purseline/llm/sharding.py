@@ -1,10 +1,13 @@
 """Sharding by balanced label propagation, with built-in functions only.
 
-Documents start on shards by hash. In each round a group of linked documents looks for the
-shard that holds most of it and has room; its other members ask to move there. The asked bytes
-between each two shards are a small matrix, from which the shares that capacity admits are
-worked out; who moves is decided by hash, so no task ever needs all askers. At the end
-documents with no links even out what the moves and chance left uneven.
+Documents start on shards by a hash of what they are. In each round a group of linked documents
+looks for the shard that holds most of it and has room; its other members ask to move there.
+Room is what other linked documents leave of a shard, as those without links can go anywhere.
+Parts of groups that are large against a shard, of which there cannot be many, are admitted
+one by one, the largest first. The bytes that smaller ones ask to move between each two shards
+are a small matrix, from which the shares that capacity admits are worked out; who moves is
+decided by hash, so no task ever needs all askers. Rounds end when no group comes together any
+more. Then documents with no links even out what the moves and chance left uneven.
 """
 
 from __future__ import annotations
@@ -12,17 +15,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from purseline.llm.common import column_of
 from purseline.staging import stage
 
 SHARDS = 16
-#: Rounds of propagation, and of evening out at most.
-ROUNDS = 6
+#: Rounds of propagation at most, and those without a gain that end it; rounds of evening out at most.
+ROUNDS = 24
+PATIENCE = 2
 EVENINGS = 6
-#: Bytes that a shard may hold over the mean while documents move, and in the end.
-SLACK = 0.02
+#: Bytes that a shard may hold over the mean in the end.
 EVEN = 0.001
-#: A part of a group that is smaller than this share of a shard moves as one.
-WHOLE = 1 / 64
+#: A part of a group of more than this share of a shard is large: there are fewer than shards / LARGE.
+LARGE = 1 / 64
 #: Rows of one numbering window over all shards together.
 BUCKET_ROWS = 100_000
 
@@ -63,30 +67,53 @@ def admitted(asked: list[list[float]], loads: list[float], cap: float) -> list[f
     return share
 
 
-def _propagate(linked: DataFrame, loads: list[int], shards: int, number: int) -> DataFrame:
-    """Linked documents after one round."""
-    mean = sum(loads) / shards
-    cap = mean * (1 + SLACK)
+def admit_large(asks: list[tuple], loads: list[float], cap: float) -> list[bool]:
+    """Which ``(weight, shard, goal)`` move whole, the largest first, so that no goal ends over ``cap``.
+
+    ``loads`` is brought up to date.
+    """
+    out = [False] * len(asks)
+    for i in sorted(range(len(asks)), key=lambda i: (-asks[i][0], asks[i][1:], i)):
+        weight, shard, goal = asks[i]
+        if loads[goal] + weight <= cap:
+            loads[goal] += weight
+            loads[shard] -= weight
+            out[i] = True
+    return out
+
+
+def _propagate(linked: DataFrame, mean: float, shards: int, number: int) -> DataFrame | None:
+    """Linked documents after one round; None if no part of a group has anywhere to go."""
+    loads = [float(x) for x in _loads(linked, shards)]
     parts = linked.groupBy("key", "shard").agg(F.sum("size").alias("weight"))
-    room = _by_shard([float(cap - x > 0) for x in loads], F.col("shard"))
+    room = _by_shard([float(mean - x > 0) for x in loads], F.col("shard"))
     # Most bytes of the group first; equal ones by a hash, so that ties do not favour a shard.
     rank = F.struct(room.alias("room"), "weight", F.xxhash64("key", "shard").alias("tie"), F.col("shard").alias("goal"))
-    goals = parts.groupBy("key").agg(F.max(rank).alias("best"))
+    goals = parts.groupBy("key").agg(F.max(rank).alias("best"), F.sum("weight").alias("group"))
     asks = parts.join(goals, "key").where(
         (F.col("best.room") > 0) & (F.col("best.goal") != F.col("shard")) & (F.col("best.weight") >= F.col("weight"))
     )
-    asks = stage(asks.select("key", "shard", "weight", F.col("best.goal").alias("goal")), "shard-asks")
+    # A group that no shard can hold goes row by row, all others in whole parts.
+    fits, large = F.col("group") <= mean, F.col("weight") > mean * LARGE
+    asks = asks.select("key", "shard", "weight", F.col("best.goal").alias("goal"), fits.alias("whole"), (fits & large).alias("large"))
+    asks = stage(asks, "shard-asks")
+    if asks.isEmpty():
+        return None
+    few = asks.where("large").orderBy("key", "shard").collect()  # fewer than shards / LARGE
+    chosen = admit_large([(x["weight"], x["shard"], x["goal"]) for x in few], loads, mean)
     asked = [[0.0] * shards for _ in range(shards)]
-    for row in asks.groupBy("shard", "goal").agg(F.sum("weight").alias("w")).collect():  # shards x shards at most
+    small = asks.where("not large").groupBy("shard", "goal").agg(F.sum("weight").alias("w"))
+    for row in small.collect():  # shards x shards at most
         asked[row["shard"]][row["goal"]] = float(row["w"])
-    share = _by_shard(admitted(asked, [float(x) for x in loads], cap), F.col("goal"))
-    moves = asks.select(
-        F.col("key").alias("of"), F.col("shard").alias("start"), "goal", share.alias("share"), (F.col("weight") <= mean * WHOLE).alias("whole")
-    )
+    share = _by_shard(admitted(asked, loads, mean), F.col("goal"))
+    small = asks.where("not large").select("key", "shard", "goal", "whole", share.alias("share"))
+    moved = [(bytearray(x["key"]), x["shard"], x["goal"], True, 1.0) for x, goes in zip(few, chosen, strict=True) if goes]
+    moves = small.unionByName(linked.sparkSession.createDataFrame(moved, small.schema)) if moved else small
+    moves = moves.select(F.col("key").alias("of"), F.col("shard").alias("start"), "goal", "share", "whole")
     joined = linked.join(moves, (F.col("key") == F.col("of")) & (F.col("shard") == F.col("start")), "left")
-    chance = F.when(F.col("whole"), _chance("key", "shard", number)).otherwise(_chance("row", number))
+    chance = F.when(F.col("whole"), _chance("key", "shard", number)).otherwise(_chance("name", number))
     goes = F.coalesce(chance < F.col("share"), F.lit(False))
-    return joined.select("row", "key", "size", F.when(goes, F.col("goal")).otherwise(F.col("shard")).alias("shard"))
+    return joined.select("row", "name", "key", "size", F.when(goes, F.col("goal")).otherwise(F.col("shard")).alias("shard"))
 
 
 def _even_out(nodes: DataFrame, loads: list[int], shards: int, number: int) -> DataFrame:
@@ -114,8 +141,8 @@ def _even_out(nodes: DataFrame, loads: list[int], shards: int, number: int) -> D
         linked = row["all"] - row["free"]
         rest[i] = min(1.0, left / linked) if linked and left > 0 else 0.0
     share = F.when(F.col("key").isNull(), _by_shard(free, F.col("shard"))).otherwise(_by_shard(rest, F.col("shard")))
-    chance = _chance("row", 1_000 + number)
-    place = _chance("row", 2_000 + number) * total
+    chance = _chance("name", 1_000 + number)
+    place = _chance("name", 2_000 + number) * total
     goal = F.lit(shards - 1)
     for i in reversed(range(shards)):
         goal = F.when(place < bounds[i], i).otherwise(goal)
@@ -128,29 +155,45 @@ def assign_shards(
     """Per input row ``id``, ``size``, ``text_crc32``, ``shard`` and ``slot``.
 
     Equal texts are linked. ``size`` is the bytes of the text plus 1; a NULL text has no
-    bytes, crc 0 and no links. Shards get nearly equal bytes; a group that is larger than the
-    room of one shard is split over as few as quotas allow. Repeated rows are rows of their
-    own. ``slot`` counts from 0 without gaps in each shard.
+    bytes, crc 0 and no links. Shards get nearly equal bytes; a group that is larger than a
+    shard is split over as few as quotas allow. Repeated rows are rows of their own. ``slot``
+    counts from 0 without gaps in each shard. An empty table has no rows, and columns of any
+    other name are not read. Shards do not depend on how the rows are dealt over tasks, but
+    for rows equal in id and text, which they tell apart.
     """
-    body = F.coalesce(F.col(text), F.lit(""))
+    body = F.coalesce(column_of(text), F.lit(""))
     base = docs.select(
-        F.col(id).alias("id"),
+        column_of(id).alias("id"),
         (F.octet_length(body) + 1).cast("long").alias("size"),
         F.crc32(body).alias("crc"),
-        F.when(F.col(text).isNotNull(), F.unhex(F.md5(body))).alias("hash"),
+        F.when(column_of(text).isNotNull(), F.unhex(F.md5(body))).alias("hash"),
+        F.xxhash64(column_of(id), column_of(text)).alias("code"),
         F.monotonically_increasing_id().alias("row"),
     )
     base = stage(base, "shard-documents")
     groups = base.where("hash is not null").groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
     groups = groups.select(F.col("hash").alias("key"))
-    start = F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")
-    nodes = base.join(groups, F.col("hash") == F.col("key"), "left").select("row", "key", "size", start.alias("shard"))
-    nodes = stage(nodes, "shard-nodes")
+    again = base.groupBy(F.col("code").alias("again")).agg(F.count("*").alias("n")).where("n > 1").select("again")
+    # What a row is called in all draws: by id and text, repeated rows by their number as well.
+    name = F.when(F.col("again").isNull(), F.col("code")).otherwise(F.xxhash64("code", "row"))
+    called = base.join(again, F.col("code") == F.col("again"), "left").select("row", "hash", "size", name.alias("name"))
+    nodes = called.join(groups, F.col("hash") == F.col("key"), "left")
+    start = F.pmod(F.xxhash64("name", F.lit("start")), F.lit(shards)).cast("int")
+    nodes = stage(nodes.select("row", "name", "key", "size", start.alias("shard")), "shard-nodes")
     linked = nodes.where("key is not null")
     alone = nodes.where("key is null")
     if not linked.isEmpty():
+        mean, least, idle = sum(_loads(nodes, shards)) / shards, None, 0
         for number in range(rounds):
-            linked = stage(_propagate(linked, _loads(linked.unionByName(alone), shards), shards, number), "shard-linked")
+            moved = _propagate(linked, mean, shards, number)
+            if moved is None:
+                break
+            linked = stage(moved, "shard-linked")
+            parts = linked.select("key", "shard").distinct().count()
+            idle = 0 if least is None or parts < least else idle + 1
+            least = parts if least is None else min(least, parts)
+            if idle == PATIENCE:
+                break
     nodes = linked.unionByName(alone)
     for number in range(EVENINGS):
         loads = _loads(nodes, shards)
@@ -158,7 +201,7 @@ def assign_shards(
         if max(loads) <= mean * (1 + EVEN) and min(loads) >= mean * (1 - EVEN):
             break
         nodes = stage(_even_out(nodes, loads, shards, number), "shard-nodes")
-    placed = base.join(nodes.select(F.col("row").alias("at"), "shard"), F.col("row") == F.col("at")).drop("at")
+    placed = base.drop("hash", "code").join(nodes.select(F.col("row").alias("at"), "name", "shard"), F.col("row") == F.col("at")).drop("at")
     return _numbered(placed).select(F.col("id").alias(id), "size", F.col("crc").alias("text_crc32"), "shard", "slot")
 
 
@@ -167,13 +210,13 @@ def _numbered(placed: DataFrame) -> DataFrame:
     placed = stage(placed, "shard-placed")
     buckets = max(64, placed.count() // BUCKET_ROWS)
     # Another hash than the one that chose the first shard, or a shard has few buckets.
-    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("row", F.lit("slot")), F.lit(buckets)))
+    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("name", F.lit("slot")), F.lit(buckets)))
     counts = placed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select(
         F.col("shard").alias("in"), F.col("bucket").alias("of"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")
     )
-    within = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("row"))
+    within = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("name", "row"))
     rows = placed.withColumn("n", within).join(first, (F.col("shard") == F.col("in")) & (F.col("bucket") == F.col("of")))
     return rows.withColumn("slot", F.col("first") + F.col("n") - 1)
 

@@ -113,13 +113,13 @@ def brute_hits(text, items):
             for j in range(len(words) - len(pattern) + 1):
                 if words[j : j + len(pattern)] == pattern:
                     hit |= set(range(j, j + len(pattern)))
-                    found.add(str(item))
+                    found |= {str(item)} - {"None"}
     return len(words), len(hit), sorted(found)
 
 
 @pytest.mark.parametrize("most", [decontaminate.AUTOMATON_BYTES, 700])
 def test_contamination_matches_brute_force_in_one_pass_and_in_blocks(docs, benchmark, most):
-    items = [(r["item_id"], r["text"]) for r in rows(benchmark) if r["item_id"] is not None]
+    items = [(r["item_id"], r["text"]) for r in rows(benchmark)]
     found = rows(decontaminate.find_contamination(docs, benchmark, automaton_bytes=most))
     assert len(found) == docs.count()
     for row in found:
@@ -130,6 +130,15 @@ def test_contamination_matches_brute_force_in_one_pass_and_in_blocks(docs, bench
         assert sum(map(len, covered)) == c["n_hit"]
 
 
+def test_items_without_an_id_count_as_hits(spark):
+    text = prose(20, 77)
+    docs = spark.createDataFrame([(1, text), (2, prose(20, 78))], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(None, text), (None, text), (None, None)], "item_id long, text string")
+    found = {r["doc_id"]: r for r in rows(decontaminate.contamination_report(docs, benchmark))}
+    assert (found[1]["n_hit"], found[1]["n_items"], found[1]["contaminated"]) == (20, 0, True)
+    assert (found[2]["n_hit"], found[2]["contaminated"]) == (0, False)
+
+
 def test_contamination_of_empty_tables(docs, empty, benchmark):
     none = benchmark.limit(0)
     assert all(r["contamination"]["items"] == [] for r in rows(decontaminate.find_contamination(docs, none)))
@@ -178,6 +187,19 @@ def test_base_spans_and_ownership(spark):
     assert (shared["verdict"], shared["n_owners"], shared["n_places"]) == ("shared", 4, 4)
 
 
+@pytest.mark.parametrize(
+    ("owners", "repositories", "verdict"),
+    [(1, 1, "live"), (1, 2, "live"), (1, 3, "unclear"), (1, 50, "shared"), (2, 1, "unclear"), (2, 3, "shared"), (3, 1, "shared")],
+)
+def test_owners_and_repositories_decide_together(spark, owners, repositories, verdict):
+    """A varied value in so many repositories of each of so many owners, twice in each."""
+    uses = [("aB3dE5gH7jK9mN1pQ", f"o{i}", f"r{j}") for i in range(owners) for j in range(repositories)] * 2
+    found = spark.createDataFrame(uses, "value string, owner string, repository string")
+    (row,) = rows(secrets.ownership(found))
+    assert (row["n_owners"], row["n_repositories"], row["n_places"]) == (owners, owners * repositories, len(uses))
+    assert row["verdict"] == verdict
+
+
 def test_secrets_of_an_empty_table(empty):
     assert secrets.secrets_report(empty).count() == 0
 
@@ -386,6 +408,22 @@ def test_flight_keeps_both_totals():
     assert taken == pytest.approx(np.full(5, 0.4), abs=0.05)
 
 
+@pytest.mark.parametrize("n, huge", [(500, 20_000), (60, 5_000), (3_000, 60_000)])
+def test_large_documents_are_not_left_to_chance(n, huge):
+    """One document far over the others; the words taken come near the target all the same."""
+    off = []
+    for seed in range(30):
+        draw = np.random.default_rng(seed)
+        sizes = np.append(draw.integers(5, 900, n), [huge, huge // 2, 4_000])
+        chances = np.full(len(sizes), 0.43)
+        out = mixing.flight(chances, sizes, draw, land=True)
+        assert set(out) <= {0.0, 1.0}
+        off.append(abs((out * sizes).sum() - (chances * sizes).sum()))
+    assert max(off) <= 200
+    ups = [mixing.flight(np.full(60, 0.3), np.append(np.arange(1, 60), 5_000), np.random.default_rng(i), True)[-1] for i in range(1_500)]
+    assert np.mean(ups) == pytest.approx(0.3, abs=0.05)
+
+
 def test_blocks_and_partitionings_agree(spark):
     rows_ = [(i, i // 900, ("a", "b")[i % 2], 1 + i % 97, i * 7_919) for i in range(1_800)]
     units = spark.createDataFrame(rows_, "row long, x long, source string, size long, code long").drop("x")
@@ -482,6 +520,14 @@ def brute_components(texts):
     return [(len(s), x) for s, x in zip(sets, label, strict=True)]
 
 
+def apart(a, b):
+    """Places that differ, by the fewer places of the two."""
+    a, b = sorted((a, b), key=len)
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return sum(int(x).bit_count() for x in (a ^ b).view(np.uint64))
+
+
 def test_linked_sets_share_a_prefix_and_are_close():
     draw = random.Random(6)
     counts = np.random.default_rng(6).integers(0, 4, 1 << 10).astype(np.uint32)
@@ -494,8 +540,7 @@ def test_linked_sets_share_a_prefix_and_are_close():
         assert len(jaccard.overlaps([base, other], 90)) == linked
         if linked and both < either:
             assert len(np.intersect1d(jaccard.prefix(base, counts, 90), jaccard.prefix(other, counts, 90)))
-            apart = sum(int(x).bit_count() for x in (jaccard.parities(base) ^ jaccard.parities(other)).view(np.uint64))
-            assert apart <= len(base) + len(other) - 2 * both
+            assert apart(jaccard.parities(base), jaccard.parities(other)) <= len(base) + len(other) - 2 * both
 
 
 @pytest.mark.parametrize("block", [jaccard.BLOCK, 4])
