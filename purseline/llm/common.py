@@ -56,6 +56,36 @@ def column_of(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+#: Bits per member, and at most, of a filter that rows pass before they are shuffled.
+FILTER_LOAD = 16
+FILTER_BITS = 1 << 26
+
+
+class MemberFilter:
+    """A set of bits by 64-bit hash that knows all members, and lets some others through.
+
+    It is bounded, so it is broadcast; if members outgrow it, it lets more through. What decides
+    in the end is the join that follows, over the rows that passed.
+    """
+
+    def __init__(self, members: DataFrame, hash: str):
+        """``members`` is a written table."""
+        self.bits = min(FILTER_BITS, 1 << max(16, (FILTER_LOAD * members.count()).bit_length()))
+        self.words = members.groupBy(self._word(hash).alias("_word")).agg(F.bit_or(self._bit(hash)).alias("_bits"))
+
+    def _word(self, of: str) -> Column:
+        return F.floor(F.pmod(F.col(of), F.lit(self.bits)) / 64)
+
+    def _bit(self, of: str) -> Column:
+        return F.expr(f"shiftleft(cast(1 as bigint), cast(pmod({of}, 64) as int))")
+
+    def split(self, rows: DataFrame, hash: str, passing: bool = True) -> DataFrame:
+        """The rows that pass, or those that certainly are no members; none is shuffled."""
+        held = rows.withColumn("_of", self._word(hash)).join(F.broadcast(self.words), F.col("_of") == F.col("_word"), "left")
+        known = F.coalesce(F.col("_bits").bitwiseAND(self._bit(hash)) != 0, F.lit(False))
+        return held.where(known if passing else ~known).drop("_of", "_word", "_bits")
+
+
 def most_frequent(counts: DataFrame, most: int, n: str = "n") -> DataFrame:
     """The rows with the largest counts, in whole levels of counts, at most ``most`` rows.
 

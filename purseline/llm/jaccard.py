@@ -19,7 +19,7 @@ Equal sets are one row from the start.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from purseline.llm.common import Words, by_size, column_of, fresh, mix, raw, run_hashes
+from purseline.llm.common import MemberFilter, Words, by_size, column_of, fresh, mix, raw, run_hashes
 from purseline.staging import stage
 
 # Fixed values of the contract: words in a shingle, similarity in percent.
@@ -39,16 +39,16 @@ PERCENT = 90
 #: Documents in a block of the product, and n-grams in a column slice of it.
 BLOCK = 256
 SLICE = 4_096
-#: Counters of the sketch that orders n-grams, and those that travel as one row.
+#: Counters of the sketch that orders n-grams: one for so many of them, and at most; and those that travel as one row.
+COUNTER_LOAD = 64
 COUNTERS = 1 << 20
 COUNTER_PART = 1 << 15
+#: Words of the parities that entries of lists carry; the whole ones are looked at where these cannot tell.
+CARRIED = 4
 #: Sketches of so many tasks are added up by one.
 FANOUT = 64
 #: Orders in which the least n-gram of a document is taken, for its leaders.
 LEASTS = 4
-#: Bits per listed document, and at most, of the filter that texts pass before they are shuffled.
-FILTER_LOAD = 16
-FILTER_BITS = 1 << 26
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> list[np.ndarray]:
@@ -91,6 +91,13 @@ def parities(grams: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.int64)
 
 
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """The parities by the places of so many words at most, filled up with zeros."""
+    while len(bits) > words:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return np.concatenate([bits, np.zeros(words - len(bits), np.int64)])
+
+
 def leasts(grams: np.ndarray) -> np.ndarray:
     """The least hash of the set in each of several orders; near copies share most of them."""
     return np.array([mix(grams ^ mix(np.array([i + 1], np.uint64))).min() for i in range(LEASTS)], np.uint64)
@@ -260,7 +267,12 @@ def _added(parts: list[bytes]) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(total.tobytes())
 
 
-def count_grams(sets: DataFrame, size: int, counters: int = COUNTERS) -> np.ndarray:
+def counters_for(grams: int) -> int:
+    """A power of two, so that the sketch is as busy for a small corpus as for one that fills it."""
+    return min(COUNTERS, 1 << max(10, (grams // COUNTER_LOAD).bit_length()))
+
+
+def count_grams(sets: DataFrame, size: int, counters: int) -> np.ndarray:
     """How many documents have n-grams of each counter, over all documents.
 
     A task counts what it reads; sketches are added up ``FANOUT`` at a time, so no task gets
@@ -295,7 +307,7 @@ def count_grams(sets: DataFrame, size: int, counters: int = COUNTERS) -> np.ndar
 
 
 def _signed(sets: DataFrame, size: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """``(short, n, signs, bits, leasts)`` of each set: its size, prefix, parities and least hashes."""
+    """``(short, n, signs, bits, few, leasts)`` of each set: its size, prefix, parities and least hashes."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch, found in _grams(batches, size):
@@ -306,11 +318,12 @@ def _signed(sets: DataFrame, size: int, percent: int, counts: np.ndarray) -> Dat
                     "n": [len(grams) for grams in found],
                     "signs": signs,
                     "bits": [parities(grams) for grams in found],
+                    "few": [folded(parities(grams), CARRIED) for grams in found],
                     "leasts": [leasts(grams).view(np.int64) for grams in found],
                 }
             )
 
-    schema = "short long, n long, signs array<long>, bits array<long>, leasts array<long>"
+    schema = "short long, n long, signs array<long>, bits array<long>, few array<long>, leasts array<long>"
     return stage(sets.select("short", "packed").mapInPandas(read, schema), "jaccard-signed")
 
 
@@ -320,40 +333,41 @@ def _folded(bits: Column) -> Column:
     return F.zip_with(F.slice(bits, 1, half), F.slice(bits, half + 1, half), lambda x, y: x.bitwiseXOR(y))
 
 
-def _close(one: str, other: str, percent: int) -> Column:
-    """Whether sizes and parities allow that two sets are linked; columns begin with these."""
-    a, b, x, y = F.col(f"{one}n"), F.col(f"{other}n"), F.col(f"{one}bits"), F.col(f"{other}bits")
+def _fits(one: str, other: str, percent: int, apart: Column) -> Column:
+    """Whether sets of such sizes that differ in ``apart`` places can be linked; columns begin with these."""
+    a, b = F.col(f"{one}n"), F.col(f"{other}n")
     need = F.expr(f"({percent} * ({one}n + {other}n) + {99 + percent}) div {100 + percent}")
-    # Linked sets are of like size, so one has twice the places of the other at most.
-    less = F.when(F.size(x) > F.size(y), _folded(x)).otherwise(x), F.when(F.size(y) > F.size(x), _folded(y)).otherwise(y)
-    each = F.zip_with(*less, lambda p, q: F.bit_count(p.bitwiseXOR(q)))
-    apart = F.aggregate(each, F.lit(0), lambda total, bits: total + bits)
     like = F.least(a, b) * 100 >= F.greatest(a, b) * percent
     return F.when(like, apart <= a + b - 2 * need).otherwise(F.lit(False))
 
 
-def _named(slim: DataFrame, start: str) -> DataFrame:
-    return slim.select(*[F.col(name).alias(f"{start}{name}") for name in slim.columns])
+def _maybe(one: str, other: str, percent: int) -> Column:
+    """By the parities that entries carry. Short sets have fewer places than these; if the two differ
+    in that, the places do not compare, and the pair passes."""
+    apart = sum((F.bit_count(F.col(f"{one}{p}").bitwiseXOR(F.col(f"{other}{p}"))) for p in _FEW), F.lit(0))
+    compare = F.least(F.col(f"{one}words"), F.lit(CARRIED)) == F.least(F.col(f"{other}words"), F.lit(CARRIED))
+    return _fits(one, other, percent, F.when(compare, apart).otherwise(F.lit(0)))
 
 
-def _prune(texts: DataFrame, members: DataFrame, member: str) -> DataFrame:
-    """The rows of ``texts`` whose ``short`` is a member, but for what a filter lets through, unshuffled.
+def _close(one: str, other: str, percent: int) -> Column:
+    """By all parities."""
+    x, y = F.col(f"{one}bits"), F.col(f"{other}bits")
+    # Linked sets are of like size, so one has twice the places of the other at most.
+    less = F.when(F.size(x) > F.size(y), _folded(x)).otherwise(x), F.when(F.size(y) > F.size(x), _folded(y)).otherwise(y)
+    each = F.zip_with(*less, lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return _fits(one, other, percent, F.aggregate(each, F.lit(0), lambda total, bits: total + bits))
 
-    The filter is a set of bits of bounded size and is broadcast; if members outgrow it, it lets
-    more through, and the join that follows still decides.
-    """
-    n = members.count()
-    bits = min(FILTER_BITS, 1 << max(16, (FILTER_LOAD * n).bit_length()))
 
-    def word(of: str) -> Column:
-        return F.floor(F.pmod(F.col(of), F.lit(bits)) / 64)
+_FEW = [f"f{i}" for i in range(CARRIED)]
 
-    def bit(of: str) -> Column:
-        return F.expr(f"shiftleft(cast(1 as bigint), cast(pmod({of}, 64) as int))")
 
-    words = members.groupBy(word(member).alias("_word")).agg(F.bit_or(bit(member)).alias("_bits"))
-    kept = texts.withColumn("_of", word("short")).join(F.broadcast(words), F.col("_of") == F.col("_word"))
-    return kept.where(F.col("_bits").bitwiseAND(bit("short")) != 0).select(*texts.columns)
+def _named(slim: DataFrame, start: str) -> DataFrame:
+    return slim.select(*[F.col(name).alias(f"{start}{name}") for name in slim.columns])
+
+
+def _prune(rows: DataFrame, members: DataFrame, member: str) -> DataFrame:
+    """The rows whose ``short`` is a member, but for what a filter lets through, unshuffled."""
+    return MemberFilter(members, member).split(rows, "short")
 
 
 def jaccard_links(
@@ -364,8 +378,10 @@ def jaccard_links(
     ``sets`` is a written table as ``describe`` gives it.
     """
     some = sets.where("packed is not null").withColumn("short", _short("digest"))
-    signed = _signed(some, size, percent, count_grams(some, size))
-    slim = signed.select("short", "n", "bits").distinct()
+    grams = some.agg(F.sum("n_shingles")).first()[0] or 0
+    signed = _signed(some, size, percent, count_grams(some, size, counters_for(grams)))
+    few = [F.get("few", F.lit(i)).alias(name) for i, name in enumerate(_FEW)]
+    slim = signed.select("short", "n", F.size("bits").alias("words"), *few).distinct()
     product = _multiply(size, percent)
 
     # In each order, the documents of one least hash and the leader that a hash of it picks.
@@ -378,7 +394,7 @@ def jaccard_links(
     pairs = rows.join(crowds, (F.col("turn") == F.col("in_turn")) & (F.col("least") == F.col("of_least")))
     pairs = pairs.where("member <> leader").select("leader", "member").distinct()
     pairs = pairs.join(_named(slim, "l_"), F.col("leader") == F.col("l_short"))
-    pairs = pairs.join(_named(slim, "m_"), F.col("member") == F.col("m_short")).where(_close("l_", "m_", percent))
+    pairs = pairs.join(_named(slim, "m_"), F.col("member") == F.col("m_short")).where(_maybe("l_", "m_", percent))
     pairs = stage(pairs.select("leader", "member"), "jaccard-pairs")
     paired = stage(pairs.select(F.col("leader").alias("of")).union(pairs.select("member")).distinct(), "jaccard-paired")
     texts = _prune(some.select("digest", "short", "packed"), paired, "of")
@@ -408,11 +424,20 @@ def jaccard_links(
     mixed = named.groupBy("sign").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     named = named.join(mixed.where("low <> high").select("sign"), "sign")
     named = stage(named.join(_named(slim, "m_"), F.col("member") == F.col("m_short")).drop("m_short"), "jaccard-mixed")
-    other = named.select(
-        F.col("sign").alias("at"), F.col("label").alias("other_label"), F.col("m_n").alias("o_n"), F.col("m_bits").alias("o_bits")
-    )
-    meets = (F.col("sign") == F.col("at")) & (F.col("label") != F.col("other_label")) & _close("m_", "o_", percent)
-    near = stage(named.join(other, meets, "left_semi").select("sign", "digest"), "jaccard-close")
+
+    def meeting(rows: DataFrame, fits: Callable[[str, str, int], Column]) -> DataFrame:
+        """The rows that have one of another component in their list which fits them."""
+        carried = [name for name in rows.columns if name.startswith("m_")]
+        other = rows.select(
+            F.col("sign").alias("at"), F.col("label").alias("other_label"), *[F.col(x).alias(f"o{x[1:]}") for x in carried]
+        )
+        meets = (F.col("sign") == F.col("at")) & (F.col("label") != F.col("other_label")) & fits("m_", "o_", percent)
+        return rows.join(other, meets, "left_semi").select("sign", "member", "digest", "label")
+
+    near = stage(meeting(named, _maybe), "jaccard-near")
+    whole = _prune(signed.select("short", "n", "bits"), near.select(F.col("member").alias("of")).distinct(), "of").distinct()
+    near = near.join(_named(whole, "m_"), F.col("member") == F.col("m_short")).drop("m_short")
+    near = stage(meeting(stage(near, "jaccard-near"), _close).select("sign", "digest"), "jaccard-close")
     hubs = near.groupBy("sign").agg(F.min("digest").alias("a"))
     pairs = near.join(hubs, "sign").where("a <> digest").select("a", F.col("digest").alias("b")).distinct()
     clusters = stage(components(pairs).withColumnRenamed("label", "cluster"), "jaccard-clusters")

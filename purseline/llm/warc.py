@@ -20,6 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from purseline.llm.common import MemberFilter, column_of
 from purseline.staging import stage, staging_path
 
 # Fixed values of the formats: the skippable frame of a dictionary, the revisit profile.
@@ -44,13 +45,18 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(id: str | None, url: str | None, payload: bytes, digest: str, first: str | None, revisit: bool) -> bytes:
-    """One WARC record. Ids and addresses are escaped, so they cannot break the header."""
+def record(
+    id: str | None, url: str | None, payload: bytes, digest: str, first: str | None, revisit: bool, size: int | None = None
+) -> bytes:
+    """One WARC record. Ids and addresses are escaped, so they cannot break the header.
+
+    A revisit has no payload; its ``size`` is that of the payload it stands for.
+    """
 
     def urn(name: str | None) -> str:
         return f"<urn:x-page:{'' if name is None else '=' + quote(name, safe='')}>"
 
-    size = len(payload)
+    size = len(payload) if size is None else size
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     lines = [
         "WARC/1.1",
@@ -146,19 +152,45 @@ def write_archives(
 
     Of equal payloads of at least ``least`` bytes the row with the least id is the response
     and the others revisit it. Rows that share that id are all responses. A NULL id is larger
-    than any other, a NULL payload is empty, a NULL address is left out. Copies meet only as
-    digests, summed up map side; the join that brings the response's id back to the pages is
-    one that Spark splits where a payload is very frequent.
+    than any other, a NULL payload is empty, a NULL address is left out. Columns of any other
+    name are not read; without pages there are no archives.
+
+    Digests and ids are grouped, map side first. Pages whose digest certainly does not repeat
+    are written by the task that read them. Of the others a row without the body goes to the
+    copies of its digest; only those that turn out to be responses move with their bodies, one
+    per repeated payload and not one per copy.
     """
-    body = F.coalesce(F.col(html), F.lit(""))
+    body = F.coalesce(column_of(html), F.lit(""))
+    sha = F.sha1(body)
     rows = pages.select(
-        F.col(id).alias("id"), F.col(url).cast("string").alias("url"), body.alias("body"), F.sha1(body).alias("sha")
-    )
-    firsts = rows.groupBy(F.col("sha").alias("of")).agg(F.min("id").alias("first"))
-    response = F.col("id").eqNullSafe(F.col("first")) | (F.octet_length("body") < least)
-    typed = rows.join(firsts, F.col("sha") == F.col("of")).select(
-        F.col("id").cast("string").alias("id"), "url", "body", F.col("first").cast("string").alias("first"), (~response).alias("revisit")
+        column_of(id).alias("id"),
+        column_of(url).cast("string").alias("url"),
+        body.alias("body"),
+        sha.alias("sha"),
+        F.octet_length(body).cast("long").alias("size"),
+        F.xxhash64(sha).alias("hash"),
+        F.xxhash64(sha, column_of(id)).alias("row_hash"),
     )
+    digests = rows.select("id", "sha", "hash").groupBy(F.col("sha").alias("of"), F.col("hash").alias("of_hash"))
+    repeated = digests.agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    repeated = stage(repeated, "warc-repeated")
+    seen = MemberFilter(repeated, "of_hash")
+    alone = seen.split(rows, "hash", passing=False)
+    copies = seen.split(rows.drop("body"), "hash").join(repeated, F.col("sha") == F.col("of"), "left")
+    response = F.col("of").isNull() | F.col("id").eqNullSafe(F.col("first")) | (F.col("size") < least)
+    copies = stage(copies.withColumn("response", response), "warc-copies")
+    firsts = copies.where("response").select(F.col("sha").alias("first_sha"), F.col("id").alias("first_id"), F.col("row_hash").alias("of_row"))
+    firsts = stage(firsts.distinct(), "warc-responses")
+    held = MemberFilter(firsts, "of_row").split(seen.split(rows, "hash"), "row_hash")
+    same = (F.col("sha") == F.col("first_sha")) & F.col("id").eqNullSafe(F.col("first_id"))
+    held = held.join(firsts, same, "left_semi")
+
+    def typed(some: DataFrame, body: Column, first: Column, revisit: bool) -> DataFrame:
+        text = F.col("id").cast("string").alias("id")
+        return some.select(text, "url", body.alias("body"), "size", first.cast("string").alias("first"), F.lit(revisit).alias("revisit"), "sha")
+
+    revisits = typed(copies.where("not response"), F.lit(None).cast("string"), F.col("first"), True)
+    responses = typed(alone.unionByName(held), F.col("body"), F.col("id"), False)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
@@ -168,8 +200,9 @@ def write_archives(
 
         for batch in batches:
             for x in batch.itertuples(index=False):
-                payload = x.body.encode("utf-8", "surrogatepass")
-                one = record(x.id, x.url, payload, payload_digest(payload), x.first, bool(x.revisit))
+                payload = (x.body or "").encode("utf-8", "surrogatepass")
+                digest = base64.b32encode(bytes.fromhex(x.sha)).decode()
+                one = record(x.id, x.url, payload, digest, x.first, bool(x.revisit), int(x.size))
                 held.append(one)
                 size += len(one)
                 if size >= archive_bytes:
@@ -178,7 +211,8 @@ def write_archives(
         if held:
             yield flush()
 
-    return stage(typed.mapInPandas(write, "archive string, records long, bytes long"), "warc-archives")
+    written = responses.unionByName(revisits).mapInPandas(write, "archive string, records long, bytes long")
+    return stage(written, "warc-archives")
 
 
 def read_archives(spark: SparkSession, archives: DataFrame, folder: str) -> DataFrame:
