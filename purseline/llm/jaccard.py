@@ -40,8 +40,8 @@ PERCENT = 90
 BLOCK = 256
 SLICE = 4_096
 #: Counters of the sketch that orders n-grams: one for so many of them, and at most; and those that travel as one row.
-COUNTER_LOAD = 64
-COUNTERS = 1 << 20
+COUNTER_LOAD = 32
+COUNTERS = 1 << 22
 COUNTER_PART = 1 << 15
 #: Words of the parities that entries of lists carry; the whole ones are looked at where these cannot tell.
 CARRIED = 4
@@ -275,8 +275,8 @@ def counters_for(grams: int) -> int:
 def count_grams(sets: DataFrame, size: int, counters: int) -> np.ndarray:
     """How many documents have n-grams of each counter, over all documents.
 
-    A task counts what it reads; sketches are added up ``FANOUT`` at a time, so no task gets
-    more of them at any number of tasks.
+    A task counts what it reads; sketches are added up ``FANOUT`` at a time, so neither a task
+    nor the driver gets more of them at any number of tasks.
     """
     part = min(COUNTER_PART, counters)
 
@@ -296,12 +296,12 @@ def count_grams(sets: DataFrame, size: int, counters: int) -> np.ndarray:
 
     schema = "part int, task int, counts binary"
     rows = stage(sets.select("packed").mapInPandas(count, schema), "jaccard-counts")
-    while (rows.agg(F.max("task")).first()[0] or 0) > 0:
+    while (rows.agg(F.max("task")).first()[0] or 0) >= FANOUT:
         rows = rows.withColumn("task", F.floor(F.col("task") / FANOUT).cast("int"))
         rows = stage(rows.groupBy("part", "task").applyInPandas(add, schema), "jaccard-counts")
     expand, out = zstandard.ZstdDecompressor(), np.zeros(counters, np.uint64)
-    for row in rows.select("part", "counts").collect():  # 8 MB
-        out[row["part"] * part : (row["part"] + 1) * part] = np.frombuffer(expand.decompress(row["counts"]), "<u8")
+    for row in rows.select("part", "counts").toLocalIterator():  # FANOUT sketches at most, one after another
+        out[row["part"] * part : (row["part"] + 1) * part] += np.frombuffer(expand.decompress(row["counts"]), "<u8")
     # Only the order counts, so 32 bits are enough.
     return (out >> np.uint64(max(0, int(out.max(initial=0)).bit_length() - 32))).astype(np.uint32)
 
@@ -365,6 +365,13 @@ def _named(slim: DataFrame, start: str) -> DataFrame:
     return slim.select(*[F.col(name).alias(f"{start}{name}") for name in slim.columns])
 
 
+def _unlike(lists: DataFrame) -> DataFrame:
+    """Of lists with the same members only one; documents that share a passage share all its n-grams."""
+    alike = [F.bit_xor(F.xxhash64("member", F.lit(i))).alias(f"x{i}") for i in range(2)]
+    alike = lists.groupBy("sign").agg(*alike, F.count("*").alias("x2")).groupBy("x0", "x1", "x2")
+    return lists.join(alike.agg(F.min("sign").alias("at")), F.col("sign") == F.col("at"), "left_semi")
+
+
 def _prune(rows: DataFrame, members: DataFrame, member: str) -> DataFrame:
     """The rows whose ``short`` is a member, but for what a filter lets through, unshuffled."""
     return MemberFilter(members, member).split(rows, "short")
@@ -411,6 +418,7 @@ def jaccard_links(
     spread = columns.groupBy("sign").agg(F.min("member").alias("low"), F.max("member").alias("high"))
     spread = spread.where("low <> high").select(F.col("sign").alias("at"))
     lists = stage(columns.join(spread, F.col("sign") == F.col("at")).drop("at").distinct(), "jaccard-lists")
+    lists = stage(_unlike(lists), "jaccard-lists")
     members = lists.select("member").distinct()
     known = some.select("digest", "short").distinct().join(members, F.col("short") == F.col("member"), "left_semi")
     known = known.join(labels, F.col("digest") == F.col("node"), "left").select(
@@ -434,7 +442,7 @@ def jaccard_links(
         meets = (F.col("sign") == F.col("at")) & (F.col("label") != F.col("other_label")) & fits("m_", "o_", percent)
         return rows.join(other, meets, "left_semi").select("sign", "member", "digest", "label")
 
-    near = stage(meeting(named, _maybe), "jaccard-near")
+    near = stage(_unlike(stage(meeting(named, _maybe), "jaccard-near")), "jaccard-near")
     whole = _prune(signed.select("short", "n", "bits"), near.select(F.col("member").alias("of")).distinct(), "of").distinct()
     near = near.join(_named(whole, "m_"), F.col("member") == F.col("m_short")).drop("m_short")
     near = stage(meeting(stage(near, "jaccard-near"), _close).select("sign", "digest"), "jaccard-close")
