@@ -281,13 +281,14 @@ def count_grams(sets: DataFrame, size: int, counters: int) -> np.ndarray:
     part = min(COUNTER_PART, counters)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = np.zeros(counters, np.int64)
+        held = np.zeros(counters, np.uint32)
         for _, found in _grams(batches, size):
-            if found:
-                held += np.bincount(counter_of(np.concatenate(found), counters), minlength=counters)
+            for grams in found:
+                np.add.at(held, counter_of(grams, counters), np.uint32(1))
         squeeze = zstandard.ZstdCompressor(level=1)
         task = TaskContext.get().partitionId()
-        rows = [(i, task, squeeze.compress(held[i * part : (i + 1) * part].tobytes())) for i in range(counters // part)]
+        parts = (held[i * part : (i + 1) * part].astype("<u8") for i in range(counters // part))
+        rows = [(i, task, squeeze.compress(x.tobytes())) for i, x in enumerate(parts)]
         yield pd.DataFrame(rows, columns=["part", "task", "counts"])
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
@@ -302,8 +303,12 @@ def count_grams(sets: DataFrame, size: int, counters: int) -> np.ndarray:
     expand, out = zstandard.ZstdDecompressor(), np.zeros(counters, np.uint64)
     for row in rows.select("part", "counts").toLocalIterator():  # FANOUT sketches at most, one after another
         out[row["part"] * part : (row["part"] + 1) * part] += np.frombuffer(expand.decompress(row["counts"]), "<u8")
-    # Only the order counts, so 32 bits are enough.
-    return (out >> np.uint64(max(0, int(out.max(initial=0)).bit_length() - 32))).astype(np.uint32)
+    return out
+
+
+def ranks(counts: np.ndarray) -> np.ndarray:
+    """The counts by their logarithm in a byte: only their order is used, and a step is 4 %."""
+    return np.minimum(255, np.rint(16 * np.log2(1.0 + counts))).astype(np.uint8)
 
 
 def _signed(sets: DataFrame, size: int, percent: int, counts: np.ndarray) -> DataFrame:
@@ -312,13 +317,14 @@ def _signed(sets: DataFrame, size: int, percent: int, counts: np.ndarray) -> Dat
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch, found in _grams(batches, size):
             signs = [prefix(grams, counts, percent).view(np.int64) for grams in found]
+            bits = [parities(grams) for grams in found]
             yield pd.DataFrame(
                 {
                     "short": batch["short"],
                     "n": [len(grams) for grams in found],
                     "signs": signs,
-                    "bits": [parities(grams) for grams in found],
-                    "few": [folded(parities(grams), CARRIED) for grams in found],
+                    "bits": bits,
+                    "few": [folded(x, CARRIED) for x in bits],
                     "leasts": [leasts(grams).view(np.int64) for grams in found],
                 }
             )
@@ -386,7 +392,7 @@ def jaccard_links(
     """
     some = sets.where("packed is not null").withColumn("short", _short("digest"))
     grams = some.agg(F.sum("n_shingles")).first()[0] or 0
-    signed = _signed(some, size, percent, count_grams(some, size, counters_for(grams)))
+    signed = _signed(some, size, percent, ranks(count_grams(some, size, counters_for(grams))))
     few = [F.get("few", F.lit(i)).alias(name) for i, name in enumerate(_FEW)]
     slim = signed.select("short", "n", F.size("bits").alias("words"), *few).distinct()
     product = _multiply(size, percent)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from purseline.llm.common import SPACES, column_of, fresh, words
+from purseline.llm.common import SPACES, MemberFilter, column_of, fresh, words
 from purseline.staging import stage
 
 # Fixed values of the base rules.
@@ -268,16 +268,24 @@ def keep_good(
     """The rows of ``docs`` that pass, with their columns.
 
     NULL and empty texts fail the base rules; equal rows pass together; an empty table stays
-    empty, and names of columns do not matter. Every text is measured once: rows are staged
-    with their measures, from which the labelled ones back the cutoffs.
+    empty, and names of columns do not matter. Every text is measured once, and those of
+    labelled documents once before, for the cutoffs; a filter finds these without a shuffle.
     """
     measure, of, chosen = (fresh(docs, name) for name in ("features", "cutoffs_of", "cutoffs"))
-    rows = docs.withColumn(measure, features(column_of(text)))
-    rows = stage(rows.where(~base_failed(F.col(measure))), "quality-rows")
-    tested = rows.join(good_documents(labels, id, label).withColumnRenamed("good_id", of), column_of(id) == F.col(of), "left_semi")
-    slim = tested.select(column_of(stratum).alias("stratum"), F.col(measure).alias("features"))
+    good = good_documents(labels, id, label)
+    good = stage(good.withColumn("good_hash", F.xxhash64(F.col("good_id").cast("string"))), "quality-good")
+    texts = docs.select(
+        column_of(id).alias("id"),
+        column_of(stratum).alias("stratum"),
+        column_of(text).alias("body"),
+        F.xxhash64(column_of(id).cast("string")).alias("hash"),
+    )
+    some = MemberFilter(good, "good_hash").split(texts, "hash")
+    slim = stage(some.select("id", "stratum", features(F.col("body")).alias("features")), "quality-features")
+    slim = slim.join(good, F.col("id") == F.col("good_id"), "left_semi").where(~base_failed(F.col("features")))
     backed = stage(choose_cutoffs(slim, "stratum", ratios(F.col("features"))), "quality-cutoffs")
     backed = backed.select(F.col("stratum").alias(of), F.col("cutoffs").alias(chosen))
+    rows = docs.withColumn(measure, features(column_of(text))).where(~base_failed(F.col(measure)))
     rows = rows.join(backed, column_of(stratum).eqNullSafe(F.col(of)), "left")
     return rows.where(~rejected(ratios(F.col(measure)), F.col(chosen))).select(*map(column_of, docs.columns))
 
