@@ -14,7 +14,11 @@ from purseline.staging import stage
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or a cutoff backed by the labels go."""
+    """Documents that fail the base rules or a cutoff backed by the labels go.
+
+    NULL and empty texts have no words and go. Equal rows stay or go together; an empty table
+    stays empty. Columns of other names, dots included, are passed on, here and in all stages.
+    """
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
@@ -22,23 +26,37 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """One document of each group of near copies stays, the one with the least id.
 
     Near copies share 80 % of their runs of five words; op8's contract, 90 % of runs of three,
-    binds that query alone.
+    binds that query alone. Of repeated rows one stays; NULL ids are the largest; documents
+    without words are copies of nothing and stay. An empty table stays empty.
     """
     return keep_one_each(docs, size=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold too much of the benchmark go."""
+    """Documents that hold too much of the benchmark go.
+
+    NULL and empty texts are clean, equal rows stay or go together, and without a benchmark or
+    documents nothing changes. Benchmark items without an id count.
+    """
     return keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; what it does not take goes."""
+    """Each document as often as the mix takes it; what it does not take goes.
+
+    Texts without words add none and are drawn like others of their source; a source without
+    words, and an empty table, give nothing. NULL is a source. Repeated rows are drawn each
+    for itself, equal sizes by a hash of id and text.
+    """
     return take_mix(docs)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of each row."""
+    """Shard and slot of each row.
+
+    NULL texts have no bytes and no copies; repeated rows have slots of their own; an empty
+    table has no rows. The columns are those of the operator, whatever others there are.
+    """
     return assign_shards(docs)
 
 
